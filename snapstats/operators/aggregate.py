@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, IntegralType, StructType
+from pyspark.sql.types import ArrayType, DataType, DecimalType, IntegralType, NumericType, StructType
 
 from snapstats.functions.stamps import iso_micros, micros_to_iso
 from snapstats.operators.shape import NotRecords, payload_column, quoted
@@ -15,36 +15,38 @@ def as_counter(value: Column, dtype: DataType) -> Column:
     """A counter as bigint.  Drifted fields (text, decimals) are converted; what is no number is null."""
     if isinstance(dtype, IntegralType):
         return value.cast("bigint")
-    return value.try_cast("decimal(38,6)").try_cast("bigint")
+    if isinstance(dtype, NumericType):
+        return value.try_cast("bigint")
+    return F.coalesce(value.try_cast("bigint"), value.try_cast("decimal(38,6)").try_cast("bigint"))
 
 
-def counter_records(envelopes: DataFrame, key: str, legacy: str | None = None) -> DataFrame:
-    """The records of counter envelopes as ``key, wins, losses, matches, fetched_us``.
+def counter_records(
+    envelopes: DataFrame, key: str, legacy: str | None = None, stamps: str = "utc"
+) -> DataFrame:
+    """The records of counter envelopes as ``key, wins, losses, matches`` and their stamp.
 
     ``legacy`` says what to do with the old payload column ``heroes``: None ignores it, ``"data_first"``
     uses it only when the frame has no ``data`` column at all, and ``"per_row"`` uses it for every
     envelope whose ``data`` is null.
 
-    The stamp is parsed once per envelope, before the records are exploded.
+    The stamp becomes ``fetched_us``, parsed once per envelope, before the records are exploded; with
+    ``stamps="text"`` it stays ``fetched_at``.
     """
-    columns = [c for c in ("data", "heroes") if c in envelopes.columns]
-    if legacy == "per_row" and len(columns) == 2:
-        payload = F.coalesce(*[_lean(envelopes, c, key) for c in columns])
-        source = envelopes.select(iso_micros(F.col("fetched_at")).alias("fetched_us"), payload.alias("_records"))
-        rows = source.select("fetched_us", F.explode("_records").alias("_record"))
-        return rows.select(
-            F.col("_record").getField(key).alias(key),
-            *[as_counter(F.col("_record")[c], rows.schema["_record"].dataType[c].dataType).alias(c) for c in COUNTERS],
-            "fetched_us",
-        )
-    name = payload_column(envelopes, "heroes" if legacy in ("data_first", "per_row") else None)
-    record = _record_type(envelopes, name)
-    stamped = envelopes.select(iso_micros(F.col("fetched_at")).alias("fetched_us"), name)
-    rows = stamped.select("fetched_us", F.explode(name).alias("_record"))
+    stamp = F.col("fetched_at") if stamps == "text" else iso_micros(F.col("fetched_at")).alias("fetched_us")
+    if legacy == "per_row" and {"data", "heroes"} <= set(envelopes.columns):
+        records = F.coalesce(_lean(envelopes, "data", key), _lean(envelopes, "heroes", key))
+    else:
+        records = quoted(payload_column(envelopes, "heroes" if legacy else None))
+    stamped = envelopes.select(stamp, records.alias("_records"))
+    record = _record_type(stamped, "_records")
+    rows = stamped.select(stamped.columns[0], F.explode("_records").alias("_record"))
+    id_value = F.col("_record").getField(key)
+    if isinstance(record[key].dataType, DecimalType):
+        id_value = id_value.try_cast("bigint")
     return rows.select(
-        F.col("_record").getField(key).alias(key),
+        id_value.alias(key),
         *[as_counter(F.col("_record").getField(c), record[c].dataType).alias(c) for c in COUNTERS],
-        "fetched_us",
+        stamped.columns[0],
     )
 
 

@@ -33,8 +33,13 @@ def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str, salt
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
-def lookup_join(left: DataFrame, lookup: DataFrame, on: list[str], how: str = "left") -> DataFrame:
-    """Join with a lookup table of one row per key, broadcast only if it is counted to be small."""
-    if lookup.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+def is_small(frame: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether the frame has at most ``rows`` rows; counting stops there."""
+    return frame.limit(rows + 1).count() <= rows
+
+
+def lookup_join(left: DataFrame, lookup: DataFrame, on: list[str], small: bool, how: str = "left") -> DataFrame:
+    """Join with a lookup table of one row per key: broadcast if counted to be small, else salted."""
+    if small:
         return left.join(F.broadcast(lookup), on, how)
     return salted_join(left, lookup, on, how)

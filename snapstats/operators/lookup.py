@@ -2,26 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType, NumericType
 
 from snapstats.fixed_values import MISSING, NAME_NOT_FOUND
 from snapstats.functions.display import is_hero_column
-from snapstats.operators.joins import lookup_join
+from snapstats.operators.joins import is_small, lookup_join
 from snapstats.operators.shape import quoted
 
 
-def unique_names(dimension: DataFrame, key: str, name: str) -> DataFrame:
+class Names(NamedTuple):
+    """One name per id, and whether that is little enough to send to every executor."""
+
+    frame: DataFrame
+    small: bool
+
+
+def names_of(dimension: DataFrame, key: str, name: str) -> Names:
     """One row per id, so that a lookup never multiplies rows."""
-    return (
+    unique = (
         dimension.where(F.col(key).isNotNull())
         .groupBy(F.col(key).cast("bigint").alias("_id"))
         .agg(F.max(name).alias("_name"))
     )
+    return Names(unique, is_small(dimension))
 
 
-def _joined(frame: DataFrame, column: str, names: DataFrame) -> DataFrame:
+def _joined(frame: DataFrame, column: str, names: Names) -> DataFrame:
     dtype = frame.schema[column].dataType
     value = quoted(column)
     if isinstance(dtype, IntegralType):
@@ -30,25 +40,24 @@ def _joined(frame: DataFrame, column: str, names: DataFrame) -> DataFrame:
         key = F.when(value == F.floor(value), F.floor(value).cast("bigint"))
     else:
         key = value.cast("string").try_cast("bigint")
-    return lookup_join(frame.withColumn("_id", key), names, ["_id"])
-
-
-def hero_name(frame: DataFrame, dimension: DataFrame, column: str = "hero_id", out: str = "hero_name") -> DataFrame:
-    """Add the hero's name; an unknown id gives ``Hero <id>``, a null id a dash."""
-    names = unique_names(dimension, "hero_id", "hero_name")
-    return _resolve(frame, names, column, out)
+    return lookup_join(frame.withColumn("_id", key), names.frame, ["_id"], names.small)
 
 
-def _resolve(frame: DataFrame, names: DataFrame, column: str, out: str) -> DataFrame:
+def _resolve(frame: DataFrame, names: Names, column: str, out: str) -> DataFrame:
+    """Put the resolved name of ``column`` into ``out``, which may be the column itself."""
     fallback = F.when(quoted(column).isNull(), F.lit(MISSING)).otherwise(
         F.concat(F.lit("Hero "), quoted(column).cast("string"))
     )
-    known = F.when(F.length("_name") > 0, F.col("_name"))
+    found = F.coalesce(F.when(F.length("_name") > 0, F.col("_name")), fallback).alias(out)
     joined = _joined(frame, column, names)
-    kept = [quoted(c) for c in frame.columns if c != out]
-    return joined.select(*kept, F.coalesce(known, fallback).alias(out)).select(
-        *[quoted(c) for c in (frame.columns if out in frame.columns else [*frame.columns, out])]
-    )
+    if out in frame.columns:
+        return joined.select(*[found if c == out else quoted(c) for c in frame.columns])
+    return joined.select(*[quoted(c) for c in frame.columns], found)
+
+
+def hero_name(frame: DataFrame, dimension: DataFrame, column: str = "hero_id", out: str = "hero_name") -> DataFrame:
+    """Add the hero's name; an unknown id gives ``Hero <id>``, a null id a dash."""
+    return _resolve(frame, names_of(dimension, "hero_id", "hero_name"), column, out)
 
 
 def hero_columns(frame: DataFrame) -> list[str]:
@@ -58,17 +67,17 @@ def hero_columns(frame: DataFrame) -> list[str]:
 
 def name_all_heroes(frame: DataFrame, dimension: DataFrame) -> DataFrame:
     """Every hero-id column replaced by hero names."""
-    names = unique_names(dimension, "hero_id", "hero_name")
-    for column in hero_columns(frame):
-        frame = _resolve(frame, names, column, column)
+    columns = hero_columns(frame)
+    if columns:
+        names = names_of(dimension, "hero_id", "hero_name")
+        for column in columns:
+            frame = _resolve(frame, names, column, column)
     return frame
 
 
 def name_or_not_found(
-    frame: DataFrame, dimension: DataFrame, column: str, key: str, name: str, default: Column | str = NAME_NOT_FOUND
+    frame: DataFrame, dimension: DataFrame, column: str, key: str, name: str, default: str = NAME_NOT_FOUND
 ) -> DataFrame:
     """Add ``name`` from a lookup table, or a default where the id is unknown."""
-    names = unique_names(dimension, key, name)
-    joined = _joined(frame, column, names)
-    fallback = F.lit(default) if isinstance(default, str) else default
-    return joined.select(*[quoted(c) for c in frame.columns], F.coalesce("_name", fallback).alias(name))
+    joined = _joined(frame, column, names_of(dimension, key, name))
+    return joined.select(*[quoted(c) for c in frame.columns], F.coalesce("_name", F.lit(default)).alias(name))

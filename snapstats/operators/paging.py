@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,12 +70,25 @@ def resolve_field(frame: DataFrame, name: str) -> Column | None:
     return None if isinstance(dtype, _UNORDERED) else quoted(*path)
 
 
-def with_positions(frame: DataFrame) -> DataFrame | None:
-    """Rows of a file-backed frame with their file and place in it, or None for any other frame."""
-    try:
-        return frame.select("*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW))
-    except AnalysisException:
-        return None
+def with_positions(table: DataFrame) -> DataFrame:
+    """Rows of a Parquet table with their file and place in it."""
+    return table.select("*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW))
+
+
+def fetch_page(placed: DataFrame, keys: list[SortKey], offset: int, count: int, direct: int) -> DataFrame:
+    """`page_rows` of a table with positions, reading whole rows only where the page is.
+
+    The sort reads the sort columns alone; then the rows, at most one page, are fetched by their positions
+    from just the files that hold them.
+    """
+    spots: dict[str, list[int]] = {}
+    for spot in page_rows(placed, keys, offset, count, direct).select(FILE, ROW).collect():
+        spots.setdefault(spot[FILE], []).append(spot[ROW])
+    if not spots:
+        return placed.limit(0)
+    here = [(F.col(FILE) == file) & F.col(ROW).isin(rows) for file, rows in spots.items()]
+    held = placed.where(F.col(FILE).isin(list(spots)) & functools.reduce(operator.or_, here))
+    return sort_rows(held, keys)
 
 
 def row_hash(frame: DataFrame) -> Column:

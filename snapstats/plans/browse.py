@@ -18,12 +18,14 @@ from snapstats.operators.paging import (
     FILE,
     ROW,
     SortKey,
+    fetch_page,
     page_rows,
     resolve_field,
     row_hash,
     sort_rows,
     with_positions,
 )
+from snapstats.operators.shape import quoted
 from snapstats.sources.collections import Collections
 
 
@@ -39,24 +41,30 @@ class Top(NamedTuple):
     meta: DataFrame
 
 
-def _sort_plan(
-    frame: DataFrame, sort: str | None, order: str | None, tie_break: tuple[str, ...]
-) -> tuple[DataFrame, list[SortKey], list[str]]:
-    """The frame with any helper columns, its sort keys, and the names of the helpers.
+def _sorted_rows(
+    found: DataFrame,
+    stored: bool,
+    sort: str | None,
+    order: str | None,
+    tie_break: tuple[str, ...],
+    offset: int,
+    count: int,
+    direct: int = DIRECT_ROWS,
+) -> DataFrame:
+    """Rows ``offset`` to ``offset + count``.  An unknown sort field sorts nothing.
 
-    A page border is only defined when ties are broken: by the named columns, else by the place of the
-    row in its file, else by a hash of the row.  An unknown sort field sorts nothing.
+    A page border is only defined when ties are broken: by the named columns, and by the place of the row
+    in its file for a stored table, else by a hash of the row.
     """
-    ascending = order == "asc"
-    field = resolve_field(frame, sort) if sort else None
-    keys = [] if field is None else [SortKey(field, ascending)]
-    if tie_break:
-        return frame, keys + [SortKey(F.col(f"`{c}`")) for c in tie_break], []
-    placed = with_positions(frame)
-    if placed is not None:
-        return placed, keys + [SortKey(F.col(FILE)), SortKey(F.col(ROW))], [FILE, ROW]
-    hashed = frame.withColumn("_hash", row_hash(frame))
-    return hashed, keys + [SortKey(F.col("_hash"))], ["_hash"]
+    field = resolve_field(found, sort) if sort else None
+    keys = [] if field is None else [SortKey(field, order == "asc")]
+    keys += [SortKey(quoted(c)) for c in tie_break]
+    if stored:
+        placed = with_positions(found)
+        keys += [SortKey(F.col(FILE)), SortKey(F.col(ROW))]
+        return fetch_page(placed, keys, offset, count, direct).drop(FILE, ROW)
+    hashed = found.withColumn("_hash", row_hash(found))
+    return page_rows(hashed, [*keys, SortKey(F.col("_hash"))], offset, count, direct).drop("_hash")
 
 
 def top_rows(
@@ -65,18 +73,13 @@ def top_rows(
     order: str | None = None,
     limit: object = None,
     tie_break: tuple[str, ...] = (),
+    stored: bool = False,
 ) -> Top:
     """The first rows by a field, with their count and the ``last_updated`` of the very first."""
-    sort = sort or "win_rate"
     wanted = top_size(limit, TOP_SIZE, MAX_TOP_SIZE)
-    placed, keys, helpers = _sort_plan(frame, sort, order, tie_break)
-    rows = page_rows(placed, keys, 0, wanted).drop(*helpers)
-    first = rows.limit(1)
+    rows = _sorted_rows(frame, stored, sort or "win_rate", order, tie_break, 0, wanted)
     stamp = F.first("last_updated") if "last_updated" in frame.columns else F.lit(None).cast("string")
-    count = frame.agg(F.least(F.count(F.lit(1)), F.lit(wanted)).alias("count"))
-    # a one-row frame beside a one-row frame
-    meta = count.join(F.broadcast(first.agg(stamp.alias("last_updated"))), F.lit(True))
-    return Top(rows, meta)
+    return Top(rows, rows.agg(F.count(F.lit(1)).alias("count"), stamp.alias("last_updated")))
 
 
 def top_heroes(
@@ -88,7 +91,8 @@ def top_heroes(
     collection: str = "hero_stats",
 ) -> Top:
     """Heroes by win rate, best first, unless asked otherwise."""
-    return top_rows(collections.open(collection), sort, order, limit, tie_break)
+    stored = collections.is_stored(collection)
+    return top_rows(collections.open(collection), sort, order, limit, tie_break, stored)
 
 
 def scoreboard(frame: DataFrame, by: str = "wins", limit: int = TOP_SIZE, tie_break: tuple[str, ...] = ()) -> DataFrame:
@@ -126,9 +130,10 @@ def browse(
     size = page_size(limit, PAGE_SIZE, MAX_PAGE_SIZE)
     offset = (number - 1) * size
     found = equals_id(collections.open(collection), "hero_id", hero_id)
-    placed, keys, helpers = _sort_plan(found, sort, order, tie_break)
-    rows = page_rows(placed, keys, offset, size, direct).drop(*helpers, "_id")
-    return Page(rows, page_meta(found, collection, number, size))
+    rows = _sorted_rows(
+        found, collections.is_stored(collection), sort, order, tie_break, offset, size, direct
+    )
+    return Page(rows.drop("_id"), page_meta(found, collection, number, size))
 
 
 def page_meta(found: DataFrame, collection: str, page: int, limit: int) -> DataFrame:

@@ -14,7 +14,7 @@ from snapstats.operators import aggregate, blocks, discover, filters, lookup, sh
 from snapstats.plans import browse, derived, refresh, report
 from snapstats.schemas import counter_record, envelope_schema
 from snapstats.session import scratch_path
-from snapstats.sinks.landing import build_envelopes, jsonable, land_records, write_envelopes
+from snapstats.sinks.landing import build_envelopes, jsonable, land_records
 from snapstats.sinks.tables import write_collection
 from snapstats.sources import landing, payload
 from snapstats.sources.collections import CollectionEntry, Collections
@@ -80,8 +80,7 @@ def hero_win_rate_text_stamps(spark, sf_dir):
 @query
 def hero_win_rate_from_files(spark, sf_dir):
     root = scratch_path(spark, "landing")
-    envelopes = derived.hero_envelopes(spark, sf_dir).withColumn("suffix", F.lit(""))
-    write_envelopes(envelopes, root, "hero_stats")
+    land_records(derived.hero_snapshots(spark, sf_dir), root, "hero_stats")
     landed = landing.read_endpoint(spark, root, "hero_stats", schema=envelope_schema(counter_record("hero_id")))
     return aggregate.win_rate(aggregate.counter_records(landed, "hero_id"), "hero_id")
 
@@ -530,9 +529,8 @@ def display_numbers(spark, sf_dir):
 
 def _land_all(spark: SparkSession, sf_dir: str) -> str:
     root = scratch_path(spark, "landing")
-    no_suffix = F.lit("")
-    write_envelopes(derived.hero_envelopes(spark, sf_dir).withColumn("suffix", no_suffix), root, "hero_stats")
-    write_envelopes(derived.item_envelopes(spark, sf_dir).withColumn("suffix", no_suffix), root, "item_stats")
+    land_records(derived.hero_snapshots(spark, sf_dir), root, "hero_stats")
+    land_records(derived.item_snapshots(spark, sf_dir), root, "item_stats")
     land_records(derived.event_records(spark, sf_dir), root, "badge_distribution")
     history = derived.history_records(spark, sf_dir).withColumn("fetched_at", F.lit("2026-04-05T10:00:00+00:00"))
     land_records(history, root, "match_history", max_records=20_000)
@@ -575,7 +573,7 @@ def refreshed_history(spark, sf_dir):
 @query
 def streamed_win_rate(spark, sf_dir):
     root, target = scratch_path(spark, "landing"), scratch_path(spark, "stream")
-    write_envelopes(derived.hero_envelopes(spark, sf_dir).withColumn("suffix", F.lit("")), root, "hero_stats")
+    land_records(derived.hero_snapshots(spark, sf_dir), root, "hero_stats")
     stream_win_rate(
         spark, root, "hero_stats", "hero_id", target, scratch_path(spark, "checkpoint"), files_per_batch=40
     ).awaitTermination()

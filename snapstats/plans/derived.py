@@ -42,6 +42,14 @@ def counter_envelopes(lines: DataFrame, source: str, key: str, endpoint: str) ->
     )
 
 
+def hero_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counter_snapshots(table(spark, sf_dir, "lineitem"), "l_suppkey", "hero_id")
+
+
+def item_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counter_snapshots(table(spark, sf_dir, "lineitem"), "l_orderkey", "item_id")
+
+
 def hero_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counter_envelopes(table(spark, sf_dir, "lineitem"), "l_suppkey", "hero_id", "hero_stats")
 

@@ -20,11 +20,11 @@ REPORT_SCHEMA = "endpoint string, mode string, status string, rows bigint, messa
 COUNTER_KEYS = {"hero": "hero_id", "item": "item_id"}
 
 
-def process(envelopes: DataFrame, mode: str) -> DataFrame:
+def process(envelopes: DataFrame, mode: str, stamps: str = "utc") -> DataFrame:
     """Envelopes to the result of their mode; an unknown mode is treated as generic."""
     if mode in COUNTER_KEYS:
         key = COUNTER_KEYS[mode]
-        return win_rate(counter_records(_with_payload(envelopes), key), key)
+        return win_rate(counter_records(_with_payload(envelopes), key, stamps=stamps), key, stamps=stamps)
     return shallow(envelopes) if mode == "shallow" else generic(envelopes)
 
 
@@ -47,9 +47,13 @@ def refresh_endpoint(
     endpoint: str,
     mode: str,
     schema: StructType | None = None,
+    stamps: str = "utc",
     **sink,
 ) -> tuple:
-    """One endpoint from landing to collection, as a report row.  Errors end up in the row."""
+    """One endpoint from landing to collection, as a report row.  Errors end up in the row.
+
+    Stamps that are not in UTC ISO format are an error, unless ``stamps="text"``.
+    """
     started = time.monotonic()
 
     def row(status: str, rows: int | None = None, message: str = "") -> tuple:
@@ -62,7 +66,7 @@ def refresh_endpoint(
         if scan.frame is None:
             return row(scan.status, message=scan.message)
         try:
-            result = process(scan.frame, mode)
+            result = process(scan.frame, mode, stamps)
         except MissingPayload as missing:
             return row("SKIP", message=str(missing))
         return row("OK", write_collection(result, target, endpoint, **sink))
@@ -77,6 +81,7 @@ def refresh_collections(
     endpoints: dict[str, str] | None = None,
     schemas: dict[str, StructType] | None = None,
     parallel: int = 4,
+    stamps: str = "utc",
     **sink,
 ) -> DataFrame:
     """Refresh all endpoints and return the run report, one row per endpoint in registry order.
@@ -89,7 +94,7 @@ def refresh_collections(
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         rows = list(
             pool.map(
-                lambda item: refresh_endpoint(spark, root, target, *item, schemas.get(item[0]), **sink),
+                lambda item: refresh_endpoint(spark, root, target, *item, schemas.get(item[0]), stamps, **sink),
                 endpoints.items(),
             )
         )

@@ -54,8 +54,10 @@ def build_envelopes(
         rows = rows.withColumn("_part", F.lit(0))
     else:
         rows = _split(rows, oversize, group, max_records)
+    # files cost time by number rather than by size, so small partitions must not be merged into few tasks
     return (
-        rows.groupBy(*group, "_part")
+        rows.repartition(_width(rows), *group, "_part")
+        .groupBy(*group, "_part")
         .agg(F.collect_list("_record").alias("data"))
         .select(
             "fetched_at",
@@ -67,6 +69,13 @@ def build_envelopes(
     )
 
 
+def _width(frame: DataFrame) -> int:
+    """Tasks of the landing write: the session's shuffle width, and at least one per core."""
+    spark = frame.sparkSession
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    return max(int(width) if width.isdigit() else 0, spark.sparkContext.defaultParallelism)
+
+
 def _split(rows: DataFrame, oversize: DataFrame, group: list[str], max_records: int) -> DataFrame:
     """Number the records of oversize groups into parts of at most ``max_records``.
 

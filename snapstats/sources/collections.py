@@ -39,6 +39,10 @@ class Collections:
                 return entry
         raise ValueError(f"Unknown collection: {name}")
 
+    def is_stored(self, name: str) -> bool:
+        """Whether the collection is a Parquet folder, so that its rows have positions."""
+        return isinstance(self.tables.get(name), str) or (name not in self.tables and self.root is not None)
+
     def open(self, name: str) -> DataFrame:
         table = self.tables.get(name)
         if isinstance(table, str):
