@@ -19,7 +19,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from snapstats.operators import aggregate, blocks, discover, filters, shape  # noqa: E402
 from snapstats.plans import browse, derived, refresh, report  # noqa: E402
-from snapstats.schemas import counter_record, envelope_schema  # noqa: E402
+from snapstats.schemas import bronze_counters, counter_record, envelope_schema  # noqa: E402
 from snapstats.session import build_session, scratch_path  # noqa: E402
 from snapstats.sinks.landing import land_records  # noqa: E402
 from snapstats.sources import landing  # noqa: E402
@@ -67,7 +67,7 @@ def main() -> None:
         return aggregate.win_rate(aggregate.counter_records(envelopes, key), key)
 
     def from_bronze(endpoint, key):
-        return aggregate.win_rate(landing.read_bronze(spark, bronze, endpoint), key)
+        return aggregate.win_rate(landing.read_bronze(spark, bronze, endpoint, schema=bronze_counters(key)), key)
 
     def page(number, **how):
         return browse.browse(collections, "lineitem", number, 200, "l_extendedprice", "desc", **how).rows

@@ -45,18 +45,22 @@ def plain_number(number: Column, dtype: T.DataType) -> Column:
     text = number.cast("string")
     if isinstance(dtype, T.IntegralType):
         return text
+    whole = number == F.floor(number)
     if isinstance(dtype, T.DecimalType):
-        spread = text
-    else:
-        size = F.abs(number)
-        spread = (
-            F.when((size >= 1e-3) & (size < 1e7), text)
-            .when((size >= 1e7) & (size < 1e18), text.try_cast("decimal(38,18)").cast("string"))
-            .when((size >= 1e-6) & (size < 1e-3), text.try_cast("decimal(38,30)").cast("string"))
-            .otherwise(text)
-        )
-    trimmed = F.regexp_replace(F.regexp_replace(spread, r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
-    return F.when(number == 0, F.lit("0")).otherwise(trimmed)
+        return F.when(whole, F.floor(number).cast("string")).otherwise(_trimmed(text))
+    size = F.abs(number)
+    # the text of a double is already short between a thousandth and ten million
+    return (
+        F.when(whole & (size < 1e18), F.floor(number).cast("string"))
+        .when((size >= 1e-3) & (size < 1e7), text)
+        .when((size >= 1e7) & (size < 1e18), _trimmed(text.try_cast("decimal(38,18)").cast("string")))
+        .when((size >= 1e-6) & (size < 1e-3), _trimmed(text.try_cast("decimal(38,30)").cast("string")))
+        .otherwise(text)
+    )
+
+
+def _trimmed(decimals: Column) -> Column:
+    return F.regexp_replace(decimals, "0+$", "")
 
 
 def short_count(count: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapstats.functions.stamps import iso_micros, micros_to_iso
+from snapstats.operators.filters import positive
 from snapstats.operators.joins import salted_join
 from snapstats.operators.shape import array_of, quoted
 
@@ -40,24 +41,23 @@ def distinct_in_order(envelopes: DataFrame, key: str, payload: str = "data") ->
     )
 
 
-def _positive_ids(frame: DataFrame, *path: str) -> Column:
-    """Valid account ids of a nested player array; the empty array where it is absent."""
+def _player_ids(frame: DataFrame, *path: str) -> Column:
+    """Account ids of a nested player array; the empty array where it is absent."""
+    nothing = F.array().cast("array<bigint>")
     element = array_of(frame, *path)
     if element is None or "account_id" not in element.names:
-        return F.array().cast("array<bigint>")
-    ids = quoted(*path, "account_id").cast("array<bigint>")
-    return F.coalesce(F.filter(ids, lambda i: i > 0), F.array().cast("array<bigint>"))
+        return nothing
+    return F.coalesce(quoted(*path, "account_id").cast("array<bigint>"), nothing)
 
 
 def distinct_accounts(matches: DataFrame) -> DataFrame:
     """Valid account ids of all players, below ``match_info.players`` and top-level ``players`` alike.
 
-    One scan serves both places, and duplicates within a match go before the shuffle.
+    One scan serves both places; it reads nothing of a player but the id.
     """
-    ids = F.array_distinct(
-        F.concat(_positive_ids(matches, "match_info", "players"), _positive_ids(matches, "players"))
-    )
-    return matches.select(F.explode(ids).alias("account_id")).distinct()
+    ids = F.concat(_player_ids(matches, "match_info", "players"), _player_ids(matches, "players"))
+    found = matches.select(F.explode(ids).alias("account_id"))
+    return positive(found, "account_id").distinct()
 
 
 def of_discovered(records: DataFrame, ids: DataFrame, key: str) -> DataFrame:

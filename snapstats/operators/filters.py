@@ -7,7 +7,7 @@ import operator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, NumericType, StringType
+from pyspark.sql.types import ArrayType, NumericType
 
 from snapstats.functions.display import is_nested, is_number, plain_number
 from snapstats.functions.parsing import leading_int
@@ -39,31 +39,39 @@ def positive(frame: DataFrame, column: str) -> DataFrame:
 
 
 def search_text(frame: DataFrame, column: str, nested: bool = False, nulls: bool = False) -> Column | None:
-    """The text a search looks at, or None for a column it skips."""
+    """The lower-case text a search looks at, or None for a column it skips."""
     dtype, value = frame.schema[column].dataType, quoted(column)
     if is_nested(dtype):
-        text = F.to_json(value) if nested else None
+        if not nested:
+            return None
+        text = F.lower(F.to_json(value))
     elif is_number(dtype):
         text = plain_number(value, dtype)
-    elif isinstance(dtype, (StringType, BooleanType)):
-        text = value.cast("string")
     else:
-        text = value.cast("string")
-    if text is None:
-        return None
+        text = F.lower(value.cast("string"))
     return F.coalesce(text, F.lit("null")) if nulls else text
 
 
+def _may_be_number(query: str) -> bool:
+    """Whether the text of a number can contain the query."""
+    return set(query) <= set("0123456789.e+-") or query in "nan" or query in "infinity"
+
+
 def search(frame: DataFrame, query: str | None, nested: bool = False, nulls: bool = False) -> DataFrame:
     """Rows with the text in any column, whatever its case.
 
     Apply it to a page for the dashboard's meaning, or to a whole table.  ``nested`` also looks into
-    nested values, ``nulls`` lets a null match the word null.
+    nested values, ``nulls`` lets a null match the word null.  Number columns are not even read when the
+    query cannot be part of a number.
     """
     if not query:
         return frame
-    texts = [t for c in frame.columns if (t := search_text(frame, c, nested, nulls)) is not None]
-    if not texts:
-        return frame.where(F.lit(False))
-    hits = [F.coalesce(F.contains(F.lower(t), F.lit(query.lower())), F.lit(False)) for t in texts]
-    return frame.where(functools.reduce(operator.or_, hits))
+    query = query.lower()
+    hits = []
+    for field in sorted(frame.schema, key=lambda f: is_number(f.dataType)):
+        if is_number(field.dataType) and not (_may_be_number(query) or (nulls and query in "null")):
+            continue
+        text = search_text(frame, field.name, nested, nulls)
+        if text is not None:
+            hits.append(F.coalesce(F.contains(text, F.lit(query)), F.lit(False)))
+    return frame.where(functools.reduce(operator.or_, hits, F.lit(False)))

@@ -88,7 +88,8 @@ def fetch_page(placed: DataFrame, keys: list[SortKey], offset: int, count: int,
         return placed.limit(0)
     here = [(F.col(FILE) == file) & F.col(ROW).isin(rows) for file, rows in spots.items()]
     held = placed.where(F.col(FILE).isin(list(spots)) & functools.reduce(operator.or_, here))
-    return sort_rows(held, keys)
+    # the limit drops nothing: it makes this a top-k, which needs no range partitioning of so few rows
+    return sort_rows(held, keys).limit(count)
 
 
 def row_hash(frame: DataFrame) -> Column:
@@ -159,7 +160,7 @@ def _inside_run(
     if inside == count:
         return first
     following = sort_rows(frame.where(key.after(run.value)), keys[at:]).limit(count - inside)
-    return sort_rows(first.unionByName(following), keys[at:])
+    return sort_rows(first.unionByName(following), keys[at:]).limit(count)
 
 
 def _split_values(frame: DataFrame, key: SortKey, seed: int) -> list[Column | None]:
@@ -167,16 +168,15 @@ def _split_values(frame: DataFrame, key: SortKey, seed: int) -> list[Column | No
     values = frame.select(key.column.alias("v"))
     dtype = values.schema["v"].dataType
     is_instant = isinstance(dtype, T.TimestampType)
-    order = SortKey(F.col("v"), key.ascending).order()
-    some = values.orderBy(F.rand(seed)).limit(SPLITS).distinct().orderBy(order)
-    shown = F.unix_micros("v") if is_instant else F.col("v").cast("string")
-
-    def literal(value: object) -> Column | None:
-        if value is None:
-            return None
-        return F.timestamp_micros(F.lit(value)) if is_instant else F.lit(value).cast(dtype)
-
-    return [literal(row["shown"]) for row in some.select(shown.alias("shown")).collect()]
+    picked = values.orderBy(F.rand(seed)).limit(SPLITS)
+    # at most SPLITS values, sorted by Spark; text keeps them exact on the way to the driver
+    ordered = F.sort_array(F.collect_set("v"), key.ascending)
+    shown = F.transform(ordered, lambda v: F.unix_micros(v) if is_instant else v.cast("string"))
+    row = picked.agg(shown.alias("shown"), F.coalesce(F.max(F.col("v").isNull()), F.lit(False)).alias("null")).first()
+    splits = [F.timestamp_micros(F.lit(s)) if is_instant else F.lit(s).cast(dtype) for s in row["shown"]]
+    if row["null"]:
+        splits.insert(0 if key.ascending else len(splits), None)
+    return splits
 
 
 def _count_spans(frame: DataFrame, key: SortKey, splits: list[Column | None]) -> tuple[int, list[Span]]:

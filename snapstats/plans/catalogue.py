@@ -12,7 +12,7 @@ from snapstats.functions.parsing import leading_int_col
 from snapstats.functions.stamps import display_time, iso_micros, iso_utc, landing_path, stamp_path
 from snapstats.operators import aggregate, blocks, discover, filters, lookup, shape
 from snapstats.plans import browse, derived, refresh, report
-from snapstats.schemas import counter_record, envelope_schema
+from snapstats.schemas import bronze_counters, counter_record, envelope_schema
 from snapstats.session import scratch_path
 from snapstats.sinks.landing import build_envelopes, jsonable, land_records
 from snapstats.sinks.tables import write_collection
@@ -96,7 +96,8 @@ def hero_win_rate_bronze(spark, sf_dir):
 def bronze_date_range(spark, sf_dir):
     path = scratch_path(spark, "bronze")
     landing.land_bronze(derived.hero_envelopes(spark, sf_dir), path, "hero_stats")
-    year = landing.read_bronze(spark, path, "hero_stats", "1997-01-01", "1997-12-31")
+    columns = bronze_counters("hero_id")
+    year = landing.read_bronze(spark, path, "hero_stats", "1997-01-01", "1997-12-31", columns)
     return aggregate.win_rate(year, "hero_id")
 
 

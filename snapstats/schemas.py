@@ -27,6 +27,12 @@ def counter_record(key: str) -> StructType:
     )
 
 
+def bronze_counters(key: str) -> StructType:
+    """Bronze columns a win rate reads, with the folder column."""
+    longs = [StructField(name, LongType()) for name in (key, *COUNTERS, "fetched_us")]
+    return StructType([*longs, StructField("fetch_date", StringType())])
+
+
 HISTORY_RECORD = StructType(
     [StructField(name, LongType()) for name in ("account_id", "match_id", "hero_id")]
 )

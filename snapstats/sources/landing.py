@@ -71,43 +71,55 @@ def union_snapshots(frames: list[DataFrame]) -> DataFrame:
     return functools.reduce(lambda one, two: one.unionByName(two, allowMissingColumns=True), frames)
 
 
-def bronze_records(envelopes: DataFrame, endpoint: str, payload: str = "data") -> DataFrame:
-    """Exploded records with the layout columns of the bronze table.
+def bronze_records(envelopes: DataFrame, payload: str = "data") -> DataFrame:
+    """Exploded records with their date, and with their stamp also as microseconds.
 
-    ``fetched_us`` is the stamp in microseconds, so that later aggregates need not parse text.
+    ``fetched_us`` spares later aggregates the parsing of text.
     """
     records = explode_records(envelopes, payload=payload)
     return records.select(
         "*",
         iso_micros(F.col("fetched_at")).alias("fetched_us"),
-        F.lit(endpoint).alias("endpoint"),
         F.substring("fetched_at", 1, 10).alias("fetch_date"),
     )
 
 
-def land_bronze(envelopes: DataFrame, path: str, endpoint: str, *, payload: str = "data", mode: str = "overwrite") -> None:
-    """Write records as Parquet below ``endpoint=/fetch_date=``.
+def land_bronze(
+    envelopes: DataFrame, path: str, endpoint: str, *, payload: str = "data", mode: str = "overwrite"
+) -> None:
+    """Write records as Parquet below ``<path>/<endpoint>/fetch_date=``; the dates written are replaced.
 
     JSON envelopes cannot be split, cannot skip columns and carry no statistics; this is the one pass
     that reads them.  The rebalance hint evens out files: small dates share a task, a hot date is split.
     """
     (
-        bronze_records(envelopes, endpoint, payload)
+        bronze_records(envelopes, payload)
         .hint("rebalance", "fetch_date")
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("endpoint", "fetch_date")
-        .parquet(path)
+        .partitionBy("fetch_date")
+        .parquet(f"{path.rstrip('/')}/{endpoint}")
     )
 
 
 def read_bronze(
-    spark: SparkSession, path: str, endpoint: str, first_date: str | None = None, last_date: str | None = None
+    spark: SparkSession,
+    path: str,
+    endpoint: str,
+    first_date: str | None = None,
+    last_date: str | None = None,
+    schema: StructType | None = None,
 ) -> DataFrame:
-    """Records of one endpoint; the date range prunes folders."""
-    frame = spark.read.parquet(path).where(F.col("endpoint") == endpoint)
+    """Records of one endpoint; the date range prunes folders.
+
+    Without ``schema`` the schemas of all files are merged, so that fields that came or went over time are
+    kept; declaring one spares that pass over the file footers.
+    """
+    reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", True)
+    frame = reader.parquet(f"{path.rstrip('/')}/{endpoint}")
+    day = F.col("fetch_date").cast("string")
     if first_date is not None:
-        frame = frame.where(F.col("fetch_date") >= F.lit(first_date).cast(frame.schema["fetch_date"].dataType))
+        frame = frame.where(day >= first_date)
     if last_date is not None:
-        frame = frame.where(F.col("fetch_date") <= F.lit(last_date).cast(frame.schema["fetch_date"].dataType))
-    return frame.drop("endpoint")
+        frame = frame.where(day <= last_date)
+    return frame

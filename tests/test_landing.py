@@ -117,7 +117,8 @@ def test_bronze_prunes_and_reads_few_columns(spark, tmp_path):
     envelopes = spark.createDataFrame(rows, f"fetched_at string, data array<{record}>")
     path = str(tmp_path / "bronze")
     landing.land_bronze(envelopes, path, "hero_stats")
-    landing.land_bronze(envelopes, path, "other")
+    other = spark.createDataFrame([("2026-04-02T00:00:00+00:00", [(1,)])], "fetched_at string, data array<struct<x:int>>")
+    landing.land_bronze(other, path, "other")
     frame = landing.read_bronze(spark, path, "hero_stats", "2026-04-02", "2026-04-03")
     rate = aggregate.win_rate(frame, "hero_id")
     assert values(rate) == [
@@ -125,7 +126,7 @@ def test_bronze_prunes_and_reads_few_columns(spark, tmp_path):
         (2, 0, 6, 6, "2026-04-03T00:00:00+00:00", 0.0),
     ]
     plan = rate._jdf.queryExecution().executedPlan().toString()
-    assert "extra" not in plan and "PartitionFilters: [isnotnull(endpoint" in plan
+    assert "extra" not in plan and "PartitionFilters: [isnotnull(fetch_date" in plan
 
 
 def test_bronze_equals_json_and_refreshes_dates(spark, tmp_path):
@@ -141,6 +142,14 @@ def test_bronze_equals_json_and_refreshes_dates(spark, tmp_path):
     assert aggregate.win_rate(landing.read_bronze(spark, path, "hero_stats"), "hero_id").collect()[0]["total_wins"] == 12
 
 
+def test_bronze_keeps_fields_of_all_dates(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    for day, record, row in ((1, "struct<a:int>", (1,)), (2, "struct<a:int, b:string>", (2, "x"))):
+        frame = spark.createDataFrame([(f"2026-04-0{day}T00:00:00+00:00", [row])], f"fetched_at string, data array<{record}>")
+        landing.land_bronze(frame, path, "e")
+    assert values(landing.read_bronze(spark, path, "e"), "a", "b") == [(1, None), (2, "x")]
+
+
 def test_union_of_differing_snapshots(spark):
     one = spark.createDataFrame([(1, "a")], "id int, x string")
     two = spark.createDataFrame([(2, 5)], "id int, y int")
