@@ -53,8 +53,7 @@ def plain_number(number: Column, dtype: T.DataType) -> Column:
     return (
         F.when(whole & (size < 1e18), F.floor(number).cast("string"))
         .when((size >= 1e-3) & (size < 1e7), text)
-        .when((size >= 1e7) & (size < 1e18), _trimmed(text.try_cast("decimal(38,18)").cast("string")))
-        .when((size >= 1e-6) & (size < 1e-3), _trimmed(text.try_cast("decimal(38,30)").cast("string")))
+        .when((size >= 1e-6) & (size < 1e16), _trimmed(text.cast("decimal(38,22)").cast("string")))
         .otherwise(text)
     )
 

@@ -11,7 +11,7 @@ from snapstats.functions.display import cell, clipped_json, grouped_number, plai
 from snapstats.functions.parsing import leading_int_col
 from snapstats.functions.stamps import display_time, iso_micros, iso_utc, landing_path, stamp_path
 from snapstats.operators import aggregate, blocks, discover, filters, lookup, shape
-from snapstats.plans import browse, derived, refresh, report
+from snapstats.plans import browse, derived, discovery, refresh, report
 from snapstats.schemas import bronze_counters, counter_record, envelope_schema
 from snapstats.session import scratch_path
 from snapstats.sinks.landing import build_envelopes, jsonable, land_records
@@ -295,7 +295,21 @@ def details_missing(spark, sf_dir):
 @query
 def request_grid(spark, sf_dir):
     heroes = discover.distinct_ids(_hero_records(spark, sf_dir), "hero_id")
-    return discover.request_grid(heroes, ["ability_order_stats", "build_item_stats"])
+    return discover.request_grid(heroes, discovery.PER_HERO_ENDPOINTS)
+
+
+@query
+def discovered(spark, sf_dir):
+    """How many ids and follow-up requests a whole discovery run finds."""
+    orders = derived.table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "match_id")
+    found = discovery.discover(
+        derived.hero_envelopes(spark, sf_dir), orders, derived.match_records(spark, sf_dir)
+    )
+    counts = [
+        frame.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("what"), "n")
+        for name, frame in found._asdict().items()
+    ]
+    return landing.union_snapshots(counts)
 
 
 @query

@@ -134,6 +134,13 @@ ORACLE_SQL |= {
     "request_grid": """
         SELECT hero_id, endpoint FROM (SELECT DISTINCT l_suppkey AS hero_id FROM lineitem),
                (VALUES ('ability_order_stats'), ('build_item_stats')) AS e(endpoint)""",
+    "discovered": """
+        SELECT 'heroes' AS what, count(DISTINCT l_suppkey) AS n FROM lineitem
+        UNION ALL SELECT 'matches', count(DISTINCT o_orderkey) FROM orders
+        UNION ALL SELECT 'accounts', count(DISTINCT l_suppkey) FROM lineitem WHERE l_suppkey > 0
+        UNION ALL SELECT 'hero_requests', 2 * count(DISTINCT l_suppkey) FROM lineitem
+        UNION ALL SELECT 'match_requests', count(DISTINCT o_orderkey) FROM orders
+                  WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""",
     "chunk_numbers": f"SELECT account_id, block, {SUFFIX} AS suffix FROM ({BLOCKS})",
     "chunk_totals": f"""
         SELECT block, {SUFFIX} AS suffix, count(*) AS records FROM ({BLOCKS}) b

@@ -137,3 +137,14 @@ def test_scratch_folder():
     assert "/x-" in scratch_path(Session(spark__master="local[2]"), "x")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_path(Session(spark__master="yarn"), "x")
+
+
+def test_job_from_the_command_line(spark, landed, capsys, monkeypatch):
+    from snapstats import refresh_job
+
+    monkeypatch.setattr(refresh_job, "build_session", lambda name: spark)
+    target = str(landed / "out")
+    assert refresh_job.main([str(landed), target, "--endpoints", "hero_stats,unheard_of", "--parallel", "1"]) == 0
+    shown = capsys.readouterr().out
+    assert "hero_stats" in shown and "SKIP" in shown
+    assert refresh_job.main([str(landed), target, "--endpoints", "badge_distribution"]) == 1
