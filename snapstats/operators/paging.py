@@ -12,8 +12,9 @@ from pyspark.sql import types as T
 
 from snapstats.operators.shape import quoted
 
-DIRECT_ROWS = 50_000
-SPLITS = 24
+DIRECT_ROWS = 100_000
+MERGED_ROWS = 5_000_000
+SPLITS = 16
 MAX_PASSES = 40
 
 FILE, ROW = "_file", "_row"
@@ -81,8 +82,9 @@ def fetch_page(placed: DataFrame, keys: list[SortKey], offset: int, count: int,
     The sort reads the sort columns alone; then the rows, at most one page, are fetched by their positions
     from just the files that hold them.
     """
+    tasks = placed.rdd.getNumPartitions()  # of a plain scan: known without a job
     spots: dict[str, list[int]] = {}
-    for spot in page_rows(placed, keys, offset, count, direct).select(FILE, ROW).collect():
+    for spot in page_rows(placed, keys, offset, count, direct, tasks).select(FILE, ROW).collect():
         spots.setdefault(spot[FILE], []).append(spot[ROW])
     if not spots:
         return placed.limit(0)
@@ -110,56 +112,67 @@ def sort_rows(frame: DataFrame, keys: list[SortKey]) -> DataFrame:
     return frame.orderBy(*[k.order() for k in keys]) if keys else frame
 
 
-def page_rows(frame: DataFrame, keys: list[SortKey], offset: int, count: int, direct: int = DIRECT_ROWS) -> DataFrame:
+def page_rows(
+    frame: DataFrame, keys: list[SortKey], offset: int, count: int, direct: int = DIRECT_ROWS, tasks: int = 1
+) -> DataFrame:
     """Rows ``offset`` to ``offset + count`` of the sorted frame.
 
-    Near the top this is one top-k plan.  A top-k keeps ``offset + count`` rows in each task, so beyond
-    ``direct`` rows the frame is first narrowed: counting rows between a few values of the sort column
-    tells between which of them the page lies, and only that range is sorted.  A counting pass reads one
-    column and returns a few numbers.  When one value holds many rows, the next sort column narrows
-    within it.
+    Near the top of a moderate table this is one top-k plan.  A top-k keeps ``offset + count`` rows in each
+    of its ``tasks`` and merges them all in one, so a page beyond ``direct`` rows, or a table of very many
+    tasks, is first narrowed: counting rows between a few values of the sort column tells between which of
+    them the page lies, and only that range is sorted.  A counting pass reads one column and returns a few
+    numbers.  When one value holds many rows, the next sort column narrows within it.
     """
-    if offset <= direct or not keys:
+    if not keys or _fits(offset, count, direct, tasks):
         return sort_rows(frame, keys).offset(offset).limit(count)
-    return _narrow(frame, keys, 0, offset, count, direct)
+    return _narrow(frame, keys, 0, offset, count, direct, tasks)
+
+
+def _fits(offset: int, count: int, direct: int, tasks: int, rows: int | None = None) -> bool:
+    """Whether a top-k is light: few rows kept per task, and few merged (no more than there are)."""
+    merged = tasks * (offset + count)
+    return offset <= direct and (merged if rows is None else min(merged, rows)) <= MERGED_ROWS
 
 
-def _narrow(frame: DataFrame, keys: list[SortKey], at: int, offset: int, count: int, direct: int) -> DataFrame:
+def _narrow(
+    frame: DataFrame, keys: list[SortKey], at: int, offset: int, count: int, direct: int, tasks: int
+) -> DataFrame:
     if at == len(keys):  # rows equal in every sort column: any of them will do
         return frame.limit(count)
-    key = keys[at]
+    key, rows = keys[at], None
     for seed in range(MAX_PASSES):
-        if offset <= direct:
+        if _fits(offset, count, direct, tasks, rows):
             break
-        total, spans = _count_spans(frame, key, _split_values(frame, key, seed))
-        count = min(count, total - offset)
+        rows, spans = _count_spans(frame, key, _split_values(frame, key, seed))
+        count = min(count, rows - offset)
         if count <= 0:
             return frame.limit(0)
         reached = [span for span in spans if span.before <= offset]
         beyond = [span for span in spans if span.before >= offset + count]
         if beyond:
-            frame = frame.where(key.before(beyond[0].value))
+            frame, rows = frame.where(key.before(beyond[0].value)), beyond[0].before
         if reached:
             low = reached[-1]
             if low.through <= offset:
-                frame, offset = frame.where(key.after(low.value)), offset - low.through
-            elif offset - low.before > direct:
-                return _inside_run(frame, keys, at, low, offset - low.before, count, direct)
+                frame, skipped = frame.where(key.after(low.value)), low.through
+            elif not _fits(offset - low.before, count, direct, tasks, low.through - low.before):
+                return _inside_run(frame, keys, at, low, offset - low.before, count, direct, tasks)
             else:
-                frame, offset = frame.where(key.same(low.value) | key.after(low.value)), offset - low.before
+                frame, skipped = frame.where(key.same(low.value) | key.after(low.value)), low.before
+            offset, rows = offset - skipped, rows - skipped
     return sort_rows(frame, keys[at:]).offset(offset).limit(count)
 
 
 def _inside_run(
-    frame: DataFrame, keys: list[SortKey], at: int, run: Span, offset: int, count: int, direct: int
+    frame: DataFrame, keys: list[SortKey], at: int, run: Span, offset: int, count: int, direct: int, tasks: int
 ) -> DataFrame:
     """A page that starts among the rows of one hot value and may end after them."""
     key = keys[at]
     inside = min(count, run.through - run.before - offset)
-    first = _narrow(frame.where(key.same(run.value)), keys, at + 1, offset, inside, direct)
+    first = _narrow(frame.where(key.same(run.value)), keys, at + 1, offset, inside, direct, tasks)
     if inside == count:
         return first
-    following = sort_rows(frame.where(key.after(run.value)), keys[at:]).limit(count - inside)
+    following = _narrow(frame.where(key.after(run.value)), keys, at, 0, count - inside, direct, tasks)
     return sort_rows(first.unionByName(following), keys[at:]).limit(count)
 
 
@@ -181,10 +194,20 @@ def _split_values(frame: DataFrame, key: SortKey, seed: int) -> list[Column | No
 
 def _count_spans(frame: DataFrame, key: SortKey, splits: list[Column | None]) -> tuple[int, list[Span]]:
     """Row total, and how many rows lie before and up to each split value."""
-    place = F.lit(2 * len(splits))
-    for n, value in reversed(list(enumerate(splits))):
-        place = F.when(key.before(value), 2 * n).when(key.same(value), 2 * n + 1).otherwise(place)
-    sizes = {row["place"]: row["count"] for row in frame.groupBy(place.alias("place")).count().collect()}
+    def place(low: int, high: int) -> Column:
+        """Even numbers are the gaps around the split values, odd numbers the values; found by bisection."""
+        if low == high:
+            return F.lit(2 * low)
+        middle = (low + high) // 2
+        value = splits[middle]
+        return (
+            F.when(key.before(value), place(low, middle))
+            .when(key.same(value), 2 * middle + 1)
+            .otherwise(place(middle + 1, high))
+        )
+
+    placed = frame.groupBy(place(0, len(splits)).alias("place")).count()
+    sizes = {row["place"]: row["count"] for row in placed.collect()}
     spans, seen = [], 0
     for n, value in enumerate(splits):
         before = seen + sizes.get(2 * n, 0)
