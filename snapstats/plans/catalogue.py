@@ -431,7 +431,14 @@ def browse_deep_page(spark, sf_dir):
 def browse_hot_value_page(spark, sf_dir):
     """A deep page inside the rows of one frequent sort value."""
     page = browse.browse(
-        _collections(spark, sf_dir), "lineitem", 200, 150, "l_returnflag", "desc", tie_break=(*LINE_KEYS, "l_extendedprice"), direct=2_000
+        _collections(spark, sf_dir),
+        "lineitem",
+        200,
+        150,
+        "l_returnflag",
+        "desc",
+        tie_break=(*LINE_KEYS, "l_extendedprice"),
+        direct=2_000,
     )
     return page.rows
 
@@ -590,7 +597,7 @@ def streamed_win_rate(spark, sf_dir):
     root, target = scratch_path(spark, "landing"), scratch_path(spark, "stream")
     land_records(derived.hero_snapshots(spark, sf_dir), root, "hero_stats")
     stream_win_rate(
-        spark, root, "hero_stats", "hero_id", target, scratch_path(spark, "checkpoint"), files_per_batch=40
+        spark, root, "hero_stats", "hero_id", target, scratch_path(spark, "checkpoint")
     ).awaitTermination()
     return spark.read.parquet(target)
 

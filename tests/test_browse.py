@@ -257,3 +257,12 @@ def test_hero_picker(spark):
 def test_bands(spark):
     frame = spark.createDataFrame([(0.52,), (0.4,), (None,)], "win_rate double")
     assert values(report.with_band(frame), "win_rate_band") == [("high",), ("low",), (None,)]
+
+
+def test_folder_names_with_blanks_and_partitions(spark, tmp_path):
+    root = str(tmp_path / "a b%20ü")
+    frame = spark.range(60).select("id", (F.col("id") % 3).alias("hero_id"), F.concat(F.lit("x y="), F.col("id") % 2).alias("part"))
+    frame.write.partitionBy("part").parquet(f"{root}/item_stats")
+    page = browse.browse(Collections(spark, root), "item_stats", 2, 7, "id", "asc", hero_id=1)
+    assert [r["id"] for r in page.rows.collect()] == [n for n in range(60) if n % 3 == 1][7:14]
+    assert page.meta.collect()[0]["total"] == 20
