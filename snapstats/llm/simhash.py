@@ -3,10 +3,13 @@
 The 64 bits of a fingerprint are three segments (22, 21, 21 bits), each read as a word of the perfect [23, 12]
 Golay code.  A segment's indices are the data bits of the codewords nearest to it and to its one-bit neighbours:
 two segments at most two bits apart share an index (some word is within one bit of both, and it has one nearest
-codeword).  Fingerprints at most four bits apart agree in one of these ways, which are the keys:
-  - some segment is equal; then another one differs in at most two bits: (segment, index of another), 6 pairs;
-  - all three differ; then they differ as 1+1+1 or 1+1+2, and the first two differ in at most two bits each:
-    (index of the first, index of the second).
+codeword).  Segments one bit apart differ in parity, so it is enough that the odd one gives all its indices and the
+even one that of itself: these are the close indices.  Fingerprints at most four bits apart agree in one of these
+ways, which are the keys:
+  - some segment is equal, and the next one (in a ring) differs in at most two bits: (segment, index of the next);
+  - some segment is equal and the next one differs in three or more, so the last one in at most one:
+    (segment, close index of the last);
+  - all three differ, as 1+1+1 or 1+1+2: (close index, close index) of two of them, for each two.
 Buckets of a key are verified by counting differing bits.  A small bucket is joined with itself with the test
 inside the join; in a large one each task walks from fingerprint to fingerprint over those not reached yet, and
 hands back a spanning forest, so copies are never expanded into pairs.  A bucket beyond ``BLOCK`` is dealt to
@@ -97,27 +100,33 @@ def indices(segment: np.ndarray, width: int, errors: np.ndarray) -> np.ndarray:
 def golay_keys(fps: np.ndarray, errors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(position in ``fps``, key) pairs."""
     bits = fps.view(np.uint64)
-    parts, at = [], 0
+    parts, every, close, at = [], [], [], 0
     for width in WIDTHS:
-        parts.append(((bits >> np.uint64(at)) & np.uint64((1 << width) - 1)).astype(np.int64))
+        part = ((bits >> np.uint64(at)) & np.uint64((1 << width) - 1)).astype(np.int64)
+        near = indices(part, width, errors)
+        even = np.bitwise_count(part) % 2 == 0
+        own = np.full_like(near, -1)
+        own[:, 0] = (part ^ errors[_remainder(part)]) >> 11
+        parts.append(part)
+        every.append(near)
+        close.append(np.where(even[:, None], own, near))
         at += width
-    sets = [indices(p, w, errors) for p, w in zip(parts, WIDTHS, strict=True)]
     places, keys = [], []
 
-    def put(tag: int, head: np.ndarray, tail: np.ndarray) -> None:
+    def put(tag: int, rows: np.ndarray, head: np.ndarray, tail: np.ndarray) -> None:
+        """Each head with all indices of the same row of ``tail``."""
         row, col = np.nonzero(tail >= 0)
-        places.append(row)
+        places.append(rows[row])
         keys.append((tag << 40) | (head[row] << 12) | tail[row, col])
 
+    whole = np.arange(len(fps))
     for i in range(3):
-        for j in range(3):
-            if i != j:
-                put(3 * i + j, parts[i], sets[j])
-    for col in range(sets[0].shape[1]):
-        rows = np.nonzero(sets[0][:, col] >= 0)[0]
-        r, c = np.nonzero(sets[1][rows] >= 0)
-        places.append(rows[r])
-        keys.append((9 << 40) | (sets[0][rows[r], col] << 12) | sets[1][rows[r], c])
+        put(i, whole, parts[i], every[(i + 1) % 3])
+        put(3 + i, whole, parts[i], close[(i + 2) % 3])
+        first, second = close[i], close[(i + 1) % 3]
+        for col in range(first.shape[1]):
+            rows = np.nonzero(first[:, col] >= 0)[0]
+            put(6 + i, rows, first[rows, col], second[rows])
     return np.concatenate(places), np.concatenate(keys)
 
 
@@ -165,15 +174,14 @@ def links(fps: DataFrame, most: int = 4) -> DataFrame:
     if most > 4:
         raise ValueError("the keys guarantee up to four differing bits")
     keyed = stage(fps.select("fp").distinct().mapInArrow(_keyed, "key long, fp long"), "golay-keys")
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > 1)
-    shared = stage(keyed.join(sizes, "key"), "golay-buckets")
-    few = shared.where(F.col("m") <= SMALL).select("key", "fp")
+    hot = stage(keyed.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > SMALL), "golay-hot")
+    few = keyed.join(hot, "key", "left_anti")
     other = few.select("key", F.col("fp").alias("other"))
     pairs = few.join(other, (few["key"] == other["key"]) & (few["fp"] < other["other"])
                      & (F.bit_count(few["fp"].bitwiseXOR(other["other"])) <= most)).select(
         F.col("fp").alias("a"), F.col("other").alias("b"))
     blocks = F.ceil(F.col("m") / F.lit(BLOCK)).cast("int")
-    many = shared.where(F.col("m") > SMALL).select("key", "fp", blocks.alias("n"), F.pmod(F.xxhash64("fp"), blocks).cast("int").alias("own"))
+    many = keyed.join(hot, "key").select("key", "fp", blocks.alias("n"), F.pmod(F.xxhash64("fp"), blocks).cast("int").alias("own"))
     dealt = many.select("key", "fp", "own", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other")).select(
         "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp")
     walked = dealt.groupBy("key", "i", "j").applyInPandas(_verify(most), "a long, b long")
