@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from snapstats.llm import line_dedup, quality_rules, simhash
+from snapstats.llm import decontaminate, line_dedup, packing, quality_rules, simhash
 from snapstats.llm.common import stage, table
+from snapstats.llm.queries import tokenizer_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,8 +17,6 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that many documents share stay in one of them; ``n_chars`` follows the text."""
-    from pyspark.sql import functions as F
-
     kept = line_dedup.dedup_lines(docs)
     changed = F.when(F.col("n_dropped") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
     return kept.withColumn("n_chars", changed).select(docs.columns)
@@ -27,10 +27,22 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash.keep_one(docs)
 
 
+def contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of what is left, placed in sequences."""
+    return packing.pack(docs, tokenizer_path())
+
+
 STAGES = [
     ("quality rules", quality),
     ("line dedup", lines),
     ("near duplicates", near_duplicates),
+    ("decontamination", contamination),
+    ("packing", pack),
 ]
 
 #: Fingerprints and token ids have no SQL form; tests/llm holds the stages against brute-force versions.

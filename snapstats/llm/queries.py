@@ -4,12 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from snapstats.llm import line_dedup, quality_rules, simhash
+from snapstats.llm import decontaminate, line_dedup, packing, quality_rules, simhash
 from snapstats.llm.common import table, text_of
 
 QUERIES = {}
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file of the registered packing query."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def query(function):
     QUERIES[function.__name__] = function
     return function
@@ -33,3 +40,14 @@ def op3_line_dedup(spark, sf_dir):
 def op9_simhash(spark, sf_dir):
     rows = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op6_decontamination(spark, sf_dir):
+    rows = decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.select("doc_id", F.col("item").alias("item_id"), "coverage", "n_windows", "n_slots", "n_changed", "consistent")
+
+
+@query
+def op8_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
