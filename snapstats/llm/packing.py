@@ -12,6 +12,7 @@ equal in everything are told apart by rank only.  Null ids are carried.  No rows
 
 from __future__ import annotations
 
+import os
 import zlib
 from bisect import bisect_right, insort
 
@@ -24,7 +25,7 @@ from snapstats.llm.common import stage
 
 CAPACITY = 2048
 #: Words remembered by a task, and pieces per bucket of a length.
-MEMO, BUCKET_ROWS = 200_000, 50_000
+MEMO, BUCKET_ROWS = 500_000, 50_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -36,6 +37,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
     """
 
     def cut(batches):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         coder = Tokenizer.from_file(tokenizer)
@@ -43,15 +45,16 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
         end = np.array([end_id], "<u4").tobytes()
 
         def encoded(words: list[str]) -> bytes:
+            """Ids of the words; frequent words come early and stay remembered, later ones are encoded where they stand."""
             new = [w for w in set(words) if w not in memo]
-            if len(memo) + len(new) > MEMO:
-                memo.clear()
-                new = list(set(words))
+            known = memo if len(memo) + len(new) <= MEMO else {}
             for k in range(0, len(new), 4096):
                 part = new[k : k + 4096]
                 for w, e in zip(part, coder.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                    memo[w] = np.array(e.ids, "<u4").tobytes()
-            return b"".join(map(memo.__getitem__, words))
+                    known[w] = np.array(e.ids, "<u4").tobytes()
+            if known is memo:
+                return b"".join(map(memo.__getitem__, words))
+            return b"".join([known[w] if w in known else memo[w] for w in words])
 
         step = 4 * capacity
         for batch in batches:
