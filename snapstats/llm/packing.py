@@ -15,6 +15,7 @@ from __future__ import annotations
 import os
 import zlib
 from bisect import bisect_right, insort
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -29,39 +30,56 @@ MEMO, BUCKET_ROWS = 500_000, 50_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+class Words(dict):
+    """Ids (little-endian bytes) of words without blanks, by the tokenizer; the first ``MEMO`` stay remembered.
+
+    Its pattern takes a run of letters, or of signs, as one piece, so a word is its letters and the signs behind
+    them, and letters that normalisation leaves alone may go straight to the tokenizer's model, as their bytes.
+    """
+
+    def __init__(self, coder, most: int):
+        super().__init__()
+        self.coder, self.model, self.most = coder, coder.model, most
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [b for b in range(256) if b not in printable]
+        self.alphabet = {b: 256 + k for k, b in enumerate(rest)}  # how the byte-level vocabulary writes bytes
+
+    def __missing__(self, word: str) -> bytes:
+        core = word.rstrip(".,!?;:*&%#$")
+        if core != word and core and core[-1].lower().isalpha():
+            ids = self[core] + self[word[len(core):]]
+        elif word.isalpha() and word == word.lower() and is_normalized("NFC", word):
+            text = word.encode().decode("latin-1").translate(self.alphabet)
+            ids = np.array([t.id for t in self.model.tokenize(text)], "<u4").tobytes()
+        else:
+            ids = np.array(self.coder.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        if len(self) < self.most:
+            self[word] = ids
+        return ids
+
+    def encoded(self, text: str) -> bytes:
+        if text.isascii() and "<|" not in text:
+            text = text.lower()
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+
+
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
     """The pieces of every document: ids of the whole text, then ``end_id``, cut every ``capacity`` ids.
 
-    The tokenizer (a path that executors can read) never joins over blanks, so words are encoded one by one
-    and remembered.
+    The tokenizer is a path that executors can read; it never joins over blanks, so words are encoded one by one.
     """
 
     def cut(batches):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        coder = Tokenizer.from_file(tokenizer)
-        memo: dict[str, bytes] = {}
+        words = Words(Tokenizer.from_file(tokenizer), MEMO)
         end = np.array([end_id], "<u4").tobytes()
-
-        def encoded(words: list[str]) -> bytes:
-            """Ids of the words; frequent words come early and stay remembered, later ones are encoded where they stand."""
-            new = [w for w in set(words) if w not in memo]
-            known = memo if len(memo) + len(new) <= MEMO else {}
-            for k in range(0, len(new), 4096):
-                part = new[k : k + 4096]
-                for w, e in zip(part, coder.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                    known[w] = np.array(e.ids, "<u4").tobytes()
-            if known is memo:
-                return b"".join(map(memo.__getitem__, words))
-            return b"".join([known[w] if w in known else memo[w] for w in words])
-
         step = 4 * capacity
         for batch in batches:
             out = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = (text or "").replace("\n", " ").split(" ")
-                ids = b"".join([encoded(words[k : k + 50_000]) for k in range(0, len(words), 50_000)]) + end
+                ids = words.encoded(text or "") + end
                 out += [(doc_id, k, k * capacity, len(part := ids[k * step : (k + 1) * step]) // 4, zlib.crc32(part))
                         for k in range(-(-len(ids) // step))]
             columns = list(zip(*out, strict=True)) or [()] * 5

@@ -184,3 +184,16 @@ def test_pipeline_matches_brute_force(spark, sf_dir, documents):
     packed = corpus_pipeline.run(spark, sf_dir).collect()
     assert Counter(tuple(r)[:5] for r in packed) == pieces_of(rows, packing.CAPACITY)
     check_places(packed, packing.CAPACITY)
+
+
+def test_words_are_encoded_as_the_tokenizer_does():
+    from tokenizers import Tokenizer
+
+    coder = Tokenizer.from_file(tokenizer_path())
+    words = packing.Words(coder, 100)
+    rng = random.Random(1)
+    pool = "aAbzéÉßİıΣσςkK019 .,'!?*\n\t  \x1ć̱Ḧ漢字ありª²½😀<|>startoftext&"
+    for n in range(8000):
+        text = "".join(rng.choices(pool, k=rng.randint(0, 14)))
+        text += "<|endoftext|>" + text if n % 50 == 0 else "it's they'LL don'T <|ENDOFTEXT|>." if n % 51 == 0 else ""
+        assert words.encoded(text) == np.array(coder.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
