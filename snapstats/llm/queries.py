@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from snapstats.llm import decontaminate, line_dedup, packing, quality_rules, simhash
-from snapstats.llm.common import table, text_of
+from snapstats.llm import decontaminate, line_dedup, packing, quality_classifier, quality_rules, simhash, warc
+from snapstats.llm.common import crc_mod, table, text_of
 
 QUERIES = {}
 
@@ -51,3 +51,17 @@ def op6_decontamination(spark, sf_dir):
 @query
 def op8_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query
+def op5_warc(spark, sf_dir):
+    rows = warc.round_trip(table(spark, sf_dir, "pages"))
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op1_quality_classifier(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False))
+    rows = quality_classifier.quality_scores(docs, labels, F.col("doc_id").isNotNull() & ~held_out)
+    return rows.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
