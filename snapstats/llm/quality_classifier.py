@@ -27,6 +27,7 @@ BUCKETS, DIM, EPOCHS, RATE = 1 << 18, 12, 6, 0.5
 MAX_ROWS, MAX_BYTES = 3000, 24 << 20
 MEMO = 300_000
 NGRAMS = (3, 4)
+REPEAT, LEAST_DOCS = 0, 3
 
 
 @dataclass
@@ -62,9 +63,11 @@ class Features:
 
 
 def pairs(hashes: np.ndarray) -> np.ndarray:
-    """Buckets of neighbouring words."""
+    """Buckets of neighbouring words; a word that follows itself is the same pair whatever the word."""
     mixed = hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:] * np.uint64(0xC2B2AE3D27D4EB4F)
-    return ((mixed >> np.uint64(40)) % np.uint64(BUCKETS)).astype(np.int32)
+    found = ((mixed >> np.uint64(40)) % np.uint64(BUCKETS)).astype(np.int32)
+    found[hashes[:-1] == hashes[1:]] = REPEAT
+    return found
 
 
 def train(rows: list[tuple[str | None, int]], seed: int = 1) -> Model:
@@ -80,6 +83,11 @@ def train(rows: list[tuple[str | None, int]], seed: int = 1) -> Model:
     bias = np.log(np.array([len(rows) - ones, ones]) / len(rows))
     reader = Features()
     docs = [(b, (c / c.sum()).astype(np.float32), y) for t, y in rows for b, c in [reader.document(t)] if len(b)]
+    seen = np.zeros(BUCKETS, np.int64)
+    for b, _, _ in docs:
+        seen[b] += 1
+    vectors[seen < LEAST_DOCS] = 0  # what few texts hold says which text it is, not how good
+    docs = [(b[own], c[own], y) for b, c, y in docs for own in [seen[b] >= LEAST_DOCS]]
     steps, done = EPOCHS * len(docs), 0
     for _ in range(EPOCHS):
         for k in rng.permutation(len(docs)):
