@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from snapstats.llm import decontaminate, line_dedup, packing, quality_classifier, quality_rules, simhash, warc
+from snapstats.llm import decontaminate, interpolation, line_dedup, packing, quality_classifier, quality_rules, simhash, warc
 from snapstats.llm.common import crc_mod, table, text_of
 
 QUERIES = {}
@@ -65,3 +65,8 @@ def op1_quality_classifier(spark, sf_dir):
     held_out = F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False))
     rows = quality_classifier.quality_scores(docs, labels, F.col("doc_id").isNotNull() & ~held_out)
     return rows.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op2_lm_scores(spark, sf_dir):
+    return interpolation.interpolated_scores(table(spark, sf_dir, "documents"), crc_mod("doc_id", 5) == 1)
