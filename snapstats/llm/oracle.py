@@ -18,4 +18,12 @@ kept AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped
 ORACLE_SQL = {
     "op3_line_dedup": "WITH" + LINES.format(docs="documents")
     + "SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM kept",
+    "op5_warc": """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                  sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)""",
 }

@@ -30,22 +30,26 @@ from pyspark.sql import functions as F
 from snapstats.llm.common import stage
 from snapstats.session import scratch_path
 
-LEAST, ROLL_BYTES, SHARD_BYTES, RANGES = 100, 32 << 20, 256 << 20, 4096
+LEAST, ROLL_BYTES, SHARD_BYTES, RANGES = 100, 16 << 20, 32 << 20, 4096
 DATE = "2000-01-01T00:00:00Z"
 MANIFEST = "file string, bytes long, records long, sha256 string"
 RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, file string, position long"
 
 
-def classified(pages: DataFrame, least: int = LEAST) -> DataFrame:
-    """page_id, url, payload, digest, size, shard key material, and ``refers_to`` (null for responses)."""
+def payloads(pages: DataFrame) -> DataFrame:
+    """page_id, url, payload, its digest and size."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         payload.alias("payload"))
-    rows = rows.withColumns({"digest": F.sha2("payload", 256), "size": F.octet_length("payload").cast("long")})
-    first = rows.where(F.col("size") >= least).groupBy("digest", "size").agg(
-        F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    later = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
-    return rows.join(first, ["digest", "size"], "left").withColumn("refers_to", F.when(later, F.col("first"))).drop("first")
+    return rows.withColumns({"digest": F.sha2("payload", 256), "size": F.octet_length("payload").cast("long")})
+
+
+def revisits(rows: DataFrame, least: int = LEAST) -> DataFrame:
+    """(page_id, digest, refers_to) of what repeats an earlier payload; payloads themselves are not moved."""
+    narrow = rows.where(F.col("size") >= least).select("page_id", "digest", "size")
+    first = narrow.groupBy("digest", "size").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1")
+    later = F.col("refers_to").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("refers_to"))
+    return narrow.join(first, ["digest", "size"]).where(later).select("page_id", "digest", "refers_to").distinct()
 
 
 def shard_borders(rows: DataFrame, shard_bytes: int = SHARD_BYTES, ranges: int = RANGES) -> tuple[int, int, list[tuple[int, int]]]:
@@ -86,15 +90,18 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
 
 def write_archives(pages: DataFrame, target: str, roll_bytes: int = ROLL_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Write below ``target`` (a URI that pyarrow opens); the manifest, also kept as ``target/manifest``."""
-    rows = stage(classified(pages), "warc-pages")
+    rows = payloads(pages)
     low, width, borders = shard_borders(rows, shard_bytes)
     cell = F.coalesce(F.expr(f"cast((cast(page_id as decimal(20,0)) - {low}) div {width} as int)"), F.lit(0))
-    places = F.array(*[F.struct(F.lit(s).alias("first"), F.lit(n).alias("n")) for s, n in borders]) if len(borders) == 1 else F.from_json(
-        F.lit(json.dumps([{"first": s, "n": n} for s, n in borders])), "array<struct<first:int,n:int>>")
-    shards = borders[-1][0] + borders[-1][1]
-    dealt = rows.withColumn("_place", F.get(places, cell)).withColumn(
-        "shard", F.col("_place.first") + F.pmod(F.xxhash64("page_id", "digest"), F.col("_place.n")).cast("int")).drop("_place")
-    ordered = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "page_id", "digest", "url")
+    places = F.from_json(F.lit(json.dumps([{"first": s, "n": n} for s, n in borders])), "array<struct<first:int,n:int>>")
+    place = F.get(places, cell)
+    shard = (place["first"] + F.pmod(F.xxhash64("page_id", "digest"), place["n"])).cast("int")
+    # a mark comes to the shard of its page, just before it
+    marks = revisits(rows).withColumns({"url": F.lit(None).cast("string"), "payload": F.lit(None).cast("binary"), "body": F.lit(0)})
+    every = rows.drop("size").withColumns({"refers_to": F.lit(None).cast("long"), "body": F.lit(1)}).unionByName(marks)
+    dealt = every.withColumn("shard", shard)
+    ordered = dealt.repartitionById(borders[-1][0] + borders[-1][1], F.col("shard")).sortWithinPartitions(
+        "shard", "page_id", "digest", "body", "url")
 
     def write(batches):
         files, root = pafs.FileSystem.from_uri(target)
@@ -115,10 +122,14 @@ def write_archives(pages: DataFrame, target: str, roll_bytes: int = ROLL_BYTES,
                 [pa.array(c, t) for c, t in zip(zip(*done, strict=True), (pa.string(), pa.int64(), pa.int64(), pa.string()), strict=True)],
                 ["file", "bytes", "records", "sha256"])
 
-        current = None
+        current, marked = None, None
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("shard", "page_id", "url", "payload", "digest", "refers_to")]
-            for shard, *row in zip(*columns, strict=True):
+            columns = [batch.column(c).to_pylist() for c in ("body", "refers_to", "shard", "page_id", "url", "payload", "digest")]
+            for body, refers_to, shard, *row in zip(*columns, strict=True):
+                if not body:
+                    marked = (row[0], row[3], refers_to)
+                    continue
+                refers_to = marked[2] if marked and marked[:2] == (row[0], row[3]) else None
                 if out and (shard != current or out[1].tell() >= roll_bytes):
                     yield frame([close()])
                     out = None
@@ -126,7 +137,7 @@ def write_archives(pages: DataFrame, target: str, roll_bytes: int = ROLL_BYTES,
                 if out is None:
                     number[shard] = number.get(shard, -1) + 1
                     out = [f"shard-{shard:05d}-{number[shard]:05d}.warc.gz", io.BytesIO(), 0]
-                out[1].write(record(*row))
+                out[1].write(record(*row, refers_to))
                 out[2] += 1
         if out:
             yield frame([close()])
