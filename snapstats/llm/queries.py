@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from snapstats.llm import decontaminate, interpolation, line_dedup, packing, quality_classifier, quality_rules, simhash, warc
+from snapstats.llm import decontaminate, interpolation, line_dedup, packing, quality_classifier, quality_rules, secrets, simhash, warc
 from snapstats.llm.common import crc_mod, table, text_of
 
 QUERIES = {}
@@ -70,3 +70,12 @@ def op1_quality_classifier(spark, sf_dir):
 @query
 def op2_lm_scores(spark, sf_dir):
     return interpolation.interpolated_scores(table(spark, sf_dir, "documents"), crc_mod("doc_id", 5) == 1)
+
+
+@query
+def op4_secrets(spark, sf_dir):
+    rows = secrets.scan(table(spark, sf_dir, "documents"))
+    base, spans = F.col("base"), F.col("spans")
+    return rows.select("doc_id", *[secrets.number_of(k, base).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+                       F.sha2(secrets.listed(base).cast("binary"), 256).alias("base_sha256"), secrets.listed(spans).alias("spans"),
+                       "n_copied", "n_owner_specific")
