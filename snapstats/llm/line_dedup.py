@@ -63,8 +63,9 @@ class LineRuns:
 
 def line_hashes(docs: DataFrame, batches: int = BATCHES, least_chars: int = 20) -> DataFrame:
     """One row per line whose key is long enough: batch, document, row key, place and hashes; written once."""
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("_d"), *row_key(),
-                       F.posexplode(F.split(text_of(), "\n")).alias("_pos", "line"))
+    whole = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("_d"), *row_key(),
+                        F.split(text_of(), "\n").alias("lines"))  # keys first: rows of a line carry no text
+    rows = whole.select("_d", "_k1", "_k2", F.posexplode_outer("lines").alias("_pos", "line"))
     keyed = rows.select("_d", "_k1", "_k2", "_pos", ascii_lower(F.btrim("line", F.lit(SPACES))).alias("key"))
     return stage(keyed.where(F.char_length("key") >= least_chars).select(
         F.pmod(F.xxhash64("_d"), F.lit(batches)).cast("int").alias("_batch"), "_d", "_k1", "_k2", "_pos",

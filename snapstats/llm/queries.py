@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from snapstats.llm import decontaminate, interpolation, line_dedup, packing, quality_classifier, quality_rules, secrets, simhash, warc
+from snapstats.llm import decontaminate, interpolation, licenses, line_dedup, packing, quality_classifier, quality_rules, secrets, simhash, warc
 from snapstats.llm.common import crc_mod, table, text_of
 
 QUERIES = {}
@@ -79,3 +79,8 @@ def op4_secrets(spark, sf_dir):
     return rows.select("doc_id", *[secrets.number_of(k, base).alias(f"n_{k}") for k in ("assign", "access", "hex")],
                        F.sha2(secrets.listed(base).cast("binary"), 256).alias("base_sha256"), secrets.listed(spans).alias("spans"),
                        "n_copied", "n_owner_specific")
+
+
+@query
+def op10_licenses(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
