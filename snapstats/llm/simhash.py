@@ -173,7 +173,8 @@ def links(fps: DataFrame, most: int = 4) -> DataFrame:
     """Links (a, b) between distinct fingerprints (``fp``) whose components are those of all pairs within ``most`` bits."""
     if most > 4:
         raise ValueError("the keys guarantee up to four differing bits")
-    keyed = stage(fps.select("fp").distinct().mapInArrow(_keyed, "key long, fp long"), "golay-keys")
+    width = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # some fifty keys each: more tasks than for the rows themselves
+    keyed = stage(fps.select("fp").distinct().repartition(width, "fp").mapInArrow(_keyed, "key long, fp long"), "golay-keys")
     hot = stage(keyed.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > SMALL), "golay-hot")
     few = keyed.join(hot, "key", "left_anti")
     other = few.select("key", F.col("fp").alias("other"))
