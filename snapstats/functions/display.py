@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -94,18 +96,21 @@ def bar_width(percentage: Column) -> Column:
 
 def title_words(text: Column) -> Column:
     """``hero_counter_stats`` as ``Hero Counter Stats``; letters after the first stay as they are."""
+    starts = F.split(F.replace(text, F.lit("_"), F.lit(" ")), r"(?<![A-Za-z0-9])(?=[A-Za-z0-9])")
     words = F.transform(
-        F.split(text, "_"),
-        lambda word: F.concat(F.upper(F.left(word, F.lit(1))), F.substring(word, F.lit(2), F.length(word))),
+        starts,
+        lambda word: F.when(
+            word.rlike("^[a-z]"), F.concat(F.upper(F.left(word, F.lit(1))), F.substring(word, F.lit(2), F.length(word)))
+        ).otherwise(word),
     )
-    return F.array_join(words, " ")
+    return F.array_join(words, "")
 
 
 def column_label(name: str) -> str:
     """Display label of a column name."""
     if name in COLUMN_LABELS:
         return COLUMN_LABELS[name]
-    return " ".join(word[:1].upper() + word[1:] for word in name.split("_"))
+    return re.sub(r"(?<![A-Za-z0-9])[a-z]", lambda m: m[0].upper(), name.replace("_", " "))
 
 
 def is_hero_column(name: str) -> bool:

@@ -22,7 +22,9 @@ def leading_int(value: object) -> int | None:
 
 def leading_int_col(text: Column) -> Column:
     """`leading_int` of a text column; null where there is none or it does not fit 64 bits."""
-    digits = F.conv(F.regexp_extract(text, _HEX, 2), 16, 10).try_cast("bigint")
+    found = F.ltrim(F.regexp_extract(text, _HEX, 2), F.lit("0"))
+    # more than 16 digits cannot fit, and conv would raise
+    digits = F.when(found == "", F.lit(0).cast("bigint")).when(F.length(found) <= 16, F.conv(found, 16, 10).try_cast("bigint"))
     signed = F.when(F.regexp_extract(text, _HEX, 1) == "-", -digits).otherwise(digits)
     return F.when(text.rlike(_HEX), signed).otherwise(
         F.regexp_extract(text, _DECIMAL, 1).try_cast("bigint")

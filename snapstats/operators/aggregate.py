@@ -65,7 +65,7 @@ def _lean(envelopes: DataFrame, payload: str, key: str) -> Column:
     def lean(element: Column) -> Column:
         return F.struct(
             *[
-                (element.getField(f) if f in record.names else F.lit(None)).cast(t).alias(f)
+                (element.getField(f).cast("string") if f in record.names else F.lit(None)).try_cast(t).alias(f)
                 for f, t in types.items()
             ]
         )

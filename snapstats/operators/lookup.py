@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType, NumericType
 
@@ -31,7 +31,16 @@ def names_of(dimension: DataFrame, key: str, name: str) -> Names:
     return Names(unique, is_small(dimension))
 
 
-def _joined(frame: DataFrame, column: str, names: Names) -> DataFrame:
+def _fresh(frame: DataFrame, name: str) -> str:
+    """A name that no column of the frame has, whatever its case."""
+    taken = {c.lower() for c in frame.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def _joined(frame: DataFrame, column: str, names: Names) -> tuple[DataFrame, Column]:
+    """The frame with the looked-up name beside it, and that name."""
     dtype = frame.schema[column].dataType
     value = quoted(column)
     if isinstance(dtype, IntegralType):
@@ -40,7 +49,8 @@ def _joined(frame: DataFrame, column: str, names: Names) -> DataFrame:
         key = F.when(value == F.floor(value), F.floor(value).cast("bigint"))
     else:
         key = value.cast("string").try_cast("bigint")
-    return lookup_join(frame.withColumn("_id", key), names.frame, ["_id"], names.small)
+    on, name = _fresh(frame, "_lookup_id"), _fresh(frame, "_lookup_name")
+    return lookup_join(frame.withColumn(on, key), names.frame.toDF(on, name), [on], names.small), F.col(name)
 
 
 def _resolve(frame: DataFrame, names: Names, column: str, out: str) -> DataFrame:
@@ -48,8 +58,8 @@ def _resolve(frame: DataFrame, names: Names, column: str, out: str) -> DataFrame
     fallback = F.when(quoted(column).isNull(), F.lit(MISSING)).otherwise(
         F.concat(F.lit("Hero "), quoted(column).cast("string"))
     )
-    found = F.coalesce(F.when(F.length("_name") > 0, F.col("_name")), fallback).alias(out)
-    joined = _joined(frame, column, names)
+    joined, name = _joined(frame, column, names)
+    found = F.coalesce(F.when(F.length(name) > 0, name), fallback).alias(out)
     if out in frame.columns:
         return joined.select(*[found if c == out else quoted(c) for c in frame.columns])
     return joined.select(*[quoted(c) for c in frame.columns], found)
@@ -79,5 +89,5 @@ def name_or_not_found(
     frame: DataFrame, dimension: DataFrame, column: str, key: str, name: str, default: str = NAME_NOT_FOUND
 ) -> DataFrame:
     """Add ``name`` from a lookup table, or a default where the id is unknown."""
-    joined = _joined(frame, column, names_of(dimension, key, name))
-    return joined.select(*[quoted(c) for c in frame.columns], F.coalesce("_name", F.lit(default)).alias(name))
+    joined, found = _joined(frame, column, names_of(dimension, key, name))
+    return joined.select(*[quoted(c) for c in frame.columns], F.coalesce(found, F.lit(default)).alias(name))

@@ -96,8 +96,8 @@ def fetch_page(placed: DataFrame, keys: list[SortKey], offset: int, count: int,
 
 def row_hash(frame: DataFrame) -> Column:
     """A number that orders rows the same way on every run."""
-    usable = [quoted(f.name) for f in frame.schema if not _holds_map(f.dataType)]
-    return F.xxhash64(*usable)
+    parts = [F.to_json(F.struct(quoted(f.name))) if _holds_map(f.dataType) else quoted(f.name) for f in frame.schema]
+    return F.xxhash64(*parts)
 
 
 def _holds_map(dtype: T.DataType) -> bool:
@@ -137,8 +137,8 @@ def _fits(offset: int, count: int, direct: int, tasks: int, rows: int | None = N
 def _narrow(
     frame: DataFrame, keys: list[SortKey], at: int, offset: int, count: int, direct: int, tasks: int
 ) -> DataFrame:
-    if at == len(keys):  # rows equal in every sort column: any of them will do
-        return frame.limit(count)
+    if at == len(keys):  # rows equal in every column: any of them will do, but as many must be passed over
+        return frame.offset(offset).limit(count)
     key, rows = keys[at], None
     for seed in range(MAX_PASSES):
         if _fits(offset, count, direct, tasks, rows):

@@ -479,7 +479,7 @@ def browse_unknown_sort(spark, sf_dir):
 @query
 def search_page(spark, sf_dir):
     page = browse.browse(_collections(spark, sf_dir), "part", 2, 200, "p_partkey", "asc", tie_break=("p_partkey",))
-    return filters.search(page.rows, "STEEL")
+    return filters.search(page.rows, "RED")
 
 
 @query

@@ -206,8 +206,8 @@ ORACLE_SQL |= {
     "browse_unknown_sort": "SELECT * FROM part ORDER BY p_partkey LIMIT 30 OFFSET 30",
     "search_page": """
         SELECT * FROM (SELECT * FROM part ORDER BY p_partkey LIMIT 200 OFFSET 200)
-        WHERE contains(lower(p_name), 'steel') OR contains(lower(p_brand), 'steel')
-           OR contains(lower(p_type), 'steel')""",
+        WHERE contains(lower(p_name), 'red') OR contains(lower(p_brand), 'red')
+           OR contains(lower(p_type), 'red')""",
     "search_table": """
         SELECT * FROM part WHERE contains(p_partkey::VARCHAR, '19') OR contains(p_name, '19')
            OR contains(p_brand, '19') OR contains(p_type, '19') OR contains(p_size::VARCHAR, '19')

@@ -59,7 +59,8 @@ def report_view(
     page = browse(collections, collection, **{"gate": True, **request})
     rows = page.rows.drop("_id")
     cells = display_cells(search(rows, search_for), dimension)
-    return Page(cells.withColumnsRenamed(column_labels(cells)), page.meta)
+    labels = column_labels(cells)
+    return Page(cells.toDF(*[labels.get(c, c) for c in cells.columns]), page.meta)
 
 
 def hero_picker(heroes: DataFrame, dimension: DataFrame) -> DataFrame:

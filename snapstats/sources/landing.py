@@ -31,19 +31,16 @@ def scan_endpoint(
     root: str,
     name: str,
     schema: StructType | None = None,
-    sampling_ratio: float | None = None,
 ) -> Scan:
     """All envelopes of an endpoint, at any folder depth, one JSON object per file.
 
     Every date and every batch part is one input; fields that differ between files are merged.  Without
-    ``schema`` Spark infers one from the files (``sampling_ratio`` reads only a share of them for that).
+    ``schema`` Spark infers one from all of the files.
     An absent or empty folder is skipped; any other error is reported and skipped.
     """
     reader = spark.read.option("multiLine", True).option("recursiveFileLookup", True)
     if schema is not None:
         reader = reader.schema(schema)
-    if sampling_ratio is not None:
-        reader = reader.option("samplingRatio", sampling_ratio)
     try:
         frame = reader.json(endpoint_path(root, name))
         if frame.isEmpty():
@@ -67,7 +64,16 @@ def read_envelope_lines(spark: SparkSession, path: str, schema: StructType | Non
 
 
 def union_snapshots(frames: list[DataFrame]) -> DataFrame:
-    """Snapshots with differing columns as one bag of rows; missing columns are null."""
+    """Snapshots with differing columns as one bag of rows; missing columns are null.
+
+    A column that is text in one snapshot and another plain type elsewhere becomes text, as JSON inference does.
+    """
+    kinds: dict[str, set[str]] = {}
+    for frame in frames:
+        for name, kind in frame.dtypes:
+            kinds.setdefault(name, set()).add(kind)
+    text = {name for name, found in kinds.items() if "string" in found and not any("<" in k for k in found)}
+    frames = [f.withColumns({c: F.col(f"`{c}`").cast("string") for c in f.columns if c in text}) for f in frames]
     return functools.reduce(lambda one, two: one.unionByName(two, allowMissingColumns=True), frames)
 
 

@@ -1,7 +1,6 @@
 import json
 import os
 
-import pytest
 from pyspark.sql import functions as F
 
 from conftest import values
@@ -173,10 +172,9 @@ def test_tuple_csv(spark, tmp_path):
     assert values(out) == [(3, 22446392790, "Vindicta"), (4, -1, "ID Not Found")]
 
 
-@pytest.mark.parametrize("ratio", [None, 1.0])
-def test_supplied_schema_or_sampling(spark, tmp_path, ratio):
+def test_supplied_schema_or_inferred(spark, tmp_path):
     put(tmp_path, "e", "a.json", envelope([{"match_id": 1, "other": 2}]))
-    inferred = landing.read_endpoint(spark, str(tmp_path), "e", sampling_ratio=ratio)
+    inferred = landing.read_endpoint(spark, str(tmp_path), "e")
     assert set(shape.shallow(inferred).columns) == {"fetched_at", "match_id", "other"}
     declared = landing.read_endpoint(spark, str(tmp_path), "e", schema=envelope_schema(HISTORY_RECORD))
     assert values(shape.shallow(declared)) == [(STAMP, None, 1, None)]
