@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, DecimalType, IntegralType, NumericType, StructType
 
-from snapstats.functions.stamps import iso_micros, micros_to_iso
+from snapstats.functions.stamps import iso_micros, micros_to_iso, utc_micros
 from snapstats.operators.shape import NotRecords, payload_column, quoted
 from snapstats.schemas import COUNTERS
 
@@ -30,9 +30,11 @@ def counter_records(
     envelope whose ``data`` is null.
 
     The stamp becomes ``fetched_us``, parsed once per envelope, before the records are exploded; with
-    ``stamps="text"`` it stays ``fetched_at``.
+    ``stamps="text"`` it stays ``fetched_at``.  A stamp that is not UTC is an error, or null with
+    ``stamps="lenient"``, which counts its records all the same.
     """
-    stamp = F.col("fetched_at") if stamps == "text" else iso_micros(F.col("fetched_at")).alias("fetched_us")
+    parse = {"utc": iso_micros, "lenient": utc_micros, "text": lambda c: c}[stamps]
+    stamp = parse(F.col("fetched_at")).alias("fetched_at" if stamps == "text" else "fetched_us")
     if legacy == "per_row" and {"data", "heroes"} <= set(envelopes.columns):
         records = F.coalesce(_lean(envelopes, "data", key), _lean(envelopes, "heroes", key))
     else:
@@ -82,13 +84,14 @@ def win_rate(records: DataFrame, key: str, *, overflow: str = "raise", stamps: s
 
     ``records`` has ``key, wins, losses, matches`` and either ``fetched_us`` or ``fetched_at``.  With
     ``stamps="text"`` the freshest stamp is the greatest ``fetched_at`` text of whatever format, at the price
-    of a sort of all records.  ``overflow="null"`` gives null where a 64-bit sum overflows.
+    of a sort of all records; with ``stamps="lenient"`` unreadable ones are passed over.  ``overflow="null"`` gives null where a 64-bit sum overflows.
     """
     total = {"raise": F.sum, "null": F.try_sum}[overflow]
     if stamps == "text":
         stamp, shown = F.col("fetched_at"), F.col("_latest")
     else:
-        stamp = F.col("fetched_us") if "fetched_us" in records.columns else iso_micros(F.col("fetched_at"))
+        parse = utc_micros if stamps == "lenient" else iso_micros
+        stamp = F.col("fetched_us") if "fetched_us" in records.columns else parse(F.col("fetched_at"))
         shown = micros_to_iso(F.col("_latest"))
     totals = (
         records.select(

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType
 
+from snapstats.operators.shape import fresh_name
+
 SALTS = 16
 BROADCAST_ROWS = 100_000
 
@@ -28,9 +30,10 @@ def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str, salt
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
-    salted = left.withColumn("_salt", row_salt(left, salts))
-    repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    salt = fresh_name("_salt", left, right)
+    salted = left.withColumn(salt, row_salt(left, salts))
+    repeated = right.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(repeated, [*on, salt], how).drop(salt)
 
 
 def is_small(frame: DataFrame, rows: int = BROADCAST_ROWS) -> bool:

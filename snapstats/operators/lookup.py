@@ -11,7 +11,7 @@ from pyspark.sql.types import IntegralType, NumericType
 from snapstats.fixed_values import MISSING, NAME_NOT_FOUND
 from snapstats.functions.display import is_hero_column
 from snapstats.operators.joins import is_small, lookup_join
-from snapstats.operators.shape import quoted
+from snapstats.operators.shape import fresh_name, quoted
 
 
 class Names(NamedTuple):
@@ -31,14 +31,6 @@ def names_of(dimension: DataFrame, key: str, name: str) -> Names:
     return Names(unique, is_small(dimension))
 
 
-def _fresh(frame: DataFrame, name: str) -> str:
-    """A name that no column of the frame has, whatever its case."""
-    taken = {c.lower() for c in frame.columns}
-    while name in taken:
-        name += "_"
-    return name
-
-
 def _joined(frame: DataFrame, column: str, names: Names) -> tuple[DataFrame, Column]:
     """The frame with the looked-up name beside it, and that name."""
     dtype = frame.schema[column].dataType
@@ -49,7 +41,7 @@ def _joined(frame: DataFrame, column: str, names: Names) -> tuple[DataFrame, Col
         key = F.when(value == F.floor(value), F.floor(value).cast("bigint"))
     else:
         key = value.cast("string").try_cast("bigint")
-    on, name = _fresh(frame, "_lookup_id"), _fresh(frame, "_lookup_name")
+    on, name = fresh_name("_lookup_id", frame), fresh_name("_lookup_name", frame)
     return lookup_join(frame.withColumn(on, key), names.frame.toDF(on, name), [on], names.small), F.col(name)
 
 

@@ -10,14 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapstats.operators.shape import quoted
+from snapstats.operators.shape import fresh_name, quoted
 
 DIRECT_ROWS = 100_000
 MERGED_ROWS = 5_000_000
 SPLITS = 16
 MAX_PASSES = 40
 
-FILE, ROW = "_file", "_row"
 _UNORDERED = (T.MapType, T.VariantType)
 
 
@@ -68,15 +67,16 @@ def resolve_field(frame: DataFrame, name: str) -> Column | None:
         if not isinstance(dtype, T.StructType) or step not in dtype.names:
             return None
         dtype = dtype[step].dataType
-    return None if isinstance(dtype, _UNORDERED) else quoted(*path)
+    return None if _holds_map(dtype) else quoted(*path)
 
 
-def with_positions(table: DataFrame) -> DataFrame:
-    """Rows of a Parquet table with their file and place in it."""
-    return table.select("*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW))
+def with_positions(table: DataFrame) -> tuple[DataFrame, str, str]:
+    """Rows of a Parquet table with their file and place in it, and the names of these two columns."""
+    file, row = fresh_name("_file", table), fresh_name("_row", table)
+    return table.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row)), file, row
 
 
-def fetch_page(placed: DataFrame, keys: list[SortKey], offset: int, count: int, direct: int) -> DataFrame:
+def fetch_page(placed: DataFrame, file: str, row: str, keys: list[SortKey], offset: int, count: int, direct: int) -> DataFrame:
     """`page_rows` of a table with positions, reading whole rows only where the page is.
 
     The sort reads the sort columns alone; then the rows, at most one page, are fetched by their positions
@@ -84,12 +84,12 @@ def fetch_page(placed: DataFrame, keys: list[SortKey], offset: int, count: int,
     """
     tasks = placed.rdd.getNumPartitions()  # of a plain scan: known without a job
     spots: dict[str, list[int]] = {}
-    for spot in page_rows(placed, keys, offset, count, direct, tasks).select(FILE, ROW).collect():
-        spots.setdefault(spot[FILE], []).append(spot[ROW])
+    for spot in page_rows(placed, keys, offset, count, direct, tasks).select(file, row).collect():
+        spots.setdefault(spot[0], []).append(spot[1])
     if not spots:
         return placed.limit(0)
-    here = [(F.col(FILE) == file) & F.col(ROW).isin(rows) for file, rows in spots.items()]
-    held = placed.where(F.col(FILE).isin(list(spots)) & functools.reduce(operator.or_, here))
+    here = [(F.col(file) == path) & F.col(row).isin(rows) for path, rows in spots.items()]
+    held = placed.where(F.col(file).isin(list(spots)) & functools.reduce(operator.or_, here))
     # the limit drops nothing: it makes this a top-k, which needs no range partitioning of so few rows
     return sort_rows(held, keys).limit(count)
 
@@ -180,18 +180,42 @@ def _split_values(frame: DataFrame, key: SortKey, seed: int) -> list[Column | No
     """A few values of the sort column, in sort order, as literals of its exact type."""
     values = frame.select(key.column.alias("v"))
     dtype = values.schema["v"].dataType
-    is_instant = isinstance(dtype, T.TimestampType)
     picked = values.orderBy(F.rand(seed)).limit(SPLITS)
     # at most SPLITS values, sorted by Spark; text keeps them exact on the way to the driver
     ordered = F.sort_array(F.collect_set("v"), key.ascending)
-    shown = F.transform(ordered, lambda v: F.unix_micros(v) if is_instant else v.cast("string"))
+    shown = F.transform(ordered, lambda v: _as_text(v, dtype))
     row = picked.agg(shown.alias("shown"), F.coalesce(F.max(F.col("v").isNull()), F.lit(False)).alias("null")).first()
-    splits = [F.timestamp_micros(F.lit(s)) if is_instant else F.lit(s).cast(dtype) for s in row["shown"]]
+    splits = [_from_text(s, dtype) for s in row["shown"]]
     if row["null"]:
         splits.insert(0 if key.ascending else len(splits), None)
     return splits
 
 
+def _as_text(value: Column, dtype: T.DataType) -> Column:
+    """A value with each of its leaves as exact text; arrays and structs keep their form."""
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(value, lambda e: _as_text(e, dtype.elementType))
+    if isinstance(dtype, T.StructType):
+        leaves = [_as_text(value.getField(f.name), f.dataType).alias(f"f{n}") for n, f in enumerate(dtype)]
+        return F.when(value.isNotNull(), F.struct(*leaves))
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(value).cast("string")
+    return F.hex(value) if isinstance(dtype, T.BinaryType) else value.cast("string")
+
+
+def _from_text(shown, dtype: T.DataType) -> Column:
+    """The literal of what `_as_text` showed."""
+    if shown is None:
+        return F.lit(None).cast(dtype)
+    if isinstance(dtype, T.ArrayType):
+        return F.array(*[_from_text(e, dtype.elementType) for e in shown]).cast(dtype)
+    if isinstance(dtype, T.StructType):
+        return F.struct(*[_from_text(e, f.dataType).alias(f.name) for e, f in zip(shown, dtype, strict=True)]).cast(dtype)
+    if isinstance(dtype, T.TimestampType):
+        return F.timestamp_micros(F.lit(int(shown)))
+    return F.unhex(F.lit(shown)) if isinstance(dtype, T.BinaryType) else F.lit(shown).cast(dtype)
+
+
 def _count_spans(frame: DataFrame, key: SortKey, splits: list[Column | None]) -> tuple[int, list[Span]]:
     """Row total, and how many rows lie before and up to each split value."""
     def place(low: int, high: int) -> Column:

@@ -26,6 +26,14 @@ def quoted(*path: str) -> Column:
     return F.col(".".join("`" + part.replace("`", "``") + "`" for part in path))
 
 
+def fresh_name(name: str, *frames: DataFrame) -> str:
+    """A name that no column of the frames has, whatever its case."""
+    taken = {c.lower() for frame in frames for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def _named(pairs: Iterator[tuple[str, Column]], on_collision: str) -> list[Column]:
     """Alias the columns; Spark names ignore case, so ``A`` and ``a`` collide."""
     if on_collision not in ("error", "suffix"):

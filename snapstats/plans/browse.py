@@ -15,8 +15,6 @@ from snapstats.functions.parsing import leading_int, page_number, page_size, top
 from snapstats.operators.filters import equals_id
 from snapstats.operators.paging import (
     DIRECT_ROWS,
-    FILE,
-    ROW,
     SortKey,
     fetch_page,
     page_rows,
@@ -25,7 +23,7 @@ from snapstats.operators.paging import (
     sort_rows,
     with_positions,
 )
-from snapstats.operators.shape import quoted
+from snapstats.operators.shape import fresh_name, quoted
 from snapstats.sources.collections import Collections
 
 
@@ -60,11 +58,19 @@ def _sorted_rows(
     keys = [] if field is None else [SortKey(field, order == "asc")]
     keys += [SortKey(quoted(c)) for c in tie_break]
     if stored:
-        placed = with_positions(found)
-        keys += [SortKey(F.col(FILE)), SortKey(F.col(ROW))]
-        return fetch_page(placed, keys, offset, count, direct).drop(FILE, ROW)
-    hashed = found.withColumn("_hash", row_hash(found))
-    return page_rows(hashed, [*keys, SortKey(F.col("_hash"))], offset, count, direct).drop("_hash")
+        placed, file, row = with_positions(found)
+        keys += [SortKey(F.col(file)), SortKey(F.col(row))]
+        return fetch_page(placed, file, row, keys, offset, count, direct).drop(file, row)
+    name = fresh_name("_hash", found)
+    hashed = found.withColumn(name, row_hash(found))
+    return page_rows(hashed, [*keys, SortKey(F.col(name))], offset, count, direct, _width(found)).drop(name)
+
+
+def _width(frame: DataFrame) -> int:
+    """About how many tasks a frame has whose plan is not run to find out."""
+    spark = frame.sparkSession
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    return max(int(width) if width.isdigit() else 0, spark.sparkContext.defaultParallelism)
 
 
 def top_rows(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -14,17 +14,17 @@ from snapstats.operators.aggregate import counter_records, win_rate
 from snapstats.operators.shape import MissingPayload, generic, shallow
 from snapstats.schemas import counter_record, envelope_schema
 from snapstats.sinks.tables import write_collection
-from snapstats.sources.landing import scan_endpoint
+from snapstats.sources.landing import CORRUPT, scan_endpoint
 
-REPORT_SCHEMA = "endpoint string, mode string, status string, rows bigint, message string, seconds double"
+REPORT_SCHEMA = "endpoint string, mode string, status string, rows bigint, message string, seconds double, rejected bigint, corrupt bigint"
 COUNTER_KEYS = {"hero": "hero_id", "item": "item_id"}
 
 
 def process(envelopes: DataFrame, mode: str, stamps: str = "utc") -> DataFrame:
-    """Envelopes to the result of their mode; an unknown mode is treated as generic."""
+    """Envelopes with their payload in ``data`` to the result of their mode; an unknown mode is treated as generic."""
     if mode in COUNTER_KEYS:
         key = COUNTER_KEYS[mode]
-        return win_rate(counter_records(_with_payload(envelopes), key, stamps=stamps), key, stamps=stamps)
+        return win_rate(counter_records(envelopes, key, stamps=stamps), key, stamps=stamps)
     return shallow(envelopes) if mode == "shallow" else generic(envelopes)
 
 
@@ -36,10 +36,20 @@ def _with_payload(envelopes: DataFrame) -> DataFrame:
     """
     for name in ("data", "heroes"):
         if name in envelopes.columns and not envelopes.where(F.col(name).isNotNull()).isEmpty():
-            return envelopes.select("fetched_at", F.col(name).alias("data"))
+            kept = [c for c in (CORRUPT,) if c in envelopes.columns]
+            return envelopes.select("fetched_at", F.col(name).alias("data"), *kept)
     raise MissingPayload("no envelope has a payload")
 
 
+def _observed(envelopes: DataFrame) -> tuple[DataFrame, Observation | None]:
+    """The envelopes, with a count of those that could be read in part only, and not at all, by whoever reads them."""
+    if CORRUPT not in envelopes.columns or "data" not in envelopes.columns:
+        return envelopes, None
+    bad, lost, seen = F.col(CORRUPT).isNotNull(), F.col("data").isNull(), Observation()
+    counts = [F.count_if(bad & ~lost).alias("rejected"), F.count_if(bad & lost).alias("corrupt")]
+    return envelopes.observe(seen, *counts), seen
+
+
 def refresh_endpoint(
     spark: SparkSession,
     root: str,
@@ -52,24 +62,30 @@ def refresh_endpoint(
 ) -> tuple:
     """One endpoint from landing to collection, as a report row.  Errors end up in the row.
 
-    Stamps that are not in UTC ISO format are an error, unless ``stamps="text"``.
+    Stamps that are not in UTC ISO format are an error, unless ``stamps`` is ``"text"`` or ``"lenient"``.
+    The row also tells how many envelopes held a value that does not fit its declared type (``rejected``; the value
+    counts as null), and how many files were no readable envelope at all (``corrupt``).
     """
     started = time.monotonic()
 
-    def row(status: str, rows: int | None = None, message: str = "") -> tuple:
-        return endpoint, mode, status, rows, message, round(time.monotonic() - started, 3)
+    def row(status: str, rows: int | None = None, message: str = "", bad: dict | None = None) -> tuple:
+        found = [None, None] if bad is None else [bad.get("rejected", 0), bad.get("corrupt", 0)]
+        return endpoint, mode, status, rows, message, round(time.monotonic() - started, 3), *found
 
     try:
         if schema is None and mode in COUNTER_KEYS:
             schema = envelope_schema(counter_record(COUNTER_KEYS[mode]), legacy=mode == "hero")
-        scan = scan_endpoint(spark, root, endpoint, schema)
+        scan = scan_endpoint(spark, root, endpoint, schema, corrupt=True)
         if scan.frame is None:
             return row(scan.status, message=scan.message)
         try:
-            result = process(scan.frame, mode, stamps)
+            payloads = _with_payload(scan.frame) if mode in COUNTER_KEYS else scan.frame
+            envelopes, seen = _observed(payloads)
+            result = process(envelopes, mode, stamps)
         except MissingPayload as missing:
             return row("SKIP", message=str(missing))
-        return row("OK", write_collection(result, target, endpoint, **sink))
+        rows = write_collection(result, target, endpoint, **sink)
+        return row("OK", rows, bad={} if seen is None else seen.get)
     except Exception as error:
         return row("FAIL", message=str(error).splitlines()[0] if str(error) else type(error).__name__)
 

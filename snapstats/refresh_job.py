@@ -19,7 +19,7 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("target", help="folder of the result collections")
     parser.add_argument("--endpoints", help="comma-separated names; all by default")
     parser.add_argument("--parallel", type=int, default=4, help="endpoints processed side by side")
-    parser.add_argument("--stamps", choices=("utc", "text"), default="utc")
+    parser.add_argument("--stamps", choices=("utc", "text", "lenient"), default="utc")
     options = parser.parse_args(arguments)
     names = options.endpoints.split(",") if options.endpoints else list(ENDPOINT_MODES)
     endpoints = {name: ENDPOINT_MODES.get(name, "generic") for name in names}

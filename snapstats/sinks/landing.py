@@ -81,12 +81,14 @@ def _split(rows: DataFrame, oversize: DataFrame, group: list[str], max_records:
 
     Records first spread over the parts by hash; the numbering then runs within each spread share.
     """
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), F.to_json("_record")), F.lit(2**31)).cast("bigint")
-    sized = salted_join(rows.withColumn("_spread", spread), oversize, group, "left")
+    text = F.to_json("_record")
+    # two hashes order the records alike in a task that runs again; only equal records tie
+    hashes = {"_spread": F.xxhash64(F.spark_partition_id(), text), "_tie": F.xxhash64(text, F.lit(1))}
+    sized = salted_join(rows.withColumns(hashes), oversize, group, "left")
     shared = sized.withColumn("_share", F.pmod("_spread", F.coalesce("_parts", F.lit(1))).cast("bigint"))
     numbered = shared.withColumn(
         "_turn",
-        F.floor((F.row_number().over(Window.partitionBy(*group, "_share").orderBy("_spread")) - 1) / max_records),
+        F.floor((F.row_number().over(Window.partitionBy(*group, "_share").orderBy("_spread", "_tie")) - 1) / max_records),
     )
     parts = F.coalesce("_parts", F.lit(1))
     return numbered.withColumn("_part", F.col("_turn") * parts + F.col("_share")).select(*group, "_record", "_part")

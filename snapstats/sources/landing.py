@@ -8,10 +8,13 @@ from typing import NamedTuple
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from snapstats.functions.stamps import iso_micros
-from snapstats.operators.shape import explode_records
+from snapstats.operators.shape import MissingPayload, explode_records, quoted
+
+
+CORRUPT = "_corrupt_record"
 
 
 class Scan(NamedTuple):
@@ -31,16 +34,19 @@ def scan_endpoint(
     root: str,
     name: str,
     schema: StructType | None = None,
+    corrupt: bool = False,
 ) -> Scan:
     """All envelopes of an endpoint, at any folder depth, one JSON object per file.
 
     Every date and every batch part is one input; fields that differ between files are merged.  Without
     ``schema`` Spark infers one from all of the files.
+    With ``corrupt`` the text of what could not be read, in whole or in part, is a column ``_corrupt_record``
+    (without ``schema`` there is one only if there is such text).
     An absent or empty folder is skipped; any other error is reported and skipped.
     """
     reader = spark.read.option("multiLine", True).option("recursiveFileLookup", True)
     if schema is not None:
-        reader = reader.schema(schema)
+        reader = reader.schema(StructType([*schema, StructField(CORRUPT, StringType())]) if corrupt else schema)
     try:
         frame = reader.json(endpoint_path(root, name))
         if frame.isEmpty():
@@ -82,12 +88,17 @@ def bronze_records(envelopes: DataFrame, payload: str = "data") -> DataFrame:
 
     ``fetched_us`` spares later aggregates the parsing of text.
     """
-    records = explode_records(envelopes, payload=payload)
-    return records.select(
-        "*",
-        iso_micros(F.col("fetched_at")).alias("fetched_us"),
-        F.substring("fetched_at", 1, 10).alias("fetch_date"),
+    if payload not in envelopes.columns:
+        raise MissingPayload(f"envelopes have no {payload!r} column")
+    made = ("fetched_us", "fetch_date")  # once per envelope, below the explode
+    stamped = envelopes.select(
+        "fetched_at",
+        iso_micros(F.col("fetched_at")).alias(made[0]),
+        F.substring("fetched_at", 1, 10).alias(made[1]),
+        quoted(payload).alias(payload),
     )
+    records = explode_records(stamped, payload, ("fetched_at", *made))
+    return records.select(*[quoted(c) for c in records.columns if c not in made], *made)
 
 
 def land_bronze(

@@ -38,14 +38,20 @@ def stream_win_rate(
     checkpoint: str,
     files_per_batch: int | None = None,
     trigger: dict | None = None,
+    legacy: str | None = None,
+    stamps: str = "utc",
 ) -> StreamingQuery:
     """Keep the win-rate collection at ``target`` up to date from newly landed files.
 
+    ``legacy`` and ``stamps`` mean what they do in `counter_records`.  With ``stamps="utc"`` a stamp that is not UTC
+    stops the stream at its file for good; ``"lenient"`` counts the records and passes the stamp over.
+
     The state is one row of running totals per key, so late files need no watermark: sums and the freshest
     stamp do not depend on order.  Each batch replaces the collection, which makes a repeated batch harmless.
     """
-    envelopes = stream_endpoint(spark, root, endpoint, envelope_schema(counter_record(key)), files_per_batch)
-    totals = win_rate(counter_records(envelopes, key), key)
+    schema = envelope_schema(counter_record(key), legacy=legacy is not None)
+    envelopes = stream_endpoint(spark, root, endpoint, schema, files_per_batch)
+    totals = win_rate(counter_records(envelopes, key, legacy, stamps), key, stamps=stamps)
 
     def replace(batch: DataFrame, _batch_id: int) -> None:
         batch.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target)

@@ -180,8 +180,8 @@ def test_top_of_nothing(spark):
 
 def test_first_pages_are_top_k(store, spark):
     collections, _ = store
-    placed = paging.with_positions(collections.open("hero_stats"))
-    plan = physical_plan(paging.page_rows(placed, keys(("win_rate", False)), 0, 50).select(paging.FILE, paging.ROW))
+    placed, file, row = paging.with_positions(collections.open("hero_stats"))
+    plan = physical_plan(paging.page_rows(placed, keys(("win_rate", False)), 0, 50).select(file, row))
     assert "TakeOrderedAndProject" in plan
     assert "ReadSchema: struct<win_rate:double,_tmp_metadata_row_index:bigint>" in plan
 
