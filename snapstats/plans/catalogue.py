@@ -4,20 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapstats.functions.display import cell, clipped_json, grouped_number, plain_number, short_count, title_words
 from snapstats.functions.parsing import leading_int_col
 from snapstats.functions.stamps import display_time, iso_micros, iso_utc, landing_path, stamp_path
-from snapstats.operators import aggregate, blocks, discover, filters, lookup, shape
+from snapstats.operators import aggregate, blocks, discover, filters, lookup, paging, shape
 from snapstats.plans import browse, derived, discovery, refresh, report
 from snapstats.schemas import bronze_counters, counter_record, envelope_schema
 from snapstats.session import scratch_path
 from snapstats.sinks.landing import build_envelopes, jsonable, land_records
 from snapstats.sinks.tables import write_collection
 from snapstats.sources import landing, payload
-from snapstats.sources.collections import CollectionEntry, Collections
+from snapstats.sources.collections import CollectionEntry, Collections, hero_dimension
 from snapstats.sources.tuple_csv import read_tuple_csv
 from snapstats.streaming import stream_records, stream_win_rate
 
@@ -101,6 +101,27 @@ def bronze_date_range(spark, sf_dir):
     return aggregate.win_rate(year, "hero_id")
 
 
+@query
+def counter_drift(spark, sf_dir):
+    """Counters and keys that are numbers in the old payload, and text, partly unreadable, in the new one."""
+    events = derived.event_records(spark, sf_dir)
+    kind = F.col("event_type")
+    key = F.col("event_id") % 50
+    new = F.struct(
+        F.when(kind == "error", F.lit("nobody")).otherwise(key.cast("string")).alias("hero_id"),
+        F.when(kind == "click", F.lit("many")).otherwise(F.lit("1")).alias("wins"),
+        F.lit("0.0").alias("losses"),
+        F.lit("2").alias("matches"),
+    )
+    number = F.lit(3).cast("bigint")
+    old = F.struct(key.alias("hero_id"), number.alias("wins"), number.alias("losses"), (number * 2).alias("matches"))
+    is_old = F.col("event_id") % 3 == 0
+    envelopes = events.select(
+        "fetched_at", F.when(~is_old, F.array(new)).alias("data"), F.when(is_old, F.array(old)).alias("heroes")
+    )
+    return aggregate.win_rate(aggregate.counter_records(envelopes, "hero_id", legacy="per_row"), "hero_id")
+
+
 @query
 def rejected_counters(spark, sf_dir):
     """Counters that drifted to text, some of them unreadable."""
@@ -203,10 +224,12 @@ def jsonable_values(spark, sf_dir):
 @query
 def union_drift(spark, sf_dir):
     customers = derived.table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"),
+        F.col("c_custkey").alias("code"),
     )
     suppliers = derived.table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation")
+        F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation"),
+        F.col("s_name").alias("code"),
     )
     return landing.union_snapshots([customers, suppliers])
 
@@ -221,6 +244,7 @@ def leading_integers(spark, sf_dir):
         leading_int_col(text).alias("signed"),
         leading_int_col(F.col("p_name")).alias("none"),
         leading_int_col(F.concat(F.lit("0x"), F.hex("p_partkey"))).alias("hex"),
+        leading_int_col(F.concat(F.lit("-0X"), F.repeat(F.lit("f"), F.col("p_size")))).alias("long_hex"),
     )
 
 
@@ -372,6 +396,11 @@ def names_or_not_found(spark, sf_dir):
     return lookup.name_or_not_found(parts, suppliers, "l_partkey", "s_suppkey", "s_name")
 
 
+@query
+def fixed_hero_names(spark, sf_dir):
+    return lookup.hero_name(hero_win_rate(spark, sf_dir), hero_dimension(spark))
+
+
 @query
 def hero_picker(spark, sf_dir):
     return report.hero_picker(hero_win_rate(spark, sf_dir), derived.nation_names(spark, sf_dir))
@@ -393,9 +422,22 @@ def _collections(spark: SparkSession, sf_dir: str) -> Collections:
     return Collections(spark, tables=tables, registry=registry)
 
 
+def _in_order(page: DataFrame) -> DataFrame:
+    """A page, which a top-k leaves in one partition, with the place of each row in it."""
+    return page.withColumn("position", F.monotonically_increasing_id())
+
+
 @query
 def top_heroes(spark, sf_dir):
-    return browse.top_rows(_stored_totals(spark, sf_dir), limit="25", tie_break=("hero_id",)).rows
+    return _in_order(browse.top_rows(_stored_totals(spark, sf_dir), limit="25", tie_break=("hero_id",)).rows)
+
+
+@query
+def top_heroes_stored(spark, sf_dir):
+    """The same from the collection that the refresh wrote."""
+    target = scratch_path(spark, "collections")
+    write_collection(hero_win_rate(spark, sf_dir), target, "hero_stats")
+    return _in_order(browse.top_heroes(Collections(spark, target), "total_wins", "asc", "40", ("hero_id",)).rows)
 
 
 @query
@@ -407,7 +449,7 @@ def top_heroes_meta(spark, sf_dir):
 @query
 def scoreboard(spark, sf_dir):
     totals = hero_win_rate(spark, sf_dir)
-    return browse.scoreboard(totals, "total_wins", 30, tie_break=("hero_id",))
+    return _in_order(browse.scoreboard(totals, "total_wins", 30, tie_break=("hero_id",)))
 
 
 @query
@@ -415,7 +457,7 @@ def browse_page(spark, sf_dir):
     page = browse.browse(
         _collections(spark, sf_dir), "lineitem", "3", "200", "l_extendedprice", "desc", tie_break=LINE_KEYS
     )
-    return page.rows
+    return _in_order(page.rows)
 
 
 @query
@@ -427,6 +469,40 @@ def browse_deep_page(spark, sf_dir):
     return page.rows
 
 
+def _nested_page(spark: SparkSession, sf_dir: str, value: Column, order: str) -> DataFrame:
+    lines = derived.table(spark, sf_dir, "lineitem").withColumn("nested", value)
+    tables = Collections(spark, tables={"lines": lines}, registry=(CollectionEntry("lines", "Trade"),))
+    page = browse.browse(tables, "lines", 25, 200, "nested", order, tie_break=LINE_KEYS, direct=2_000)
+    return _in_order(page.rows).drop("nested")
+
+
+@query
+def browse_struct_page(spark, sf_dir):
+    """A page, located by counting, of rows sorted by a struct with nulls."""
+    value = F.struct("l_returnflag", F.when(F.col("l_linenumber") > 1, F.col("l_shipdate")).alias("day"))
+    return _nested_page(spark, sf_dir, value, "asc")
+
+
+@query
+def browse_array_page(spark, sf_dir):
+    """A page, located by counting, of rows sorted by an array of one or two numbers."""
+    discount = F.array("l_discount")
+    value = F.when(F.col("l_linenumber") > 2, F.concat(discount, F.array("l_tax"))).otherwise(discount)
+    return _nested_page(spark, sf_dir, value, "desc")
+
+
+@query
+def browse_all_pages(spark, sf_dir):
+    """Rows that differ in a map only, in five located pages: each row is on one of them."""
+    part = derived.table(spark, sf_dir, "part")
+    rows = part.select(F.lit("hot").alias("kind"), F.create_map(F.lit("key"), F.col("p_partkey")).alias("detail"))
+    keys = [paging.SortKey(F.col("kind")), paging.SortKey(paging.row_hash(rows))]
+    size = part.count() // 5 + 1
+    pages = [paging.page_rows(rows, keys, size * n, size, direct=10, tasks=8) for n in range(5)]
+    return landing.union_snapshots(pages).groupBy(F.col("detail")["key"].alias("p_partkey")).agg(
+        F.count(F.lit(1)).alias("times"))
+
+
 @query
 def browse_hot_value_page(spark, sf_dir):
     """A deep page inside the rows of one frequent sort value."""
@@ -466,6 +542,32 @@ def browse_hero_filter(spark, sf_dir):
     return page.rows
 
 
+@query
+def browse_gate(spark, sf_dir):
+    """A collection that asks for a hero, with and without one, and one that is not listed: what each answers."""
+    history = derived.history_records(spark, sf_dir)
+    tables = {"match_history": history, "secret": history}
+    known = Collections(spark, tables=tables, registry=(CollectionEntry("match_history", "Matches", requires_hero=True),))
+    answers = []
+    for name, hero in (("match_history", None), ("match_history", "x"), ("match_history", "7"), ("secret", "7")):
+        try:
+            rows = browse.browse(known, name, hero_id=hero, gate=True).meta.select(F.lit("shown").alias("answer"), "total")
+        except ValueError as refusal:
+            rows = history.agg(F.lit(type(refusal).__name__).alias("answer"), F.lit(None).cast("bigint").alias("total"))
+        answers.append(rows.select(F.lit(name).alias("collection"), F.lit(hero or "").alias("hero"), "answer", "total"))
+    return landing.union_snapshots(answers)
+
+
+@query
+def column_choices(spark, sf_dir):
+    """The columns offered for sorting, with their labels and how many orders have a value there."""
+    orders = derived.table(spark, sf_dir, "orders").withColumn("_id", F.col("o_orderkey").cast("string"))
+    filled = orders.agg(*[F.count(c).alias(c) for c in orders.columns])
+    choices = [F.struct(F.lit(label).alias("label"), F.col(name).alias("filled"), F.lit(name).alias("name"))
+               for name, label in report.sort_choices(orders)]
+    return filled.select(F.explode(F.array(*choices)).alias("c")).select("c.*")
+
+
 @query
 def browse_missing_column(spark, sf_dir):
     return browse.browse(_collections(spark, sf_dir), "part", hero_id="7", tie_break=("p_partkey",)).rows
@@ -524,6 +626,20 @@ def report_view(spark, sf_dir):
     return page.rows
 
 
+@query
+def report_of_odd_names(spark, sf_dir):
+    """A searched page of a stored table whose column names the library also uses itself."""
+    totals = hero_win_rate(spark, sf_dir)
+    named = {c: F.concat(F.lit(f"{c} "), F.col("hero_id")) for c in ("_id", "_name", "_hash", "_file", "_row", "_salt")}
+    rows = totals.select("hero_id", "total_wins", F.col("total_losses").alias("wins")).withColumns(named)
+    target = scratch_path(spark, "collections")
+    write_collection(rows, target, "hero_stats")
+    page = report.report_view(
+        Collections(spark, target), derived.nation_names(spark, sf_dir), "hero_stats", "1", sort="total_wins", limit=200,
+        tie_break=("hero_id",))
+    return page.rows
+
+
 @query
 def win_rate_band(spark, sf_dir):
     return report.with_band(hero_win_rate(spark, sf_dir))
@@ -572,8 +688,15 @@ REFRESHED = {
 def run_report(spark, sf_dir):
     """All endpoints from landed files to collections; one of them was never landed."""
     root = _land_all(spark, sf_dir)
+    for endpoint, text in (
+        ("badge_distribution", '{"fetched_at": "2026-04-05T10:00:00Z", "data": [{'),
+        ("hero_stats", '{"fetched_at": "1990-01-01T00:00:00.000Z", "data": [{"hero_id": 1, "wins": "many", "matches": 0}]}'),
+        ("leaderboards", '{"fetched_at": "2026-04-05T10:00:00Z", "note": "nothing yet"}'),
+    ):  # a cut file, a counter that is no number, and an envelope without records
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("append").text(f"{root}/raw/{endpoint}/odd")
     target = scratch_path(spark, "collections")
-    return refresh.refresh_collections(spark, root, target, REFRESHED).select("endpoint", "mode", "status", "rows")
+    done = refresh.refresh_collections(spark, root, target, {**REFRESHED, "leaderboards": "generic"})
+    return done.select("endpoint", "mode", "status", "rows", "rejected", "corrupt")
 
 
 @query
@@ -602,6 +725,20 @@ def streamed_win_rate(spark, sf_dir):
     return spark.read.parquet(target)
 
 
+@query
+def streamed_win_rate_legacy(spark, sf_dir):
+    """The stream over envelopes of which some have the old payload column, and one an unreadable stamp."""
+    root, target = scratch_path(spark, "landing"), scratch_path(spark, "stream")
+    envelopes = derived.mixed_hero_envelopes(spark, sf_dir)
+    last = envelopes.agg(F.min("fetched_at").alias("m")).scalar()
+    stamp = F.when(F.col("fetched_at") == last, F.lit("some time ago")).otherwise(F.col("fetched_at"))
+    envelopes.withColumn("fetched_at", stamp).write.option("maxRecordsPerFile", 1).json(f"{root}/raw/hero_stats")
+    stream_win_rate(
+        spark, root, "hero_stats", "hero_id", target, scratch_path(spark, "checkpoint"), legacy="per_row", stamps="lenient"
+    ).awaitTermination()
+    return spark.read.parquet(target)
+
+
 @query
 def streamed_flatten(spark, sf_dir):
     root, target = scratch_path(spark, "landing"), scratch_path(spark, "stream")

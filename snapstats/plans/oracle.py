@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from snapstats.fixed_values import HERO_NAMES
+
 ORACLE_SQL: dict[str, str] = {}
 
 
@@ -48,6 +50,14 @@ ORACLE_SQL |= {
     "item_win_rate": _win_rate("l_orderkey", "item_id"),
     "hero_win_rate_data_first": _win_rate("l_suppkey", "hero_id", "month(l_shipdate) % 2 = 1"),
     "bronze_date_range": _win_rate("l_suppkey", "hero_id", "year(l_shipdate) = 1997"),
+    "counter_drift": f"""
+        SELECT hero_id, w AS total_wins, l AS total_losses, m AS total_matches, last_updated,
+               ((20000 * w + m) // (2 * m))::DOUBLE / 10000 AS win_rate
+        FROM (SELECT CASE WHEN event_id % 3 = 0 OR event_type <> 'error' THEN event_id % 50 END AS hero_id,
+                     sum(CASE WHEN event_id % 3 = 0 THEN 3 WHEN event_type <> 'click' THEN 1 END)::BIGINT AS w,
+                     sum(CASE WHEN event_id % 3 = 0 THEN 3 ELSE 0 END)::BIGINT AS l,
+                     sum(CASE WHEN event_id % 3 = 0 THEN 6 ELSE 2 END)::BIGINT AS m,
+                     max({STAMP_OF_DAY.format('ts')}) AS last_updated FROM events GROUP BY 1)""",
     "rejected_counters": """
         SELECT count(*) AS records, 0::BIGINT AS rejected_wins, count(event_type) AS rejected_losses,
                0::BIGINT AS rejected_matches FROM events""",
@@ -92,10 +102,12 @@ ORACLE_SQL |= {
         SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate,
                printf('%.2f', o_totalprice) AS o_totalprice FROM orders""",
     "union_drift": """
-        SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment, NULL::INTEGER AS nation FROM customer
-        UNION ALL SELECT s_suppkey, s_name, NULL, s_nationkey FROM supplier""",
+        SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment, NULL::INTEGER AS nation,
+               c_custkey::VARCHAR AS code FROM customer
+        UNION ALL SELECT s_suppkey, s_name, NULL, s_nationkey, s_name FROM supplier""",
     "leading_integers": """
-        SELECT p_partkey, (-p_size)::BIGINT AS signed, NULL::BIGINT AS "none", p_partkey AS hex FROM part""",
+        SELECT p_partkey, (-p_size)::BIGINT AS signed, NULL::BIGINT AS "none", p_partkey AS hex,
+               CASE WHEN p_size <= 15 THEN 1 - (1::BIGINT << (4 * p_size)) END AS long_hex FROM part""",
     "tuple_csv": """
         SELECT s_suppkey AS hero_id, s_nationkey::BIGINT AS players, floor(s_acctbal * 1000000)::BIGINT AS wins,
                s_name AS hero_name FROM supplier WHERE s_acctbal >= 0""",
@@ -169,6 +181,10 @@ ORACLE_SQL |= {
     "names_or_not_found": """
         SELECT l_orderkey, l_linenumber, l_partkey, coalesce(s_name, 'ID Not Found') AS s_name
         FROM lineitem LEFT JOIN supplier ON s_suppkey = l_partkey""",
+    "fixed_hero_names": f"""
+        SELECT h.*, coalesce(name, 'Hero ' || hero_id) AS hero_name FROM ({HERO}) h
+        LEFT JOIN (VALUES {', '.join(f"({n}, '{name.replace(chr(39), chr(39) * 2)}')" for n, name in HERO_NAMES.items())})
+                  AS d(id, name) ON d.id = hero_id""",
     "hero_picker": f"""
         SELECT hero_id, coalesce(name, 'Hero ' || hero_id) AS hero_name FROM ({HERO}) h
         LEFT JOIN {NAMES} d ON d.id = hero_id ORDER BY 2""",
@@ -182,17 +198,40 @@ COUNTS = """
         (3, 'part', 'Trade', false, (SELECT count(*) FROM part)),
         (4, 'lineitem', 'Trade', true, (SELECT count(*) FROM lineitem)),
         (5, 'missing', 'Trade', false, 0)) AS c(position, name, category, requires_hero, count)"""
+
+
+def _ordered(rows: str, order: str, limit: int, offset: int = 0) -> str:
+    """A page with the place of each row in it."""
+    return f"""
+        SELECT * REPLACE (position - {offset + 1} AS position)
+        FROM (SELECT *, row_number() OVER (ORDER BY {order}) AS position FROM {rows})
+        WHERE position > {offset} AND position <= {offset + limit}"""
+
+
 META = "SELECT true AS ok, '{0}' AS collection, count(*) AS total, {1} AS page, ceil(count(*) / {2})::INTEGER AS pages"
 
 ORACLE_SQL |= {
-    "top_heroes": f"SELECT * FROM ({HERO}) ORDER BY win_rate DESC, hero_id LIMIT 25",
+    "top_heroes": _ordered(f"({HERO})", "win_rate DESC, hero_id", 25),
+    "top_heroes_stored": _ordered(f"({HERO})", "total_wins, hero_id", 40),
     "top_heroes_meta": f"""
         SELECT least(count(*), 25)::BIGINT AS count,
                (SELECT last_updated FROM ({HERO}) ORDER BY total_wins, hero_id LIMIT 1) AS last_updated
         FROM ({HERO})""",
-    "scoreboard": f"SELECT * FROM ({HERO}) ORDER BY total_wins DESC, hero_id LIMIT 30",
-    "browse_page": f"""
-        SELECT * FROM lineitem ORDER BY l_extendedprice DESC, {LINE_ORDER} LIMIT 200 OFFSET 400""",
+    "scoreboard": _ordered(f"({HERO})", "total_wins DESC, hero_id", 30),
+    "browse_page": _ordered("lineitem", f"l_extendedprice DESC, {LINE_ORDER}", 200, 400),
+    "browse_struct_page": _ordered(
+        "lineitem",
+        "l_returnflag NULLS FIRST, CASE WHEN l_linenumber > 1 THEN l_shipdate END NULLS FIRST, " + LINE_ORDER, 200, 4800),
+    "browse_array_page": _ordered(
+        "lineitem", "l_discount DESC, CASE WHEN l_linenumber > 2 THEN l_tax END DESC NULLS LAST, " + LINE_ORDER, 200, 4800),
+    "browse_all_pages": "SELECT p_partkey, 1::BIGINT AS times FROM part",
+    "browse_gate": """
+        SELECT * FROM (VALUES ('match_history', '', 'HeroRequired', NULL), ('match_history', 'x', 'HeroRequired', NULL),
+            ('match_history', '7', 'shown', (SELECT count(*) FROM lineitem WHERE l_suppkey = 7)),
+            ('secret', '7', 'ValueError', NULL)) AS a(collection, hero, answer, total)""",
+    "column_choices": """
+        SELECT name, 'O ' || upper(name[3]) || name[4:] AS label, filled FROM (
+            UNPIVOT (SELECT count(COLUMNS(*)) FROM orders) ON COLUMNS(*) INTO NAME name VALUE filled)""",
     "browse_deep_page": f"""
         SELECT * FROM lineitem ORDER BY l_extendedprice, {LINE_ORDER} LIMIT 200 OFFSET 49800""",
     "browse_hot_value_page": f"""
@@ -225,9 +264,22 @@ ORACLE_SQL |= {
         FROM ({COUNTS}) WHERE count <> 0""",
 }
 
+# the month whose stamp is unreadable counts, but is nobody's latest
+ORACLE_SQL["streamed_win_rate_legacy"] = HERO.replace(
+    "max(fetched_at)", f"max(fetched_at) FILTER (fetched_at > (SELECT min(fetched_at) FROM ({HERO_SNAPSHOTS})))")
+
 # display
 GROUPED = "CASE WHEN {0} >= 1000 THEN format('{{:,}}', {0}) ELSE {0}::VARCHAR END"
 ORACLE_SQL |= {
+    "report_of_odd_names": f"""
+        SELECT * FROM (
+            SELECT coalesce(name, 'Hero ' || hero_id) AS "Hero", {GROUPED.format('total_wins')} AS "Wins",
+                   {GROUPED.format('total_losses')} AS "Wins (wins)", '_name ' || hero_id AS " Name",
+                   '_hash ' || hero_id AS " Hash", '_file ' || hero_id AS " File", '_row ' || hero_id AS " Row",
+                   '_salt ' || hero_id AS " Salt"
+            FROM ({HERO}) h LEFT JOIN {NAMES} d ON d.id = hero_id
+            WHERE contains(hero_id || ' ' || total_wins || ' ' || total_losses, '1')
+            ORDER BY total_wins DESC, hero_id LIMIT 200)""",
     "report_view": f"""
         SELECT coalesce(name, 'Hero ' || hero_id) AS "Hero", {GROUPED.format('total_wins')} AS "Wins",
                {GROUPED.format('total_losses')} AS "Losses", {GROUPED.format('total_matches')} AS "Matches",
@@ -263,15 +315,17 @@ ORACLE_SQL |= {
 # jobs
 REPORT = f"""
     SELECT * FROM (VALUES
-        ('hero_stats', 'hero', 'OK', (SELECT count(*) FROM ({HERO}))),
-        ('item_stats', 'item', 'OK', (SELECT count(*) FROM ({_win_rate('l_orderkey', 'item_id')}))),
-        ('badge_distribution', 'generic', 'OK', (SELECT count(*) FROM events)),
-        ('bulk_metadata', 'shallow', 'SKIP', NULL),
-        ('match_history', 'shallow', 'OK', (SELECT count(*) FROM lineitem))
-    ) AS r(endpoint, mode, status, rows)"""
+        ('hero_stats', 'hero', 'OK', (SELECT count(*) FROM ({HERO})), 1, 0),
+        ('item_stats', 'item', 'OK', (SELECT count(*) FROM ({_win_rate('l_orderkey', 'item_id')})), 0, 0),
+        ('badge_distribution', 'generic', 'OK', (SELECT count(*) FROM events), 0, 1),
+        ('bulk_metadata', 'shallow', 'SKIP', NULL, NULL, NULL),
+        ('leaderboards', 'generic', 'SKIP', NULL, NULL, NULL),
+        ('match_history', 'shallow', 'OK', (SELECT count(*) FROM lineitem), 0, 0)
+    ) AS r(endpoint, mode, status, rows, rejected, corrupt)"""
 ORACLE_SQL |= {
     "run_report": REPORT,
     "run_report_tallies": f"""
-        SELECT status, count(*) AS endpoints, coalesce(sum(rows), 0)::BIGINT AS rows FROM ({REPORT}) GROUP BY 1""",
+        SELECT status, count(*) AS endpoints, coalesce(sum(rows), 0)::BIGINT AS rows
+        FROM ({REPORT}) WHERE endpoint <> 'leaderboards' GROUP BY 1""",
     "refreshed_history": ORACLE_SQL["landed_history"],
 }
