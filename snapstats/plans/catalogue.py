@@ -11,7 +11,7 @@ from snapstats.functions.display import cell, clipped_json, grouped_number, plai
 from snapstats.functions.parsing import leading_int_col
 from snapstats.functions.stamps import display_time, iso_micros, iso_utc, landing_path, stamp_path
 from snapstats.operators import aggregate, blocks, discover, filters, lookup, paging, shape
-from snapstats.plans import browse, derived, discovery, refresh, report
+from snapstats.plans import browse, continued, derived, discovery, refresh, report
 from snapstats.schemas import bronze_counters, counter_record, envelope_schema
 from snapstats.session import scratch_path
 from snapstats.sinks.landing import build_envelopes, jsonable, land_records
@@ -715,6 +715,40 @@ def refreshed_history(spark, sf_dir):
     return spark.read.parquet(f"{target}/match_history")
 
 
+def _refreshed_twice(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """A landing that is refreshed, gets more files, one of them with a new field, and is refreshed again."""
+    root, target, state = (scratch_path(spark, label) for label in ("landing", "collections", "state"))
+    names = {"hero_stats": "hero", "badge_distribution": "generic", "match_history": "shallow"}
+    heroes, events = derived.hero_snapshots(spark, sf_dir), derived.event_records(spark, sf_dir)
+    history = derived.history_records(spark, sf_dir)
+    reports = []
+    for run, day in enumerate(("2026-04-05", "2026-04-06")):
+        land_records(heroes.where(F.substring("fetched_at", 6, 2).cast("int") % 2 == run), root, "hero_stats")
+        some = history.where(F.col("line") % 2 == run).withColumn("fetched_at", F.lit(f"{day}T10:00:00+00:00"))
+        land_records(some, root, "match_history", max_records=10_000_000)
+        kept = events.where(F.col("event_id") % 2 == run).withColumn("fetched_at", F.lit(f"{day}T10:00:00+00:00"))
+        land_records(kept.drop("value") if run == 0 else kept, root, "badge_distribution", max_records=10_000_000)
+        done = continued.continue_collections(spark, root, target, state, names)
+        reports.append(done.select(F.lit(run).alias("run"), "endpoint", "status", "how", "envelopes", "rows"))
+    return landing.union_snapshots(reports), target
+
+
+@query
+def refreshed_twice(spark, sf_dir):
+    """What two runs report: the second reads new files only, but all of the endpoint that got a new field."""
+    return _refreshed_twice(spark, sf_dir)[0]
+
+
+@query
+def refreshed_twice_heroes(spark, sf_dir):
+    return spark.read.parquet(f"{_refreshed_twice(spark, sf_dir)[1]}/hero_stats")
+
+
+@query
+def refreshed_twice_events(spark, sf_dir):
+    return spark.read.parquet(f"{_refreshed_twice(spark, sf_dir)[1]}/badge_distribution")
+
+
 @query
 def streamed_win_rate(spark, sf_dir):
     root, target = scratch_path(spark, "landing"), scratch_path(spark, "stream")

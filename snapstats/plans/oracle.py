@@ -327,5 +327,23 @@ ORACLE_SQL |= {
     "run_report_tallies": f"""
         SELECT status, count(*) AS endpoints, coalesce(sum(rows), 0)::BIGINT AS rows
         FROM ({REPORT}) WHERE endpoint <> 'leaderboards' GROUP BY 1""",
+    "refreshed_twice": f"""
+        WITH months AS (SELECT DISTINCT fetched_at, month(fetched_at[:10]::DATE) % 2 AS run FROM ({HERO_SNAPSHOTS})),
+        history AS (SELECT l_linenumber % 2 AS run FROM lineitem)
+        SELECT run, 'hero_stats' AS endpoint, 'OK' AS status, CASE run WHEN 0 THEN 'built' ELSE 'continued' END AS how,
+               (SELECT count(*) FROM months m WHERE m.run = r.run) AS envelopes,
+               CASE run WHEN 0 THEN (SELECT count(*) FROM ({_win_rate('l_suppkey', 'hero_id', 'month(l_shipdate) % 2 = 0')}))
+                        ELSE (SELECT count(*) FROM ({HERO})) END AS rows
+        FROM (VALUES (0), (1)) AS r(run)
+        UNION ALL
+        SELECT run, 'match_history', 'OK', CASE run WHEN 0 THEN 'built' ELSE 'continued' END, 1,
+               (SELECT count(*) FROM history h WHERE h.run <= r.run) FROM (VALUES (0), (1)) AS r(run)
+        UNION ALL
+        SELECT run, 'badge_distribution', 'OK', 'built', run + 1,
+               (SELECT count(*) FROM events WHERE event_id % 2 <= run) FROM (VALUES (0), (1)) AS r(run)""",
+    "refreshed_twice_heroes": HERO,
+    "refreshed_twice_events": f"""
+        SELECT CASE event_id % 2 WHEN 0 THEN '2026-04-05' ELSE '2026-04-06' END || 'T10:00:00+00:00' AS fetched_at,
+               event_id, event_type, CASE event_id % 2 WHEN 1 THEN value END AS value, {K} AS props_k FROM events""",
     "refreshed_history": ORACLE_SQL["landed_history"],
 }
