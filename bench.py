@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from snapstats.operators import aggregate, blocks, discover, filters, shape  # noqa: E402
-from snapstats.plans import browse, derived, refresh, report  # noqa: E402
+from snapstats.plans import browse, continued, derived, refresh, report  # noqa: E402
 from snapstats.schemas import bronze_counters, counter_record, envelope_schema  # noqa: E402
 from snapstats.session import build_session, scratch_path  # noqa: E402
 from snapstats.sinks.landing import land_records  # noqa: E402
@@ -77,6 +77,31 @@ def main() -> None:
         stream_win_rate(spark, root, "hero_stats", "hero_id", out, scratch_path(spark, "checkpoint")).awaitTermination()
         return spark.read.parquet(out)
 
+    def plain_win_rate(endpoint, key):
+        """The same totals as one would first write them: schema inferred, latest stamp as text."""
+        raw = spark.read.option("multiLine", True).option("recursiveFileLookup", True).json(f"{root}/raw/{endpoint}")
+        rows = raw.select("fetched_at", F.explode("data").alias("r")).select("fetched_at", "r.*")
+        totals = rows.groupBy(key).agg(
+            *[F.sum(c).alias(f"total_{c}") for c in ("wins", "losses", "matches")], F.max("fetched_at").alias("last_updated"))
+        return totals.where("total_matches > 0").withColumn("win_rate", F.round(F.expr("total_wins / total_matches"), 4))
+
+    def plain_refresh():
+        """Each endpoint counted, then written."""
+        rows = []
+        for endpoint in ("hero_stats", "item_stats", "match_history"):
+            key = counters.get(endpoint)
+            frame = plain_win_rate(endpoint, key) if key else shape.shallow(landing.read_endpoint(spark, root, endpoint))
+            rows.append((endpoint, frame.count()))
+            frame.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{target}-plain/{endpoint}")
+        return spark.createDataFrame(rows, "endpoint string, rows bigint")
+
+    def landed():
+        path = scratch_path(spark, "landed")
+        land_records(stamped, path, "match_history")
+        return spark.read.text(path, recursiveFileLookup=True).select(F.lit(1))
+
+    endpoints = {"hero_stats": "hero", "item_stats": "item", "match_history": "shallow"}
+    state = scratch_path(spark, "state")
     matches = derived.match_records(spark, sf_dir)
     queries = {
         "json_hero_win_rate": lambda: from_json("hero_stats", "hero_id"),
@@ -101,25 +126,32 @@ def main() -> None:
         ).rows,
         "search_table": lambda: filters.search(derived.table(spark, sf_dir, "lineitem"), "1998"),
         "list_collections": lambda: browse.list_collections(collections),
-        "refresh_job": lambda: refresh.refresh_collections(
-            spark, root, target, {"hero_stats": "hero", "item_stats": "item", "match_history": "shallow"}
-        ),
+        "refresh_job": lambda: refresh.refresh_collections(spark, root, target, endpoints),
+        "refresh_nothing_new": lambda: continued.continue_collections(spark, root, f"{target}-continued", state, endpoints),
+        "land_history": landed,
         "streamed_win_rate": stream,
     }
+    plain = {
+        "json_hero_win_rate": lambda: plain_win_rate("hero_stats", "hero_id"),
+        "json_item_win_rate": lambda: plain_win_rate("item_stats", "item_id"),
+        "refresh_job": plain_refresh,
+    }
 
-    timings = {}
-    for name, query in queries.items():
+    def timed(query) -> float:
         runs = []
-        for n in range(RUNS + 1):
+        for _ in range(RUNS + 1):
             started = time.perf_counter()
             consume(query())
             runs.append(time.perf_counter() - started)
-        timings[name] = round(statistics.median(runs[1:]), 3)
+        return round(statistics.median(runs[1:]), 3)
+
+    timings = {name: timed(query) for name, query in queries.items()}
     line = {
         "metric": "total of median query times",
         "value": round(sum(timings.values()), 3),
         "unit": "sec",
         "queries": timings,
+        "plain": {name: timed(query) for name, query in plain.items()},
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
     }
     print(json.dumps(line))

@@ -160,7 +160,7 @@ def page_meta(found: DataFrame, collection: str, page: int, limit: int) -> DataF
 def list_collections(collections: Collections) -> DataFrame:
     """Every listed collection with its row count; one that cannot be read counts 0.
 
-    A count of a Parquet table reads footers only.
+    A count of a Parquet table reads no column, but opens every file.
     """
     registry = collections.registry_frame()
     counts = []
