@@ -28,6 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from snapstats.llm import similar
 from snapstats.llm.common import byte_words, row_key, stage
 from snapstats.llm.components import connected_components
 
@@ -200,9 +201,14 @@ def near_duplicates(docs: DataFrame, most: int = 4) -> DataFrame:
     return fps.join(classes, "fp")
 
 
-def keep_one(docs: DataFrame, most: int = 4) -> DataFrame:
-    """One row of each group of near-duplicates: that of the smallest doc_id (null last; ties: any one equal row)."""
-    groups = near_duplicates(docs, most)
+def keep_one(docs: DataFrame, most: int = 4, least: float = similar.LEAST) -> DataFrame:
+    """One row of each group of near-duplicates: that of the smallest doc_id (null last; ties: any one equal row).
+
+    Groups are those of the fingerprints, joined where they hold texts of five-word similarity ``least`` or more.
+    """
+    groups = stage(near_duplicates(docs, most).select("doc_id", "_k1", "_k2", "label"), "near-groups")
+    merged = connected_components(similar.links(docs, groups, least)).select(F.col("node").alias("label"), F.col("label").alias("_to"))
+    groups = groups.join(merged, "label", "left").withColumn("label", F.coalesce("_to", "label"))
     first = groups.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_k1", "_k2")).alias("f"))
     chosen = first.select(F.col("f._k1").alias("_k1"), F.col("f._k2").alias("_k2"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")

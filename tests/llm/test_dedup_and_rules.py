@@ -157,3 +157,51 @@ def test_components_of_a_chain(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 100), (200, 201)], "a long, b long")
     got = {r["node"]: r["label"] for r in components.connected_components(chain).collect()}
     assert got == {**{i: 0 for i in range(61)}, 200: 200, 201: 200}
+
+
+# --- five-word similarity ----------------------------------------------------------------------------
+
+
+def five_words(text):
+    got = odd.words((text or "").translate(odd.LOWER))
+    return {tuple(got[k : k + 5]) for k in range(len(got) - 4)}
+
+
+def similarity(a, b):
+    return len(a & b) / max(1, len(a | b))
+
+
+@pytest.mark.parametrize("small", [24, 1])
+def test_keep_one_reaches_five_word_similarity(spark, monkeypatch, small):
+    """Texts at 0.8 or a little more, far apart by fingerprint, and some just below: as by brute force."""
+    from snapstats.llm import similar
+
+    monkeypatch.setattr(similar, "SMALL", small)
+    monkeypatch.setattr(similar, "BLOCK", 3)
+    rng = random.Random(4)
+    rows = []
+    for _ in range(25):
+        text = [f"w{rng.randrange(5000)}" for _ in range(300)]
+        for changes in (0, 6, 7, 9):
+            again = list(text)
+            for k in range(changes):
+                again[k * 300 // max(1, changes) + 10] = f"x{rng.randrange(10**9)}"
+            rows.append((len(rows), " ".join(again)))
+    label = list(range(len(rows)))
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    sets, fps = [five_words(t) for _, t in rows], [odd.fingerprint(t) for _, t in rows]
+    far = 0
+    for i in range(len(rows)):
+        for j in range(i):
+            near, alike = (fps[i] ^ fps[j]).bit_count() <= 4, similarity(sets[i], sets[j]) >= 0.8
+            far += alike and not near
+            if near or alike:
+                label[max(root(i), root(j))] = min(root(i), root(j))
+    assert far > 10
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"] for r in kept.collect()} == {root(i) for i in range(len(rows))}
