@@ -1,15 +1,17 @@
 """Benchmark decontamination by templates, in DataFrame operations only.
 
-Numbers, names (capitalised words inside a sentence) and units after a number become typed placeholders; windows of
-five template words of documents meet those of benchmark items by hash.  A fixed-size bit table of the benchmark's
+Numbers (with their separators and decimals), names (capitalised words inside a sentence) and units after a number
+become typed placeholders; windows of five template words of documents meet those of benchmark items by hash.
+Capitalised words elsewhere may be names or not: a window that holds any has a second hash, in which they are names.  A fixed-size bit table of the benchmark's
 hashes (2^20 bits, whatever the benchmark's size) is tested inside the document's own row first, so that only
 windows that may match are shuffled.  An item is found in a document where at least 0.8 of its distinct windows are.
 Then the words in the slots are compared along each alignment: a value of the item must always become the same
 value, else the match is only a coincidence of placeholders; equal values mean a copy, others a re-parameterised one.
 
 Items of fewer than five words are too short to tell and never match, and so are windows of fewer than
-``LITERALS`` plain words; null texts are empty.  Items of the same template are one class, named by the smallest
-item_id.  Repeated rows of a document are found alike.
+``LITERALS`` plain words; null texts are empty.  Items of the same template are one class, whose windows are joined
+once; a variant is what the class's items of equal words are, named by the smallest item_id, and each is compared with
+the document by itself.  Repeated rows of a document are found alike.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ BITS = 20
 UNITS = ("mm", "cm", "m", "km", "mg", "g", "kg", "t", "ml", "l", "s", "min", "h", "hours", "minutes", "seconds", "days",
          "weeks", "months", "years", "percent", "dollars", "euros", "usd", "eur", "miles", "feet", "inches", "pounds",
          "meters", "metres", "liters", "litres", "grams", "degrees", "mph")
-#: A marked word: the mark, one letter of type, and the word itself.
+#: A marked word: the mark, one letter of type, and the word itself.  Type s: a capital that sentences start with.
 MARK = "¤"
 
 
@@ -40,8 +42,15 @@ def marked_words(text: Column) -> Column:
     return F.filter(F.split(F.lower(whole), rf"[^\p{{L}}\p{{N}}{MARK}]+"), lambda w: w != "")
 
 
+def bare(word: Column) -> Column:
+    """The word without its mark."""
+    return F.when(word.startswith(MARK), F.substr(word, F.lit(3))).otherwise(word)
+
+
 def template(words: Column) -> Column:
-    return F.transform(words, lambda w: F.when(w.startswith(MARK), F.substring(w, 1, 2)).otherwise(w))
+    plain = F.lit(f"{MARK}s")
+    return F.transform(words, lambda w: F.when(w.startswith(plain), F.substr(w, F.lit(3))).when(
+        w.startswith(MARK), F.substring(w, 1, 2)).otherwise(w))
 
 
 def let(value: Column, body) -> Column:
@@ -50,15 +59,24 @@ def let(value: Column, body) -> Column:
 
 
 def windows(words: Column, size: int = WINDOW) -> Column:
-    """The hash of each window of words, null where too few of them are plain; empty for short texts."""
-    each = F.transform(template(words), lambda w: F.struct(F.xxhash64(w).alias("h"), w.startswith(MARK).cast("int").alias("s")))
+    """The hashes of each window of words, null where too few of them are plain; empty for short texts.
+
+    ``h`` takes a capital that sentences start with as a plain word, ``g`` (null without any) as a name.
+    """
+    each = F.transform(F.arrays_zip(template(words).alias("t"), words.alias("w")), lambda x: F.struct(
+        F.xxhash64(x["t"]).alias("h"), x["t"].startswith(MARK).cast("int").alias("s"), x["w"].startswith(f"{MARK}s").cast("int").alias("c")))
+    name = F.xxhash64(F.lit(f"{MARK}n"))
 
     def at(parts: Column, i: Column) -> Column:
         own = [F.get(parts, i + k) for k in range(size)]
         slots = sum((p["s"] for p in own[1:]), own[0]["s"])
-        return F.when(slots <= size - LITERALS, F.xxhash64(*[p["h"] for p in own]))
+        starts = sum((p["c"] for p in own[1:]), own[0]["c"])
+        return F.struct(
+            F.when(slots <= size - LITERALS, F.xxhash64(*[p["h"] for p in own])).alias("h"),
+            F.when((starts > 0) & (slots + starts <= size - LITERALS), F.xxhash64(*[
+                F.when(p["c"] == 1, name).otherwise(p["h"]) for p in own])).alias("g"))
 
-    none = F.array().cast("array<long>")
+    none = F.array().cast("array<struct<h:long,g:long>>")
     return let(each, lambda parts: F.when(F.size(parts) >= size, F.transform(
         F.sequence(F.lit(0), F.size(parts) - size), lambda i: at(parts, i))).otherwise(none))
 
@@ -73,25 +91,48 @@ def _bit_table(hashes: DataFrame, bits: int = BITS) -> DataFrame:
         F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda x: x["v"]).alias("bits"))
 
 
-def benchmark_windows(benchmark: DataFrame, size: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """Classes of items of one template (item, members, words, n windows) and their windows (item, h, place)."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item"), marked_words(text_of()).alias("words"))
+def benchmark_items(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
+    """member (item_id), its words, ``w`` (windows, those of the class), ``t``, the variant it belongs to, and the class ``item``."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("member"), marked_words(text_of()).alias("words"))
     # a passage's first word may or may not look like a name where it stands, so no window starts there
     every = windows(F.col("words"), size)
-    rows = items.select("item", "words", let(every, lambda w: F.when(F.size(w) > 1, F.concat(
-        F.array(F.lit(None).cast("long")), F.slice(w, 2, F.size(w)))).otherwise(w)).alias("_w"))
-    classes = rows.groupBy(F.col("_w").alias("w"), F.xxhash64(template(F.col("words"))).alias("t")).agg(
-        F.min_by("words", "item").alias("words"), F.min("item").alias("item"), F.count("*").alias("n_items"))
-    distinct = F.array_distinct(F.filter("w", lambda h: h.isNotNull()))
-    classes = classes.select("item", "n_items", "words", "w", F.size(distinct).alias("n")).where("n > 0")
-    places = classes.select("item", "n", "words", F.posexplode("w").alias("place", "h")).where("h is not null")
-    return classes, places
+    none = F.struct(F.lit(None).cast("long").alias("h"), F.lit(None).cast("long").alias("g"))
+    rows = items.select("member", "words", let(every, lambda w: F.when(F.size(w) > 1, F.concat(
+        F.array(none), F.slice(w, 2, F.size(w)))).otherwise(w)).alias("w"), F.xxhash64(template(F.col("words"))).alias("t"))
+    rows = stage(rows.withColumn("v", F.transform("words", bare)), "benchmark-items")
+    variants = rows.groupBy("w", "t", "v").agg(F.min("member").alias("variant"))
+    classes = variants.groupBy("w", "t").agg(F.min("variant").alias("item"))
+    return stage(rows.join(variants, ["w", "t", "v"]).join(classes, ["w", "t"]).select(
+        "member", "variant", "item", "words", "w"), "benchmark-members")
+
+
+def benchmark_windows(items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Variants (item, variant, n_items, words) and the windows of classes (item, n distinct windows, place, own, h)."""
+    variants = items.groupBy("item", "variant").agg(F.count("*").alias("n_items"), F.min_by("words", "member").alias("words"))
+    own = F.transform("w", lambda x: x["h"])
+    distinct = F.array_distinct(F.filter(own, lambda h: h.isNotNull()))
+    classes = items.where("member = item").dropDuplicates(["item"]).select("item", "w", F.size(distinct).alias("n")).where("n > 0")
+    each = classes.select("item", "n", F.posexplode("w").alias("place", "x"))
+    places = each.select("item", "n", "place", F.col("x.h").alias("own"), F.explode(F.array_distinct(F.array("x.h", "x.g"))).alias("h"))
+    return variants, places.where("own is not null and h is not null")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, size: int = WINDOW) -> DataFrame:
-    """One row per document row and item class found in it."""
-    _, places = benchmark_windows(benchmark, size)
+    """One row per document row and variant of items found in it; ``class`` is the least item of its template."""
+    return _matches(docs, benchmark_items(benchmark, size), share, size)
+
+
+def item_matches(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, size: int = WINDOW) -> DataFrame:
+    """One row per document row and item found in it: `matches` with every member of a variant in its own row."""
+    items = benchmark_items(benchmark, size)
+    found = _matches(docs, items, share, size)
+    return found.join(items.select("member", F.col("variant").alias("item")), "item").withColumn("item", F.col("member")).drop("member")
+
+
+def _matches(docs: DataFrame, items: DataFrame, share: float, size: int) -> DataFrame:
+    variants, places = benchmark_windows(items)
     places = stage(places, "benchmark-windows")
+    variants = stage(variants, "benchmark-variants")
     bits = stage(_bit_table(places.select("h")), "benchmark-bits")
     table = bits.select("bits").scalar()
 
@@ -101,8 +142,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, size: i
 
     def found(words: Column) -> Column:
         """The windows whose bit is set: hash, place and words."""
-        placed = F.transform(windows(words, size), lambda h, i: F.struct(h.alias("h"), i.alias("q")))
-        return F.transform(F.filter(placed, lambda x: hit(x["h"])), lambda x: F.struct(
+        def placed(w: Column, name: str) -> Column:
+            return F.filter(F.transform(w, lambda x, i: F.struct(x[name].alias("h"), i.alias("q"))), lambda x: hit(x["h"]))
+
+        return F.transform(let(windows(words, size), lambda w: F.concat(placed(w, "h"), placed(w, "g"))), lambda x: F.struct(
             x["h"].alias("h"), x["q"].alias("q"), F.slice(words, x["q"] + 1, size).alias("doc_words")))
 
     # the outer explode keeps the optimizer from testing the array in a filter, which would compute it twice
@@ -110,26 +153,35 @@ def matches(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, size: i
         "doc_id", "_k1", "_k2", F.explode_outer(let(marked_words(text_of()), found)).alias("f")).where("f is not null").select(
         "doc_id", "_k1", "_k2", "f.*")
     hits = stage(hits.distinct(), "window-hits")
-    met = hits.join(places.select("h", "item", "n", "place", F.slice("words", F.col("place") + 1, size).alias("item_words")), "h")
+    met = hits.join(places, "h").drop("h")
     met = stage(met.withColumn("line", F.col("q") - F.col("place")), "window-matches")
     pair = ["_k1", "_k2", "item"]
-    covered = met.groupBy(*pair, "h").agg(F.max("n").alias("n"), F.max("doc_id").alias("doc_id")).groupBy(*pair).agg(
+    covered = met.groupBy(*pair, "own").agg(F.max("n").alias("n"), F.max("doc_id").alias("doc_id")).groupBy(*pair).agg(
         F.count("*").alias("n_windows"), F.max("n").alias("n"), F.max("doc_id").alias("doc_id"))
-    covered = covered.where(F.col("n_windows") >= F.lit(share) * F.col("n"))
-    # a place of the item is read where most windows lie on the same line of alignment
-    support = met.groupBy(*pair, "line").agg(F.count("*").alias("m"))
-    best = met.join(support, [*pair, "line"]).groupBy(*pair, "place").agg(
-        F.max_by(F.struct("item_words", "doc_words", "line"), F.struct("m", "line", "q")).alias("best")).select(*pair, "best.*")
-    slots = best.select(*pair, "line", F.explode(F.arrays_zip("item_words", "doc_words")).alias("s"))
-    slots = slots.where(F.col("s.item_words").startswith(MARK)).groupBy(*pair, "line", F.col("s.item_words").alias("value")).agg(
-        F.min("s.doc_words").alias("low"), F.max("s.doc_words").alias("high"))
-    slots = slots.groupBy(*pair).agg(
-        F.count_distinct("value").alias("n_slots"),
-        F.count_distinct(F.when(F.col("low") != F.col("high"), F.col("value"))).alias("n_mixed"),
-        F.count_distinct(F.when((F.col("low") != F.col("value")) | (F.col("high") != F.col("value")), F.col("value"))).alias("n_changed"))
+    covered = stage(covered.where(F.col("n_windows") >= F.lit(share) * F.col("n")), "window-coverage")
+    one = [*pair, "variant"]
+    read = met.join(covered.select(*pair), pair, "left_semi").select(*pair, "line", "place", "q", "doc_words").distinct()
+    read = read.join(variants.select("item", "variant", "words"), "item").withColumn(
+        "item_words", F.slice("words", F.col("place") + 1, size)).drop("words")
+    same = F.transform("item_words", bare) == F.transform("doc_words", bare)
+    read = stage(read.withColumn("same", same.cast("int")), "window-variants")
+    # a place of the item is read where most windows lie on the same line of alignment, a verbatim one first
+    support = read.groupBy(*one, "line").agg(F.count("*").alias("m"), F.sum("same").alias("e"))
+    best = read.join(support, [*one, "line"]).groupBy(*one, "place").agg(
+        F.max_by(F.struct("item_words", "doc_words"), F.struct("m", "e", "line", "q")).alias("best")).select(*one, "best.*")
+    slots = best.select(*one, F.explode(F.arrays_zip("item_words", "doc_words")).alias("s"))
+    slots = slots.where(F.col("s.item_words").startswith(MARK)).select(
+        *one, F.col("s.item_words").startswith(f"{MARK}s").alias("start"), bare(F.col("s.item_words")).alias("value"), bare(F.col("s.doc_words")).alias("got"))
+    slots = slots.groupBy(*one, "value").agg(F.min("start").alias("start"), F.min("got").alias("low"), F.max("got").alias("high"))
+    changed = (F.col("low") != F.col("value")) | (F.col("high") != F.col("value"))
+    # a capital that only starts sentences is a slot where it changed
+    slots = slots.where(~F.col("start") | changed).groupBy(*one).agg(
+        F.count("*").alias("n_slots"), F.count_if(F.col("low") != F.col("high")).alias("n_mixed"), F.count_if(changed).alias("n_changed"))
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
-    return covered.join(slots, pair, "left").select(
-        "doc_id", *pair, (F.col("n_windows") / F.col("n")).alias("coverage"), "n_windows", zero("n_slots"), zero("n_changed"),
+    every = covered.join(variants.select("item", "variant", "n_items"), "item").join(slots, one, "left")
+    return every.select(
+        "doc_id", "_k1", "_k2", F.col("variant").alias("item"), F.col("item").alias("class"), "n_items",
+        (F.col("n_windows") / F.col("n")).alias("coverage"), "n_windows", zero("n_slots"), zero("n_changed"),
         (zero("n_mixed") * 2 <= zero("n_slots")).alias("consistent"))
 
 

@@ -44,8 +44,9 @@ def op9_simhash(spark, sf_dir):
 
 @query
 def op6_decontamination(spark, sf_dir):
-    rows = decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return rows.select("doc_id", F.col("item").alias("item_id"), "coverage", "n_windows", "n_slots", "n_changed", "consistent")
+    rows = decontaminate.item_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.select("doc_id", F.col("item").alias("item_id"), "coverage", "n_windows", "n_slots", "n_changed", "consistent",
+                       F.col("class").alias("class_id"), "n_items")
 
 
 @query

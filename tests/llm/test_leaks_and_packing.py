@@ -73,6 +73,17 @@ def test_leaks_match_brute_force(spark, sf_dir, documents):
     assert want and set(counted(QUERIES["op6_decontamination"](spark, sf_dir), "doc_id", "item_id")) == want
 
 
+def test_every_variant_of_a_template_is_compared(spark):
+    items = ["What is the sum of 4 and 4 in base ten", "What is the sum of 4 and 7 in base ten", "What is the sum of 4 and 7 in base ten"]
+    got = found(spark, [f"Noise. {items[1]}", f"{items[0]}. And so on. {items[1]}"], items)
+    assert {k: (r["n_changed"], r["consistent"], r["class"], r["n_items"]) for k, r in got.items()} == {
+        (0, 0): (1, False, 0, 1), (0, 1): (0, True, 0, 2), (1, 0): (0, True, 0, 1), (1, 1): (0, True, 0, 2)}
+    docs = spark.createDataFrame([(0, f"Noise. {items[1]}")], "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    assert {(r["item"], r["n_changed"]) for r in decontaminate.item_matches(docs, bench).collect()} == {(0, 1), (1, 0), (2, 0)}
+    assert decontaminate.decontaminate(docs, bench).count() == 0
+
+
 # --- packing -----------------------------------------------------------------------------------------
 
 
