@@ -29,17 +29,21 @@ UNITS = ("mm", "cm", "m", "km", "mg", "g", "kg", "t", "ml", "l", "s", "min", "h"
          "meters", "metres", "liters", "litres", "grams", "degrees", "mph")
 #: A marked word: the mark, one letter of type, and the word itself.  Type s: a capital that sentences start with.
 MARK = "¤"
+NUMBER = r"\p{N}+(?:[.,]\p{N}+)*+"
 
 
 def marked_words(text: Column) -> Column:
     """Lower-case words; those in slots carry their type before them."""
     text = F.regexp_replace(text, MARK, " ")
     named = F.regexp_replace(text, r"\p{Lu}(?<=[\p{Ll}\p{N},;] .)\p{L}*", f"{MARK}n$0")
-    numbered = F.regexp_replace(named, rf"(?<![\p{{L}}{MARK}])\p{{N}}+(?!\p{{L}})", f"{MARK}d$0")
-    unit = rf"(?i)({MARK}d\p{{N}}+ ?)({'|'.join(UNITS)})(?!\p{{L}})"
+    named = F.regexp_replace(named, rf"(?<![\p{{L}}\p{{N}}{MARK}])\p{{Lu}}\p{{L}}*", f"{MARK}s$0")
+    numbered = F.regexp_replace(named, rf"(?<![\p{{L}}\p{{N}}{MARK}]){NUMBER}", f"{MARK}d$0")
+    unit = rf"(?i)({MARK}d{NUMBER} ?)({'|'.join(UNITS)})(?!\p{{L}})"
     numbered = F.regexp_replace(numbered, unit, f"$1 {MARK}u$2")
     whole = F.when(text.rlike(r"\p{N}"), numbered).otherwise(named)
-    return F.filter(F.split(F.lower(whole), rf"[^\p{{L}}\p{{N}}{MARK}]+"), lambda w: w != "")
+    # a point or comma between two digits stays in the number
+    between = rf"(?:[^\p{{L}}\p{{N}}{MARK}.,]|[.,](?!\p{{N}})|(?<!\p{{N}})[.,])+"
+    return F.filter(F.split(F.lower(whole), between), lambda w: w != "")
 
 
 def bare(word: Column) -> Column:

@@ -84,6 +84,23 @@ def test_every_variant_of_a_template_is_compared(spark):
     assert decontaminate.decontaminate(docs, bench).count() == 0
 
 
+def test_names_at_sentence_starts_numbers_and_units(spark):
+    items = [
+        "Natalia sold clips to 48 of her friends in April. Natalia then sold half as many clips in May. How many clips did Natalia sell altogether",
+        "The shop paid 800 for the old table and then 90 for the lamp before it sold both of them for 1000 in all",
+        "A runner covers 12km before noon and another 15km after it and then rests for 9h at home before the last 3km",
+    ]
+    texts = [
+        items[0].replace("Natalia", "Maria").replace("48", "52"),
+        items[1].replace("800", "1,250").replace("90", "3.5").replace("1000", "1,253.5"),
+        items[2].replace("12km", "5km").replace("15km", "9km").replace("3km", "21 miles"),
+        items[0].lower(), "Noise. Noise.  " + items[0].replace("Natalia", "Then") + "\n",
+    ]
+    got = found(spark, texts, items)
+    assert {k: (r["consistent"], r["n_changed"]) for k, r in got.items()} == {
+        (0, 0): (True, 2), (1, 1): (True, 3), (2, 2): (True, 4), (4, 0): (True, 1)}
+
+
 # --- packing -----------------------------------------------------------------------------------------
 
 
