@@ -67,3 +67,14 @@ def test_ownership_parts_copies_from_live_tokens(spark):
 def test_odd_rows(odd_docs):
     out = secrets.scan(odd_docs)
     assert counted(out, "doc_id") == Counter((r[0],) for r in odd.rows())
+
+
+def test_no_gap_between_live_and_copied(spark):
+    mirrored, two, sample = "Zk3-Qp9_xT7vB2nM4sLw8", "Hq5-Wn2_aK8cV6yR3dJf1", "Ex4mple-Key_0123456789AB"
+    rows = [(i, f"a {mirrored} b", f"owner{i}", "v", 1) for i in range(2)]
+    rows += [(10 + i, f"text {i} {two}", f"owner{i}", "v", 1) for i in range(2)]
+    rows += [(100 + i, f"{i} see {sample}", "hot", "v", 1) for i in range(secrets.COPIED_REPOS)]
+    got = {r["doc_id"]: r for r in run(spark, rows)}
+    assert all(got[i]["spans"] == f"live:2:{2 + len(mirrored)}" and got[i]["n_owner_specific"] == 1 for i in range(2))
+    assert all(got[10 + i]["spans"] == f"live:7:{7 + len(two)}" and got[10 + i]["n_owner_specific"] == 1 for i in range(2))
+    assert all(got[100 + i]["spans"] == "" for i in range(secrets.COPIED_REPOS))
