@@ -25,7 +25,7 @@ from snapstats.llm.common import byte_words, text_of
 
 BUCKETS, DIM, EPOCHS, RATE = 1 << 18, 12, 6, 0.5
 MAX_ROWS, MAX_BYTES = 3000, 24 << 20
-MEMO = 300_000
+MEMO, SHORT, BLOCK = 300_000, 64, 1 << 20
 NGRAMS = (3, 4)
 REPEAT, LEAST_DOCS = 0, 3
 
@@ -45,9 +45,11 @@ class Features:
     def word(self, word: bytes) -> tuple[int, np.ndarray]:
         got = self.memo.get(word)
         if got is None:
-            marked = b"<" + word[:64] + b">"
-            grams = {marked[k : k + n] for n in NGRAMS for k in range(len(marked) - n + 1)}
+            marked = b"<" + word + b">"
             own = zlib.crc32(word)
+            if len(word) > SHORT:
+                return own, np.concatenate([[own % BUCKETS], *(long_grams(marked, n) for n in NGRAMS)]).astype(np.int32)
+            grams = {marked[k : k + n] for n in NGRAMS for k in range(len(marked) - n + 1)}
             got = own, np.array([own % BUCKETS, *(zlib.crc32(g, 7) % BUCKETS for g in grams)], np.int32)
             if len(self.memo) < MEMO:
                 self.memo[word] = got
@@ -62,6 +64,24 @@ class Features:
         return np.unique(every, return_counts=True)
 
 
+def long_grams(word: bytes, n: int) -> np.ndarray:
+    """Buckets of the distinct n-grams (of at most four bytes) of a long word, as ``zlib.crc32(gram, 7)`` gives them."""
+    table = np.array([zlib.crc32(bytes([b]), 0xFFFFFFFF) ^ 0xFFFFFFFF for b in range(256)], np.uint32)
+    every, grams = np.frombuffer(word, np.uint8), np.zeros(0, np.uint32)
+    for k in range(0, len(every) - n + 1, BLOCK):
+        part = every[k : k + BLOCK + n - 1].astype(np.uint32)
+        size = len(part) - n + 1
+        packed = np.zeros(size, np.uint32)
+        for i in range(n):
+            packed = (packed << np.uint32(8)) | part[i : i + size]
+        grams = np.union1d(grams, packed)
+    crc = np.full(len(grams), 7 ^ 0xFFFFFFFF, np.uint32)
+    for i in reversed(range(n)):
+        byte = (grams >> np.uint32(8 * i)) & np.uint32(255)
+        crc = table[(crc ^ byte) & np.uint32(255)] ^ (crc >> np.uint32(8))
+    return (crc ^ np.uint32(0xFFFFFFFF)) % np.uint32(BUCKETS)
+
+
 def pairs(hashes: np.ndarray) -> np.ndarray:
     """Buckets of neighbouring words; a word that follows itself is the same pair whatever the word."""
     mixed = hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:] * np.uint64(0xC2B2AE3D27D4EB4F)
@@ -131,7 +151,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             if got is None:
                 own, buckets = reader.word(w)
                 got = own, float(weights[buckets].sum()), len(buckets)
-                if len(memo) < MEMO:
+                if len(w) <= SHORT and len(memo) < MEMO:
                     memo[w] = got
             return got
 

@@ -60,6 +60,17 @@ def test_archives_are_the_same_again(spark, tmp_path):
 # --- quality classifier ------------------------------------------------------------------------------
 
 
+def test_long_words_give_all_their_grams(monkeypatch):
+    monkeypatch.setattr(quality_classifier, "BLOCK", 50)
+    for word in ("\u6f22\u5b57\u3042\u00e9" * 9 + "tail of x" * 30).replace(" ", "").encode(), bytes(range(33, 250)) * 3, b"a" * 65, b"b" * 64:
+        marked = b"<" + word + b">"
+        grams = {marked[k : k + n] for n in (3, 4) for k in range(len(marked) - n + 1)}
+        want = Counter([zlib.crc32(word) % quality_classifier.BUCKETS, *(zlib.crc32(g, 7) % quality_classifier.BUCKETS for g in grams)])
+        reader = quality_classifier.Features()
+        assert Counter(reader.word(word)[1].tolist()) == want
+        assert (word in reader.memo) == (len(word) <= 64)
+
+
 def test_quality_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
     rows = QUERIES["op1_quality_classifier"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality"), "doc_id").collect()
