@@ -1,7 +1,7 @@
 import pytest
 
 
-from conftest import physical_plan, values
+from frames import physical_plan, values
 from snapstats.operators import aggregate
 from snapstats.operators.shape import MissingPayload, NotRecords
 

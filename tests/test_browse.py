@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import physical_plan, values
+from frames import physical_plan, values
 from snapstats.operators import paging
 from snapstats.operators.paging import SortKey
 from snapstats.plans import browse, report

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import values
+from frames import values
 from snapstats.operators import blocks, discover, filters, joins, lookup
 from snapstats.sources.collections import hero_dimension
 

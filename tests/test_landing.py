@@ -3,7 +3,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import values
+from frames import values
 from snapstats.operators import aggregate, shape
 from snapstats.schemas import HISTORY_RECORD, counter_record, envelope_schema
 from snapstats.sinks import landing as sink

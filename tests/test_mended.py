@@ -9,7 +9,7 @@ from snapstats.operators import aggregate, lookup, paging
 from snapstats.plans import browse, continued, refresh
 from snapstats.sources.collections import CollectionEntry, Collections
 from snapstats.sources.landing import union_snapshots
-from conftest import values
+from frames import values
 
 
 def test_rows_that_differ_in_a_map_only_are_all_paged(spark):

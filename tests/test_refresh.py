@@ -2,7 +2,7 @@
 import pytest
 
 
-from conftest import values
+from frames import values
 from snapstats.fixed_values import ENDPOINT_MODES
 from snapstats.plans import refresh
 from snapstats.schemas import HISTORY_RECORD, envelope_schema
