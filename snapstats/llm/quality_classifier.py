@@ -1,9 +1,9 @@
 """Quality classifier: supervised subword embeddings.
 
-Words, word pairs and character n-grams are hashed to learned vectors, averaged over the whole document and fed to a
+Words, word pairs and n-grams of a word's UTF-8 bytes are hashed to learned vectors, averaged over the whole document and fed to a
 softmax over two classes; vectors and output are learned together by stochastic gradient descent in numpy.  Training
-takes at most ``MAX_ROWS`` labelled rows and ``MAX_BYTES`` of their whole texts (those of lowest hash; documented
-bounds, so that fitting fits one machine); scoring covers every document in tasks.  As the output is linear in the
+takes at most ``MAX_ROWS`` labelled rows and ``MAX_BYTES`` of their whole texts (those of lowest hash that fit;
+documented bounds, so that fitting fits one machine, see `labelled`); scoring covers every document in tasks.  As the output is linear in the
 averaged vector, a trained model is one number per bucket: a document's logit is their mean over its features.
 
 Null and empty texts have no features and get the logit of the bias.  Labels other than 0 and 1, and rows without a
@@ -14,18 +14,21 @@ Repeated rows are scored alike.
 from __future__ import annotations
 
 import zlib
+from array import array
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapstats.llm.common import byte_words, text_of
 
 BUCKETS, DIM, EPOCHS, RATE = 1 << 18, 12, 6, 0.5
 MAX_ROWS, MAX_BYTES = 3000, 24 << 20
-MEMO, SHORT, BLOCK = 300_000, 64, 1 << 20
+LEAST_TEXTS = 100
+MEMO, SHORT, BLOCK, PART = 300_000, 64, 1 << 20, 1 << 21
 NGRAMS = (3, 4)
 REPEAT, LEAST_DOCS = 0, 3
 
@@ -37,9 +40,10 @@ class Model:
 
 
 class Features:
-    """Buckets of words: their own and those of the n-grams of ``<word>``; the first ``MEMO`` words are remembered."""
+    """Buckets of words: their own and those of the n-grams of ``<word>``; the first ``keep`` words are remembered."""
 
-    def __init__(self):
+    def __init__(self, keep: int = MEMO):
+        self.keep = keep
         self.memo: dict[bytes, tuple[int, np.ndarray]] = {}
 
     def word(self, word: bytes) -> tuple[int, np.ndarray]:
@@ -51,7 +55,7 @@ class Features:
                 return own, np.concatenate([[own % BUCKETS], *(long_grams(marked, n) for n in NGRAMS)]).astype(np.int32)
             grams = {marked[k : k + n] for n in NGRAMS for k in range(len(marked) - n + 1)}
             got = own, np.array([own % BUCKETS, *(zlib.crc32(g, 7) % BUCKETS for g in grams)], np.int32)
-            if len(self.memo) < MEMO:
+            if len(self.memo) < self.keep:
                 self.memo[word] = got
         return got
 
@@ -128,14 +132,64 @@ def train(rows: list[tuple[str | None, int]], seed: int = 1) -> Model:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, usable, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> list[tuple[str, int]]:
-    """(text, label) of at most ``max_rows`` labelled rows; ``usable`` is a condition on doc_id."""
+    """(text, label) of at most ``max_rows`` labelled rows; ``usable`` is a condition on doc_id.
+
+    Sizes are looked at before any text moves: a text above ``max_bytes / LEAST_TEXTS`` teaches nothing, and one that
+    no longer fits into ``max_bytes`` is passed over for those behind it.  Equal rows teach once.
+    """
     rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label")).where(
         usable & F.col("label").isin(0, 1)).withColumn("h", F.xxhash64("doc_id"))
-    few = rows.orderBy("h", "doc_id", "label").limit(max_rows)
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).join(F.broadcast(few), "doc_id")
-    ranked = found.orderBy("h", "doc_id", "label", "text").limit(max_rows)
-    so_far = F.sum(F.octet_length("text")).over(Window.orderBy("h", "doc_id", "label", "text"))
-    return [tuple(r) for r in ranked.withColumn("b", so_far).where(F.col("b") <= max_bytes).select("text", "label").collect()]
+    few = rows.orderBy("h", "doc_id", "label").limit(4 * max_rows)  # some have no text, or one too large
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    order = ["h", "doc_id", "label", "t"]
+    sized = texts.select("doc_id", F.xxhash64("text").alias("t"), F.octet_length("text").alias("size"))
+    fit = sized.where(F.col("size") <= max_bytes // LEAST_TEXTS).join(F.broadcast(few), "doc_id").distinct()
+    room, chosen = max_bytes, []
+    for r in fit.orderBy(*order).limit(max_rows).collect():  # numbers only
+        if r["size"] <= room:
+            room -= r["size"]
+            chosen.append((r["doc_id"], r["t"], r["label"], len(chosen)))
+    spark = docs.sparkSession
+    wanted = spark.createDataFrame(chosen, "doc_id long, t long, label int, place int")
+    found = texts.withColumn("t", F.xxhash64("text")).join(F.broadcast(wanted), ["doc_id", "t"]).dropDuplicates(["place"])
+    return [tuple(r) for r in found.orderBy("place").select("text", "label").collect()]
+
+
+class Index(dict):
+    """Places of words in order of first sight; what a new word adds to a logit is computed when it is first seen."""
+
+    def __init__(self, weights: np.ndarray):
+        super().__init__()
+        self.weights, self.reader = weights, Features(keep=0)
+        self.clear()
+
+    def clear(self) -> None:
+        super().clear()
+        self.own, self.sums, self.sizes = array("Q"), array("d"), array("q")
+
+    def __missing__(self, word: bytes) -> int:
+        own, buckets = self.reader.word(word)
+        self.own.append(own)
+        self.sums.append(float(self.weights[buckets].sum(dtype=np.float64)))
+        self.sizes.append(len(buckets))
+        self[word] = place = len(self.own) - 1
+        return place
+
+
+def logits(texts: list[str | None], index: Index, bias: float) -> np.ndarray:
+    """The mean weight over the features of each text, plus the bias."""
+    words = [byte_words(t) for t in texts]
+    sizes = np.array([len(w) for w in words], np.int64)
+    every = np.fromiter(map(index.__getitem__, chain.from_iterable(words)), np.int64, int(sizes.sum()))
+    if not len(every):
+        return np.full(len(texts), bias)
+    own, sums, grams = (np.frombuffer(a, a.typecode) for a in (index.own, index.sums, index.sizes))
+    text = np.repeat(np.arange(len(texts)), sizes)
+    two = pairs(own[every])
+    inside = text[1:] == text[:-1]  # a pair does not span two texts
+    total = np.bincount(text, sums[every], len(texts)) + np.bincount(text[1:], index.weights[two] * inside, len(texts))
+    number = np.bincount(text, grams[every], len(texts)) + np.maximum(sizes - 1, 0)
+    return bias + total / np.maximum(number, 1)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -144,28 +198,16 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def scored(batches):
         weights, bias = shared.value
-        reader, memo = Features(), {}
-
-        def word(w: bytes) -> tuple[int, float, int]:
-            got = memo.get(w)
-            if got is None:
-                own, buckets = reader.word(w)
-                got = own, float(weights[buckets].sum()), len(buckets)
-                if len(w) <= SHORT and len(memo) < MEMO:
-                    memo[w] = got
-            return got
-
-        reader.memo = {}
+        index = Index(weights)
         for batch in batches:
-            out = []
-            for text in batch.column(1).to_pylist():
-                logit = bias
-                if words := byte_words(text):
-                    own, sums, sizes = zip(*map(word, words), strict=True)
-                    two = weights[pairs(np.array(own, np.uint64))]
-                    logit += (sum(sums) + float(two.sum())) / (sum(sizes) + len(two))
-                out.append(1 / (1 + np.exp(-logit)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], ["doc_id", "score"])
+            texts, out = batch.column(1).to_pylist(), []
+            ends = np.cumsum([len(t or "") for t in texts]) // PART
+            for part in np.split(np.arange(len(texts)), np.nonzero(np.diff(ends))[0] + 1):
+                if len(index) > MEMO:
+                    index.clear()
+                out.append(logits([texts[k] for k in part], index, bias))
+            chance = 1 / (1 + np.exp(-np.concatenate(out)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(chance, pa.float64())], ["doc_id", "score"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scored, "doc_id long, score double")
 

@@ -59,17 +59,22 @@ def test_classes_short_items_and_empty_tables(spark, odd_docs):
     assert decontaminate.decontaminate(odd_docs.where("false"), bench).count() == 0
 
 
-def test_leaks_match_brute_force(spark, sf_dir, documents):
-    """Five-word windows without case and punctuation: the same pairs as with templates on these tables."""
-    bench = {r["item_id"]: PLAIN.findall(r["text"].lower()) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()}
-    want = set()
+def leaks(documents, benchmark):
+    """(doc_id, item_id) by five-word windows without case and punctuation: on these tables what templates find."""
+    bench = {i: PLAIN.findall((t or "").lower()) for i, t in benchmark}
+    out = set()
     for d, text in documents:
         words = PLAIN.findall((text or "").lower())
         held = {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
         for item, w in bench.items():
             own = {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
             if own and len(own & held) >= 0.8 * len(own):
-                want.add((d, item))
+                out.add((d, item))
+    return out
+
+
+def test_leaks_match_brute_force(spark, sf_dir, documents):
+    want = leaks(documents, [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").collect()])
     assert want and set(counted(QUERIES["op6_decontamination"](spark, sf_dir), "doc_id", "item_id")) == want
 
 
@@ -182,14 +187,45 @@ def test_plan_is_best_fit_decreasing():
 # --- pipeline ----------------------------------------------------------------------------------------
 
 
-def test_pipeline_matches_brute_force(spark, sf_dir, documents):
-    from snapstats.llm.quality_rules import RULES, measure, MEASURES
+def rejected(text):
+    """The rules by hand, from the measures of odd.py and counts of lines and letters."""
+    n_words, chars, symbols, dup_lines, repeated = odd.rule_measures(text)
+    lines = [x for x in (text or "").split("\n") if x.strip(odd.SPACE)]
+    letters, upper = sum(c.isalpha() for c in text or ""), sum(c.isupper() for c in text or "")
+    return (n_words < 50 or repeated > n_words / 2 or symbols > 0.3 * n_words or upper > 0.6 * letters
+            or dup_lines > len(lines) / 2 or chars < 2 * n_words or chars > 25 * n_words or letters < 0.2 * chars)
 
-    def fails(text):
-        n = dict(zip(MEASURES, measure(text), strict=True))
-        return any(eval(rule, {}, n) for rule in RULES.values())
 
-    rows = [(d, t) for d, t in documents if not fails(t)]
+def one_of_each_group(rows):
+    """Rows left where those within four bits, or of five-word similarity 0.8, are one group; the least id stays."""
+    own = {d: c for d, _, c in odd.near_duplicates(rows)}
+    sets = {}
+    for d, t in rows:
+        words = [w.lower() for w in odd.words(t)]
+        sets.setdefault(frozenset(tuple(words[k : k + 5]) for k in range(len(words) - 4)), d)
+    sets.pop(frozenset(), None)
+    to = {c: c for c in own.values()}
+
+    def root(c):
+        while to[c] != c:
+            c = to[c]
+        return c
+
+    every, similar = list(sets.items()), set()
+    for i, (one, d) in enumerate(every):
+        for two, e in every[:i]:
+            if len(one & two) >= 0.8 * (len(one) + len(two) - len(one & two)):
+                low, high = sorted((root(own[d]), root(own[e])))
+                to[high] = low
+                similar.add((d, e))
+    first = {}
+    for d, c in own.items():
+        first[root(c)] = min(d, first.get(root(c), d))
+    return [(d, t) for d, t in rows if first[root(own[d])] == d], similar
+
+
+def test_pipeline_matches_brute_force(spark, sf_dir, documents):
+    rows = [(d, t) for d, t in documents if not rejected(t)]
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     kept = corpus_pipeline.STAGES[0][1](spark, docs, sf_dir)
     assert kept.columns == docs.columns and counted(kept, "doc_id", "text") == Counter(rows)
@@ -202,12 +238,12 @@ def test_pipeline_matches_brute_force(spark, sf_dir, documents):
     rows = [(d, "\n".join(x for x in t.split("\n") if len(low.get(key(x), ())) < 3 or max(low[key(x)]) == d)) for d, t in rows]
     kept = corpus_pipeline.STAGES[1][1](spark, kept, sf_dir)
     assert counted(kept, "doc_id", "text", "n_chars") == Counter((d, t, len(t)) for d, t in rows)
-    first = {c for _, _, c in odd.near_duplicates(rows)}
-    rows = [(d, t) for d, t in rows if d in first]
+    rows, similar = one_of_each_group(rows)
+    assert similar
     kept = corpus_pipeline.STAGES[2][1](spark, kept, sf_dir)
     assert kept.columns == docs.columns and counted(kept, "doc_id", "text") == Counter(rows)
-    bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    hit = {r["doc_id"] for r in decontaminate.matches(kept, bench).where("consistent").collect()}
+    bench = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").collect()]
+    hit = {d for d, _ in leaks(rows, bench)}
     rows = [(d, t) for d, t in rows if d not in hit]
     packed = corpus_pipeline.run(spark, sf_dir).collect()
     assert Counter(tuple(r)[:5] for r in packed) == pieces_of(rows, packing.CAPACITY)

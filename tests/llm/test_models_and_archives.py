@@ -80,6 +80,36 @@ def test_quality_on_held_out_rows(spark):
     assert sum(r["predicted"] == r["quality"] for r in held) >= 0.93 * len(held)
 
 
+def test_large_texts_leave_room_for_the_others(spark):
+    from pyspark.sql import functions as F
+
+    texts = [(i, ("x" * 900 if i < 20 else f"text {i}") * (20 if i < 3 else 1)) for i in range(60)] + [(7, "second text of seven"), (30, "text 30")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, quality int")
+    for most, room in ((1000, 200_000), (1000, 9_000), (25, 200_000), (1000, 90_000)):
+        got = quality_classifier.labelled(docs, labels, F.lit(True), most, room)
+        fit = {(d, t) for d, t in texts if len(t) <= room // 100}
+        assert len(got) <= most and sum(len(t) for t, _ in got) <= room
+        assert len(got) == min(most, len(fit) if room > 50_000 else len(got)) and len(got) > 20
+    texts = [(i, "y" * 80) for i in range(200)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    assert len(quality_classifier.labelled(docs, labels, F.lit(True), 1000, 8_050)) == 80
+    assert len(quality_classifier.labelled(docs, labels, F.lit(True), 1000, 8_000)) == 80
+    assert len(quality_classifier.labelled(docs, labels, F.lit(True), 10, 8_000)) == 10
+
+
+def test_scores_do_not_hang_on_parts(spark, monkeypatch):
+    texts = ["", None, "one", "two words", "a b a b c", "one"] * 5
+    model = quality_classifier.train([("one two", 1), ("a b", 0)] * 5)
+    index = quality_classifier.Index(model.weights)
+    want = quality_classifier.logits(texts, index, model.bias)
+    monkeypatch.setattr(quality_classifier, "PART", 3)
+    monkeypatch.setattr(quality_classifier, "MEMO", 1)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: r["score"] for r in quality_classifier.score(docs, model).collect()}
+    assert np.allclose([got[i] for i in range(len(texts))], 1 / (1 + np.exp(-want)))
+
+
 def test_scores_of_odd_rows(spark, odd_docs):
     from pyspark.sql import functions as F
 
