@@ -2,11 +2,12 @@
 
 Numbers (with their separators and decimals), names (capitalised words inside a sentence) and units after a number
 become typed placeholders; windows of five template words of documents meet those of benchmark items by hash.
-Capitalised words elsewhere may be names or not: a window that holds any has a second hash, in which they are names.  A fixed-size bit table of the benchmark's
-hashes (2^20 bits, whatever the benchmark's size) is tested inside the document's own row first, so that only
-windows that may match are shuffled.  An item is found in a document where at least 0.8 of its distinct windows are.
-Then the words in the slots are compared along each alignment: a value of the item must always become the same
-value, else the match is only a coincidence of placeholders; equal values mean a copy, others a re-parameterised one.
+Capitalised words elsewhere may be names or not: a window that holds any has a second hash, in which they are names.
+A fixed-size bit table of the benchmark's hashes (2^20 bits, whatever the benchmark's size) is tested inside the
+document's own row first, so that only windows that may match are shuffled.  An item is found in a document where at
+least 0.8 of its distinct windows are.  Then the words in the slots are compared along each alignment: a value of the
+item must always become the same value, else the match is only a coincidence of placeholders; equal values mean a
+copy, others a re-parameterised one.
 
 Items of fewer than five words are too short to tell and never match, and so are windows of fewer than
 ``LITERALS`` plain words; null texts are empty.  Items of the same template are one class, whose windows are joined
@@ -29,21 +30,24 @@ UNITS = ("mm", "cm", "m", "km", "mg", "g", "kg", "t", "ml", "l", "s", "min", "h"
          "meters", "metres", "liters", "litres", "grams", "degrees", "mph")
 #: A marked word: the mark, one letter of type, and the word itself.  Type s: a capital that sentences start with.
 MARK = "¤"
-NUMBER = r"\p{N}+(?:[.,]\p{N}+)*+"
+#: A number where a word may start: its separators and decimals stay with it.
+NUMBER = rf"\p{{N}}(?<![\p{{L}}\p{{N}}{MARK}].)(?:[.,]?\p{{N}}+)*+"
 
 
 def marked_words(text: Column) -> Column:
-    """Lower-case words; those in slots carry their type before them."""
-    text = F.regexp_replace(text, MARK, " ")
-    named = F.regexp_replace(text, r"\p{Lu}(?<=[\p{Ll}\p{N},;] .)\p{L}*", f"{MARK}n$0")
-    named = F.regexp_replace(named, rf"(?<![\p{{L}}\p{{N}}{MARK}])\p{{Lu}}\p{{L}}*", f"{MARK}s$0")
-    numbered = F.regexp_replace(named, rf"(?<![\p{{L}}\p{{N}}{MARK}]){NUMBER}", f"{MARK}d$0")
-    unit = rf"(?i)({MARK}d{NUMBER} ?)({'|'.join(UNITS)})(?!\p{{L}})"
-    numbered = F.regexp_replace(numbered, unit, f"$1 {MARK}u$2")
+    """Lower-case words; those in slots carry their type before them.
+
+    The patterns test the character itself first and look behind only where it is of the kind sought.
+    """
+    text = F.replace(text, F.lit(MARK), F.lit(" "))
+    named = F.regexp_replace(text, r"\p{Lu}(?<=[\p{Ll}\p{N},;] .)", f"{MARK}n$0")
+    named = F.regexp_replace(named, rf"\p{{Lu}}(?<![\p{{L}}\p{{N}}{MARK}].)", f"{MARK}s$0")
+    united = F.regexp_replace(named, rf"({NUMBER} ?)((?i:{'|'.join(UNITS)})(?!\p{{L}}))", f"$1 {MARK}u$2")
+    numbered = F.regexp_replace(united, NUMBER, f"{MARK}d$0")
     whole = F.when(text.rlike(r"\p{N}"), numbered).otherwise(named)
     # a point or comma between two digits stays in the number
-    between = rf"(?:[^\p{{L}}\p{{N}}{MARK}.,]|[.,](?!\p{{N}})|(?<!\p{{N}})[.,])+"
-    return F.filter(F.split(F.lower(whole), between), lambda w: w != "")
+    between = rf"[^\p{{L}}\p{{N}}{MARK}.,]++|[.,](?:(?!\p{{N}})|(?<!\p{{N}}.))"
+    return F.array_remove(F.split(F.lower(whole), between), "")
 
 
 def bare(word: Column) -> Column:
@@ -62,27 +66,33 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def windows(words: Column, size: int = WINDOW) -> Column:
-    """The hashes of each window of words, null where too few of them are plain; empty for short texts.
+def codes(words: Column, names: bool = False) -> Column:
+    """A hash per template word; with ``names`` a capital that sentences start with is a name."""
+    start = F.xxhash64(F.lit(f"{MARK}n")) if names else None
+    return F.transform(words, lambda w: F.when(~w.startswith(MARK), F.xxhash64(w)).when(
+        w.startswith(f"{MARK}s"), F.xxhash64(F.substr(w, F.lit(3))) if start is None else start).otherwise(F.xxhash64(F.substring(w, 1, 2))))
 
-    ``h`` takes a capital that sentences start with as a plain word, ``g`` (null without any) as a name.
-    """
-    each = F.transform(F.arrays_zip(template(words).alias("t"), words.alias("w")), lambda x: F.struct(
-        F.xxhash64(x["t"]).alias("h"), x["t"].startswith(MARK).cast("int").alias("s"), x["w"].startswith(f"{MARK}s").cast("int").alias("c")))
-    name = F.xxhash64(F.lit(f"{MARK}n"))
 
-    def at(parts: Column, i: Column) -> Column:
-        own = [F.get(parts, i + k) for k in range(size)]
-        slots = sum((p["s"] for p in own[1:]), own[0]["s"])
-        starts = sum((p["c"] for p in own[1:]), own[0]["c"])
-        return F.struct(
-            F.when(slots <= size - LITERALS, F.xxhash64(*[p["h"] for p in own])).alias("h"),
-            F.when((starts > 0) & (slots + starts <= size - LITERALS), F.xxhash64(*[
-                F.when(p["c"] == 1, name).otherwise(p["h"]) for p in own])).alias("g"))
+def windows(hashes: Column, size: int = WINDOW) -> Column:
+    """The hash of each window of ``size`` word hashes, in order; empty for short texts."""
+    return let(hashes, lambda h: F.when(F.size(h) >= size, F.transform(
+        F.sequence(F.lit(1), F.size(h) - (size - 1)), lambda i: F.xxhash64(F.slice(h, i, size)))).otherwise(F.array().cast("array<long>")))
+
 
-    none = F.array().cast("array<struct<h:long,g:long>>")
-    return let(each, lambda parts: F.when(F.size(parts) >= size, F.transform(
-        F.sequence(F.lit(0), F.size(parts) - size), lambda i: at(parts, i))).otherwise(none))
+def item_windows(words: Column, size: int = WINDOW) -> Column:
+    """The hashes of each window of words, null where too few of them are plain.
+
+    ``h`` takes a capital that sentences start with as a plain word, ``g`` (null without any) as a name.  As equal
+    templates have equally many plain words, this test is made on the side of the benchmark only.
+    """
+    def at(h: Column, g: Column, part: Column) -> Column:
+        slots = F.size(F.filter(part, lambda w: w.startswith(MARK)))
+        starts = F.size(F.filter(part, lambda w: w.startswith(f"{MARK}s")))
+        return F.struct(F.when(slots - starts <= size - LITERALS, h).alias("h"),
+                        F.when((starts > 0) & (slots <= size - LITERALS), g).alias("g"))
+
+    both = F.arrays_zip(windows(codes(words), size).alias("h"), windows(codes(words, True), size).alias("g"))
+    return F.transform(both, lambda x, i: at(x["h"], x["g"], F.slice(words, i + 1, size)))
 
 
 def _bit_table(hashes: DataFrame, bits: int = BITS) -> DataFrame:
@@ -99,7 +109,7 @@ def benchmark_items(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """member (item_id), its words, ``w`` (windows, those of the class), ``t``, the variant it belongs to, and the class ``item``."""
     items = benchmark.select(F.col("item_id").cast("long").alias("member"), marked_words(text_of()).alias("words"))
     # a passage's first word may or may not look like a name where it stands, so no window starts there
-    every = windows(F.col("words"), size)
+    every = item_windows(F.col("words"), size)
     none = F.struct(F.lit(None).cast("long").alias("h"), F.lit(None).cast("long").alias("g"))
     rows = items.select("member", "words", let(every, lambda w: F.when(F.size(w) > 1, F.concat(
         F.array(none), F.slice(w, 2, F.size(w)))).otherwise(w)).alias("w"), F.xxhash64(template(F.col("words"))).alias("t"))
@@ -141,16 +151,19 @@ def _matches(docs: DataFrame, items: DataFrame, share: float, size: int) -> Data
     table = bits.select("bits").scalar()
 
     def hit(h: Column) -> Column:
-        low = F.pmod(h, F.lit(1 << BITS)).cast("int")
-        return F.getbit(F.get("bits", (low / 64).cast("int")), low.bitwiseAND(F.lit(63))) == 1
+        low = h.bitwiseAND(F.lit((1 << BITS) - 1)).cast("int")
+        return F.getbit(F.get("bits", F.shiftright(low, 6)), low.bitwiseAND(F.lit(63))) == 1
 
     def found(words: Column) -> Column:
         """The windows whose bit is set: hash, place and words."""
-        def placed(w: Column, name: str) -> Column:
-            return F.filter(F.transform(w, lambda x, i: F.struct(x[name].alias("h"), i.alias("q"))), lambda x: hit(x["h"]))
-
-        return F.transform(let(windows(words, size), lambda w: F.concat(placed(w, "h"), placed(w, "g"))), lambda x: F.struct(
-            x["h"].alias("h"), x["q"].alias("q"), F.slice(words, x["q"] + 1, size).alias("doc_words")))
+        def placed(w: Column) -> Column:
+            return F.transform(F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda q: hit(F.get(w, q))), lambda q: F.struct(
+                F.get(w, q).alias("h"), q.alias("q"), F.slice(words, q + 1, size).alias("doc_words")))
+
+        none = F.array().cast("array<struct<h:long,q:int,doc_words:array<string>>>")
+        plain = let(windows(codes(words), size), placed)
+        names = F.when(F.exists(words, lambda w: w.startswith(f"{MARK}s")), let(windows(codes(words, True), size), placed)).otherwise(none)
+        return F.when(F.size(words) >= size, F.concat(plain, names)).otherwise(none)
 
     # the outer explode keeps the optimizer from testing the array in a filter, which would compute it twice
     hits = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *row_key(), "text", table.alias("bits")).select(
