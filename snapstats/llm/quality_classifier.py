@@ -3,7 +3,7 @@
 Words, word pairs and n-grams of a word's UTF-8 bytes are hashed to learned vectors, averaged over the whole document and fed to a
 softmax over two classes; vectors and output are learned together by stochastic gradient descent in numpy.  Training
 takes at most ``MAX_ROWS`` labelled rows and ``MAX_BYTES`` of their whole texts (those of lowest hash that fit;
-documented bounds, so that fitting fits one machine, see `labelled`); scoring covers every document in tasks.  As the output is linear in the
+documented bounds, so that fitting fits one machine, see `common.labelled`); scoring covers every document in tasks.  As the output is linear in the
 averaged vector, a trained model is one number per bucket: a document's logit is their mean over its features.
 
 Null and empty texts have no features and get the logit of the bias.  Labels other than 0 and 1, and rows without a
@@ -23,11 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapstats.llm.common import byte_words, text_of
+from snapstats.llm.common import byte_words, labelled
 
 BUCKETS, DIM, EPOCHS, RATE = 1 << 18, 12, 6, 0.5
 MAX_ROWS, MAX_BYTES = 3000, 24 << 20
-LEAST_TEXTS = 100
 MEMO, SHORT, BLOCK, PART = 300_000, 64, 1 << 20, 1 << 21
 NGRAMS = (3, 4)
 REPEAT, LEAST_DOCS = 0, 3
@@ -131,30 +130,6 @@ def train(rows: list[tuple[str | None, int]], seed: int = 1) -> Model:
     return Model((vectors @ (output[1] - output[0])).astype(np.float32), float(bias[1] - bias[0]))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, usable, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> list[tuple[str, int]]:
-    """(text, label) of at most ``max_rows`` labelled rows; ``usable`` is a condition on doc_id.
-
-    Sizes are looked at before any text moves: a text above ``max_bytes / LEAST_TEXTS`` teaches nothing, and one that
-    no longer fits into ``max_bytes`` is passed over for those behind it.  Equal rows teach once.
-    """
-    rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label")).where(
-        usable & F.col("label").isin(0, 1)).withColumn("h", F.xxhash64("doc_id"))
-    few = rows.orderBy("h", "doc_id", "label").limit(4 * max_rows)  # some have no text, or one too large
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    order = ["h", "doc_id", "label", "t"]
-    sized = texts.select("doc_id", F.xxhash64("text").alias("t"), F.octet_length("text").alias("size"))
-    fit = sized.where(F.col("size") <= max_bytes // LEAST_TEXTS).join(F.broadcast(few), "doc_id").distinct()
-    room, chosen = max_bytes, []
-    for r in fit.orderBy(*order).limit(max_rows).collect():  # numbers only
-        if r["size"] <= room:
-            room -= r["size"]
-            chosen.append((r["doc_id"], r["t"], r["label"], len(chosen)))
-    spark = docs.sparkSession
-    wanted = spark.createDataFrame(chosen, "doc_id long, t long, label int, place int")
-    found = texts.withColumn("t", F.xxhash64("text")).join(F.broadcast(wanted), ["doc_id", "t"]).dropDuplicates(["place"])
-    return [tuple(r) for r in found.orderBy("place").select("text", "label").collect()]
-
-
 class Index(dict):
     """Places of words in order of first sight; what a new word adds to a logit is computed when it is first seen."""
 
@@ -213,4 +188,4 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, usable) -> DataFrame:
-    return score(docs, train(labelled(docs, labels, usable)))
+    return score(docs, train(labelled(docs, labels, usable, "quality", MAX_ROWS, MAX_BYTES)))

@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from snapstats.llm import decontaminate, interpolation, licenses, line_dedup, packing, quality_classifier, quality_rules, secrets, simhash, warc
+from snapstats.llm import alignment, decontaminate, interpolation, licenses, line_dedup, packing, quality_classifier, quality_rules, secrets, simhash, toxicity, warc, whitening
 from snapstats.llm.common import crc_mod, table, text_of
 
 QUERIES = {}
 
 
-def tokenizer_path() -> str:
-    """The vocabulary file of the registered packing query."""
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """A vocabulary file of the registered queries, by default that of packing."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def query(function):
@@ -85,3 +85,22 @@ def op4_secrets(spark, sf_dir):
 @query
 def op10_licenses(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_toxicity(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False))
+    rows = toxicity.toxicity_scores(docs, labels, F.col("doc_id").isNotNull() & ~held_out)
+    return rows.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+                       F.size("sentences").cast("long").alias("n_offending"))
+
+
+@query
+def op12_alignment(spark, sf_dir):
+    return alignment.align(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+@query
+def op13_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))

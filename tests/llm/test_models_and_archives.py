@@ -7,6 +7,7 @@ import numpy as np
 import odd
 
 from snapstats.llm import interpolation, quality_classifier, warc
+from snapstats.llm.common import labelled
 from snapstats.llm.queries import QUERIES
 
 
@@ -87,15 +88,15 @@ def test_large_texts_leave_room_for_the_others(spark):
     docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
     labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, quality int")
     for most, room in ((1000, 200_000), (1000, 9_000), (25, 200_000), (1000, 90_000)):
-        got = quality_classifier.labelled(docs, labels, F.lit(True), most, room)
+        got = labelled(docs, labels, F.lit(True), "quality", most, room)
         fit = {(d, t) for d, t in texts if len(t) <= room // 100}
         assert len(got) <= most and sum(len(t) for t, _ in got) <= room
         assert len(got) == min(most, len(fit) if room > 50_000 else len(got)) and len(got) > 20
     texts = [(i, "y" * 80) for i in range(200)]
     docs = spark.createDataFrame(texts, "doc_id long, text string")
-    assert len(quality_classifier.labelled(docs, labels, F.lit(True), 1000, 8_050)) == 80
-    assert len(quality_classifier.labelled(docs, labels, F.lit(True), 1000, 8_000)) == 80
-    assert len(quality_classifier.labelled(docs, labels, F.lit(True), 10, 8_000)) == 10
+    assert len(labelled(docs, labels, F.lit(True), "quality", 1000, 8_050)) == 80
+    assert len(labelled(docs, labels, F.lit(True), "quality", 1000, 8_000)) == 80
+    assert len(labelled(docs, labels, F.lit(True), "quality", 10, 8_000)) == 10
 
 
 def test_scores_do_not_hang_on_parts(spark, monkeypatch):
@@ -124,7 +125,7 @@ def test_scores_of_odd_rows(spark, odd_docs):
         assert math.isclose(next(iter(got[d])), 1 / (1 + math.exp(-logit)), rel_tol=1e-4)
     assert quality_classifier.score(odd_docs.where("false"), model).count() == 0
     labels = spark.createDataFrame([(4, 1, 0), (None, 0, 0), (5, None, 0), (99, 0, 1), (4, 7, 0)], "doc_id long, quality int, text int")
-    assert quality_classifier.labelled(odd_docs, labels, F.col("doc_id").isNotNull()) == [(odd.rows()[3][1], 1)]
+    assert labelled(odd_docs, labels, F.col("doc_id").isNotNull(), "quality", 100, 1 << 24) == [(odd.rows()[3][1], 1)]
     assert {round(r["score"], 3) for r in quality_classifier.quality_scores(odd_docs, labels, F.lit(True)).collect()} == {0.999}
     assert {r["score"] for r in quality_classifier.quality_scores(odd_docs, labels.where("false"), F.lit(True)).collect()} == {0.5}
 

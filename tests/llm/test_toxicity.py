@@ -1,0 +1,81 @@
+import math
+import re
+import zlib
+
+import odd
+import pytest
+
+from snapstats.llm import toxicity
+from snapstats.llm.queries import QUERIES
+
+MODEL = toxicity.Model({"vile": 6.0, "nast*": 3.0, "nasty": 2.0, "kind": -4.0}, -4.0, 0.01)
+
+
+def plain_score(text, model):
+    """Sentences by hand, chances by the formula, and their noisy-or."""
+    clean, bad = 1 - model.leak, []
+    for sentence in re.split(r"(?<=[.!?])[ \t\n\x0b\x0c\r]+|(?<=[.!?]\))[ \t\n\x0b\x0c\r]+|\n", text or ""):
+        words = {w.strip(".,!?*&%\"'()").lower() for w in re.split(r"[ \t\n\x0b\x0c\r]+", sentence)}
+        known = [sum(model.weights.get(f, 0.0) for f in toxicity.features(w)) for w in words if any(f in model.weights for f in toxicity.features(w))]
+        chance = 1 / (1 + math.exp(-model.bias - sum(known))) if known else 0.0
+        if chance >= toxicity.FLOOR:
+            clean *= 1 - chance
+        if chance >= toxicity.OFFENDING:
+            bad.append(sentence.strip())
+    return 1 - clean, bad
+
+
+def test_scores_are_a_noisy_or_of_sentences(spark):
+    texts = [None, "", " \n ", "All is well.", "You are vile! All is well.", "vile vile vile", "Vile,\nkind vile man. NASTY.", "nastier nasté nasty", "kind",
+             "Été vile here. One\n\nTwo (vile!) three", "harmless words. " * 3000, "harmless. " * 1000 + "A vile end"]
+    docs = spark.createDataFrame([(i, t, "x", 1.0) for i, t in enumerate(texts)], "doc_id long, text string, score string, chance double")
+    for r in toxicity.score(docs, MODEL).collect():
+        text = texts[r["doc_id"]]
+        want, bad = plain_score(text, MODEL)
+        assert math.isclose(r["score"], want, rel_tol=1e-9), text
+        assert [text[s["start"] : s["end"]].strip() for s in r["sentences"]] == bad
+    spans = toxicity.offending_sentences(docs.where("doc_id = 4"), MODEL).collect()
+    assert [(r["start"], r["end"]) for r in spans] == [(0, 13)]
+
+
+def test_scores_do_not_hang_on_what_came_before(monkeypatch):
+    texts = ["vile.", "nasty man", "kind of vile", "", None, "none"] * 3
+    whole = toxicity.Scorer(MODEL).part(texts)
+    monkeypatch.setattr(toxicity, "MEMO", 1)
+    again = toxicity.Scorer(MODEL)
+    got = [again.part([t]) for t in texts]
+    assert [float(s[0]) for s, _ in got] == pytest.approx(whole[0].tolist()) and [x[0] for _, x in got] == whole[1]
+
+
+def test_labels_of_documents_teach_sentences():
+    filler = [f"word{i % 7} and more of text{i % 5} here." for i in range(60)]
+    rows = [(f"{f} {filler[(i * 7) % 60]} {'You grumbler.' if i % 4 == 0 else ''} {f}", int(i % 4 == 0)) for i, f in enumerate(filler)]
+    model = toxicity.train(rows)
+    assert model.weights and all(w.startswith(("grum", "you")) for w in model.weights)
+    scores, spans = toxicity.Scorer(model).part([rows[0][0], rows[1][0], "What a grumblers' den. Fine."])
+    assert scores[0] > 0.8 and scores[1] < 0.1
+    assert [rows[0][0][a:b] for a, b, _ in spans[0]] == ["You grumbler."] and not spans[1]
+    for few in ([], [("a b", 1)], [("a b", 0)] * 3, [(None, 1), ("", 0)]):
+        toxicity.Scorer(toxicity.train(few)).part(["a b", None])
+    assert toxicity.train([]).leak == 0.5 and toxicity.train([("a", 1)]).leak == 1.0 and toxicity.train([("a", 0)]).leak == 0.0
+
+
+def test_toxicity_on_held_out_rows(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = QUERIES["op11_toxicity"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic"), "doc_id").collect()
+    for r in rows:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) and r["predicted"] == int(r["score"] >= 0.5)
+    held = [r for r in rows if r["held_out"]]
+    assert sum(r["predicted"] == r["toxic"] for r in held) >= 0.93 * len(held)
+    assert sum(r["predicted"] for r in held if not r["toxic"]) <= 0.02 * len(held)
+
+
+def test_odd_rows_and_empty_tables(spark, odd_docs):
+    from pyspark.sql import functions as F
+
+    labels = spark.createDataFrame([(4, 1, "x"), (5, 0, "x"), (None, 1, "x"), (99, 1, "x"), (6, 7, "x"), (7, None, "x")], "doc_id long, toxic int, text string")
+    got = toxicity.toxicity_scores(odd_docs, labels, F.lit(True))
+    assert got.columns == ["doc_id", "score", "sentences"] and got.count() == len(odd.rows())
+    assert all(0 <= r["score"] <= 1 for r in got.collect())
+    assert {r["score"] for r in toxicity.toxicity_scores(odd_docs, labels.where("false"), F.lit(True)).collect()} == {0.5}
+    assert toxicity.toxicity_scores(odd_docs.where("false"), labels, F.lit(True)).count() == 0
