@@ -51,7 +51,7 @@ def test_odd_vectors(spark):
     rng = np.random.default_rng(4)
     good = [(i, rng.normal(size=5).tolist()) for i in range(40)]
     rows = good + [(3, good[3][1]), (None, good[5][1]), (None, [0.5] * 5), (50, None), (51, [1.0, None, 0, 0, 0]), (52, [math.nan, 0, 0, 0, 0]),
-                   (53, [0, 0, math.inf, 0, 0]), (54, [1e300, 0, 0, 0, 0]), (55, []), (56, [-1e6, 1e6, 0.0, 1.0, 2.0])]
+                   (53, [0, 0, math.inf, 0, 0]), (54, [1e300, 0, 0, 0, 0]), (55, []), (56, [-100.0, 100.0, 0.0, 1.0, 2.0])]
     other = [(60, [1.0, 2.0]), (61, [1.0] * 6)]
     make = lambda r: spark.createDataFrame([(i, v and [c if c is None else float(c) for c in v], 7, 7) for i, v in r], "vec_id int, embedding array<double>, component int, n int").repartition(3)
     known = [r for r in rows if r[0] != 54]
