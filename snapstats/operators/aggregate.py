@@ -21,7 +21,7 @@ def as_counter(value: Column, dtype: DataType) -> Column:
 
 
 def counter_records(
-    envelopes: DataFrame, key: str, legacy: str | None = None, stamps: str = "utc"
+    envelopes: DataFrame, key: str, legacy: str | None = None, stamps: str = "utc", carry: tuple[str, ...] = ()
 ) -> DataFrame:
     """The records of counter envelopes as ``key, wins, losses, matches`` and their stamp.
 
@@ -31,7 +31,7 @@ def counter_records(
 
     The stamp becomes ``fetched_us``, parsed once per envelope, before the records are exploded; with
     ``stamps="text"`` it stays ``fetched_at``.  A stamp that is not UTC is an error, or null with
-    ``stamps="lenient"``, which counts its records all the same.
+    ``stamps="lenient"``, which counts its records all the same.  ``carry`` names columns of the envelope to keep.
     """
     parse = {"utc": iso_micros, "lenient": utc_micros, "text": lambda c: c}[stamps]
     stamp = parse(F.col("fetched_at")).alias("fetched_at" if stamps == "text" else "fetched_us")
@@ -39,9 +39,9 @@ def counter_records(
         records = F.coalesce(_lean(envelopes, "data", key), _lean(envelopes, "heroes", key))
     else:
         records = quoted(payload_column(envelopes, "heroes" if legacy else None))
-    stamped = envelopes.select(stamp, records.alias("_records"))
+    stamped = envelopes.select(stamp, records.alias("_records"), *carry)
     record = _record_type(stamped, "_records")
-    rows = stamped.select(stamped.columns[0], F.explode("_records").alias("_record"))
+    rows = stamped.select(stamped.columns[0], F.explode("_records").alias("_record"), *carry)
     id_value = F.col("_record").getField(key)
     if isinstance(record[key].dataType, DecimalType):
         id_value = id_value.try_cast("bigint")
@@ -49,6 +49,7 @@ def counter_records(
         id_value.alias(key),
         *[as_counter(F.col("_record").getField(c), record[c].dataType).alias(c) for c in COUNTERS],
         stamped.columns[0],
+        *carry,
     )
 
 
@@ -102,6 +103,11 @@ def win_rate(records: DataFrame, key: str, *, overflow: str = "raise", stamps: s
         .groupBy(quoted(key))
         .agg(*[total(c).alias(f"total_{c}") for c in COUNTERS], F.max("_stamp").alias("_latest"))
     )
+    return rates(totals, key, shown)
+
+
+def rates(totals: DataFrame, key: str, shown: Column) -> DataFrame:
+    """The collection of keys with matches out of their totals; ``shown`` is the freshest stamp as text."""
     return totals.where(F.col("total_matches") > 0).select(
         quoted(key),
         *[f"total_{c}" for c in COUNTERS],

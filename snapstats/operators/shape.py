@@ -103,14 +103,14 @@ def flatten(frame: DataFrame, on_collision: str = "error") -> DataFrame:
     return frame.select(*_named(columns(), on_collision))
 
 
-def shallow(envelopes: DataFrame, on_collision: str = "error") -> DataFrame:
+def shallow(envelopes: DataFrame, on_collision: str = "error", carry: tuple[str, ...] = ("fetched_at",)) -> DataFrame:
     """Records as rows, nested fields left nested: for deep or large records."""
-    return explode_records(envelopes, on_collision=on_collision)
+    return explode_records(envelopes, carry=carry, on_collision=on_collision)
 
 
-def generic(envelopes: DataFrame, on_collision: str = "error") -> DataFrame:
+def generic(envelopes: DataFrame, on_collision: str = "error", carry: tuple[str, ...] = ("fetched_at",)) -> DataFrame:
     """Records as rows, struct fields flattened one level."""
-    return flatten(explode_records(envelopes, on_collision=on_collision), on_collision)
+    return flatten(shallow(envelopes, on_collision, carry), on_collision)
 
 
 def inject_key(

@@ -24,6 +24,7 @@ from snapstats.operators.paging import (
     with_positions,
 )
 from snapstats.operators.shape import fresh_name, quoted
+from snapstats.sinks.versions import rows_between
 from snapstats.sources.collections import Collections
 
 
@@ -127,7 +128,8 @@ def browse(
     Parameters are lenient like those of a query string: an unreadable page is 1, an unreadable limit 50,
     an unreadable hero no filter; the order is descending unless it is exactly ``asc``.  ``gate`` refuses a
     collection that is flagged as requiring a hero when none is given.  A page starting after ``direct`` rows
-    is located by counting before anything is sorted.
+    is located by counting before anything is sorted.  An unsorted page of a whole published collection is looked up
+    in its index of files, and its total in the pointer: nothing else is opened.
     """
     entry = collections.entry(collection)
     if gate and entry.requires_hero and leading_int(hero_id) is None:
@@ -135,18 +137,29 @@ def browse(
     number = page_number(page)
     size = page_size(limit, PAGE_SIZE, MAX_PAGE_SIZE)
     offset = (number - 1) * size
-    found = equals_id(collections.open(collection), "hero_id", hero_id)
-    rows = _sorted_rows(
-        found, collections.is_stored(collection), sort, order, tie_break, offset, size, direct
-    )
-    return Page(rows.drop("_id"), page_meta(found, collection, number, size))
-
-
-def page_meta(found: DataFrame, collection: str, page: int, limit: int) -> DataFrame:
-    """One row: total, page count and rows on this page.  Counting reads no column."""
+    version = collections.version(collection)
+    table = collections.open(collection, version)
+    found = equals_id(table, "hero_id", hero_id)
+    whole = version is not None and version.rows is not None and leading_int(hero_id) is None
+    counted = _one_number(collections, version.rows) if whole else None
+    if whole and version.index and not tie_break and (not sort or resolve_field(table, sort) is None):
+        rows = rows_between(collections.spark, collections.place(collection), version, offset, size)
+    else:
+        rows = _sorted_rows(
+            found, collections.is_stored(collection), sort, order, tie_break, offset, size, direct
+        )
+    return Page(rows.drop("_id"), page_meta(found, collection, number, size, counted))
+
+
+def _one_number(collections: Collections, total: int) -> DataFrame:
+    return collections.spark.createDataFrame([(total,)], "total bigint")
+
+
+def page_meta(found: DataFrame, collection: str, page: int, limit: int, counted: DataFrame | None = None) -> DataFrame:
+    """One row: total, page count and rows on this page.  Counting reads no column; ``counted`` spares it."""
     total = F.col("total")
     left = total - (page - 1) * limit
-    return found.agg(F.count(F.lit(1)).alias("total")).select(
+    return (found.agg(F.count(F.lit(1)).alias("total")) if counted is None else counted).select(
         F.lit(True).alias("ok"),
         F.lit(collection).alias("collection"),
         total,
@@ -160,16 +173,23 @@ def page_meta(found: DataFrame, collection: str, page: int, limit: int) -> DataF
 def list_collections(collections: Collections) -> DataFrame:
     """Every listed collection with its row count; one that cannot be read counts 0.
 
-    A count of a Parquet table reads no column, but opens every file.
+    A published collection is not opened: its number of rows stands in the pointer.  A count of a plain Parquet table
+    reads no column, but opens every file.
     """
     registry = collections.registry_frame()
-    counts = []
+    counts, known = [], []
     for entry in collections.registry:
         try:
+            version = collections.version(entry.name)
+            if version is not None and version.rows is not None:
+                known.append((entry.name, version.rows))
+                continue
             table = collections.open(entry.name)
         except PySparkException:
             continue
         counts.append(table.agg(F.count(F.lit(1)).alias("count")).select(F.lit(entry.name).alias("name"), "count"))
+    if known:
+        counts.append(collections.spark.createDataFrame(known, "name string, count bigint"))
     if not counts:
         return registry.withColumn("count", F.lit(0).cast("bigint"))
     counted = functools.reduce(DataFrame.unionByName, counts)

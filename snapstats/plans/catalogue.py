@@ -15,7 +15,7 @@ from snapstats.plans import browse, continued, derived, discovery, refresh, repo
 from snapstats.schemas import bronze_counters, counter_record, envelope_schema
 from snapstats.session import scratch_path
 from snapstats.sinks.landing import build_envelopes, jsonable, land_records
-from snapstats.sinks.tables import write_collection
+from snapstats.sinks.tables import read_collection, write_collection
 from snapstats.sources import landing, payload
 from snapstats.sources.collections import CollectionEntry, Collections, hero_dimension
 from snapstats.sources.tuple_csv import read_tuple_csv
@@ -42,7 +42,7 @@ def _stored_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hero collection as the processing job leaves it: written, and read back for querying."""
     target = scratch_path(spark, "collections")
     write_collection(hero_win_rate(spark, sf_dir), target, "hero_stats")
-    return spark.read.parquet(f"{target}/hero_stats")
+    return read_collection(spark, target, "hero_stats")
 
 
 # --- win rates ---------------------------------------------------------------------------------------
@@ -712,7 +712,7 @@ def refreshed_history(spark, sf_dir):
     root = _land_all(spark, sf_dir)
     target = scratch_path(spark, "collections")
     refresh.refresh_endpoint(spark, root, target, "match_history", "shallow")
-    return spark.read.parquet(f"{target}/match_history")
+    return read_collection(spark, target, "match_history")
 
 
 def _refreshed_twice(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
@@ -741,12 +741,118 @@ def refreshed_twice(spark, sf_dir):
 
 @query
 def refreshed_twice_heroes(spark, sf_dir):
-    return spark.read.parquet(f"{_refreshed_twice(spark, sf_dir)[1]}/hero_stats")
+    return read_collection(spark, _refreshed_twice(spark, sf_dir)[1], "hero_stats")
 
 
 @query
 def refreshed_twice_events(spark, sf_dir):
-    return spark.read.parquet(f"{_refreshed_twice(spark, sf_dir)[1]}/badge_distribution")
+    return read_collection(spark, _refreshed_twice(spark, sf_dir)[1], "badge_distribution")
+
+
+def _months(spark: SparkSession, sf_dir: str, condition: str) -> DataFrame:
+    """Hero envelopes of the months for which ``condition`` holds of year ``y`` and month ``m``."""
+    envelopes = derived.hero_envelopes(spark, sf_dir)
+    year, month = F.substring("fetched_at", 1, 4).cast("int").alias("y"), F.substring("fetched_at", 6, 2).cast("int").alias("m")
+    return envelopes.select("*", year, month).where(condition).drop("y", "m")
+
+
+def _one_file_each(frame: DataFrame, path: str, mode: str = "append") -> None:
+    frame.write.mode(mode).option("partitionOverwriteMode", "static").option("maxRecordsPerFile", 1).json(path)
+
+
+def _refreshed_backfill(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """Years refreshed newest first, so that each run finds older files only; the oldest ones bring a new field."""
+    root, target, state = (scratch_path(spark, label) for label in ("landing", "collections", "state"))
+    names = {"hero_stats": "hero", "badge_distribution": "generic"}
+    events, reports = derived.event_records(spark, sf_dir), []
+    for run, (years, kept) in enumerate((("y >= 1997", "event_id % 3 = 2"), ("y in (1995, 1996)", "event_id % 3 = 1"), ("y < 1995", "event_id % 3 = 0"))):
+        _one_file_each(_months(spark, sf_dir, years), f"{root}/raw/hero_stats/run{run}")
+        some = events.where(kept).withColumn("fetched_at", F.lit(f"200{9 - run}-04-05T10:00:00+00:00"))
+        land_records(some if run == 2 else some.drop("value"), root, "badge_distribution", max_records=10_000_000)
+        done = continued.continue_collections(spark, root, target, state, names)
+        reports.append(done.select(F.lit(run).alias("run"), "endpoint", "status", "how", "envelopes", "rows", "replaced", "removed"))
+    return landing.union_snapshots(reports), target
+
+
+@query
+def refreshed_backfill(spark, sf_dir):
+    """What three runs report that each find older files, the last of them with a new field."""
+    return _refreshed_backfill(spark, sf_dir)[0]
+
+
+@query
+def refreshed_backfill_heroes(spark, sf_dir):
+    return read_collection(spark, _refreshed_backfill(spark, sf_dir)[1], "hero_stats")
+
+
+@query
+def refreshed_backfill_events(spark, sf_dir):
+    return read_collection(spark, _refreshed_backfill(spark, sf_dir)[1], "badge_distribution")
+
+
+def _refreshed_replaced(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """Files that are replaced under their own names, or removed, between two runs."""
+    root, target, state = (scratch_path(spark, label) for label in ("landing", "collections", "state"))
+    names = {"hero_stats": "hero", "match_history": "shallow"}
+    history = derived.history_records(spark, sf_dir).withColumn("fetched_at", F.lit("2026-04-05T10:00:00+00:00"))
+    reports = []
+    for run in range(3):
+        if run == 0:
+            _one_file_each(_months(spark, sf_dir, "m <= 6"), f"{root}/raw/hero_stats/first")
+            _one_file_each(_months(spark, sf_dir, "m > 6 and y >= 1995"), f"{root}/raw/hero_stats/second")
+            land_records(history.where("line % 2 = 0"), root, "match_history", max_records=10_000_000)
+            land_records(history.where("line % 2 = 1").withColumn("fetched_at", F.lit("2026-04-06T10:00:00+00:00")), root, "match_history", max_records=10_000_000)
+        elif run == 1:  # every file of the second folder goes, others come; one stamp's file is replaced
+            _one_file_each(_months(spark, sf_dir, "m = 7"), f"{root}/raw/hero_stats/second", "overwrite")
+            land_records(history.where("line % 4 = 2"), root, "match_history", max_records=10_000_000)
+        done = continued.continue_collections(spark, root, target, state, names)
+        reports.append(done.select(F.lit(run).alias("run"), "endpoint", "status", "how", "rows"))
+    return landing.union_snapshots(reports), target
+
+
+@query
+def refreshed_replaced(spark, sf_dir):
+    """What runs report between which files were replaced and removed; the last one finds nothing new."""
+    return _refreshed_replaced(spark, sf_dir)[0]
+
+
+@query
+def refreshed_replaced_heroes(spark, sf_dir):
+    return read_collection(spark, _refreshed_replaced(spark, sf_dir)[1], "hero_stats")
+
+
+@query
+def refreshed_replaced_history(spark, sf_dir):
+    return read_collection(spark, _refreshed_replaced(spark, sf_dir)[1], "match_history")
+
+
+def _published(spark: SparkSession, sf_dir: str) -> Collections:
+    """Collections as the library publishes them, orders in files by range of their key."""
+    target = scratch_path(spark, "collections")
+    names = ("nation", "supplier", "orders", "events")
+    for name in names:
+        frame = derived.table(spark, sf_dir, name)
+        if name == "orders":
+            frame = frame.repartitionByRange(16, "o_orderkey").sortWithinPartitions("o_orderkey")
+        write_collection(frame, target, name)
+    return Collections(spark, target, registry=tuple(CollectionEntry(n, "Published") for n in (*names, "missing")))
+
+
+@query
+def list_published(spark, sf_dir):
+    """Row counts that the writes left behind: no table is opened."""
+    return browse.list_collections(_published(spark, sf_dir))
+
+
+@query
+def browse_published_pages(spark, sf_dir):
+    """Unsorted pages, looked up in the index of files: near the top, deep inside, the last and one past the end."""
+    tables, pages = _published(spark, sf_dir), []
+    for number in (1, 7, 70, 75, 76, 10_000_000):
+        page = browse.browse(tables, "orders", number, 200)
+        rows = _in_order(page.rows).select("position", "o_orderkey", "o_custkey", "o_totalprice")
+        pages.append(rows.join(page.meta.select("page", "total", "pages"), how="cross"))  # one row
+    return landing.union_snapshots(pages)
 
 
 @query

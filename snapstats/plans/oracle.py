@@ -347,3 +347,48 @@ ORACLE_SQL |= {
                event_id, event_type, CASE event_id % 2 WHEN 1 THEN value END AS value, {K} AS props_k FROM events""",
     "refreshed_history": ORACLE_SQL["landed_history"],
 }
+
+# continued refresh: backfills, replaced and removed files; published versions
+EVENT_RUN = "2 - event_id % 3"
+ORACLE_SQL |= {
+    "refreshed_backfill_heroes": HERO,
+    "refreshed_backfill_events": f"""
+        SELECT '200' || (9 - ({EVENT_RUN})) || '-04-05T10:00:00+00:00' AS fetched_at, event_id, event_type,
+               CASE event_id % 3 WHEN 0 THEN value END AS value, {K} AS props_k FROM events""",
+    "refreshed_backfill": f"""
+        WITH runs AS (SELECT * FROM (VALUES (0), (1), (2)) AS r(run)),
+        months AS (SELECT DISTINCT fetched_at, CASE WHEN left(fetched_at, 4) >= '1997' THEN 0 WHEN left(fetched_at, 4) >= '1995' THEN 1 ELSE 2 END AS run
+                   FROM ({HERO_SNAPSHOTS}))
+        SELECT run, 'hero_stats' AS endpoint, 'OK' AS status, CASE run WHEN 0 THEN 'built' ELSE 'continued' END AS how,
+               (SELECT count(*) FROM months m WHERE m.run = r.run) AS envelopes,
+               CASE run WHEN 0 THEN (SELECT count(*) FROM ({_win_rate('l_suppkey', 'hero_id', 'year(l_shipdate) >= 1997')}))
+                        WHEN 1 THEN (SELECT count(*) FROM ({_win_rate('l_suppkey', 'hero_id', 'year(l_shipdate) >= 1995')}))
+                        ELSE (SELECT count(*) FROM ({HERO})) END AS rows, 0::BIGINT AS replaced, 0::BIGINT AS removed
+        FROM runs r
+        UNION ALL
+        SELECT run, 'badge_distribution', 'OK', CASE run WHEN 1 THEN 'continued' ELSE 'built' END, CASE run WHEN 2 THEN 3 ELSE 1 END,
+               (SELECT count(*) FROM events WHERE {EVENT_RUN} <= run), 0, 0 FROM runs""",
+    "refreshed_replaced_heroes": _win_rate("l_suppkey", "hero_id", "month(l_shipdate) <= 7"),
+    "refreshed_replaced_history": """
+        SELECT CASE l_linenumber % 2 WHEN 0 THEN '2026-04-05' ELSE '2026-04-06' END || 'T10:00:00+00:00' AS fetched_at,
+               l_partkey AS account_id, l_orderkey AS match_id, l_suppkey AS hero_id, l_linenumber AS line
+        FROM lineitem WHERE l_linenumber % 2 = 1 OR l_linenumber % 4 = 2""",
+    "refreshed_replaced": f"""
+        WITH runs AS (SELECT * FROM (VALUES (0), (1), (2)) AS r(run))
+        SELECT run, 'hero_stats' AS endpoint, 'OK' AS status, CASE run WHEN 0 THEN 'built' ELSE 'continued' END AS how,
+               CASE run WHEN 0 THEN (SELECT count(*) FROM ({_win_rate('l_suppkey', 'hero_id', 'month(l_shipdate) <= 6 OR year(l_shipdate) >= 1995')}))
+                        ELSE (SELECT count(*) FROM ({_win_rate('l_suppkey', 'hero_id', 'month(l_shipdate) <= 7')})) END AS rows
+        FROM runs
+        UNION ALL
+        SELECT run, 'match_history', 'OK', CASE run WHEN 0 THEN 'built' ELSE 'continued' END,
+               (SELECT count(*) FROM lineitem WHERE l_linenumber % 2 = 1 OR l_linenumber % 4 = 2 OR run = 0) FROM runs""",
+    "list_published": """
+        SELECT position::INTEGER AS position, name, 'Published' AS category, false AS requires_hero, count FROM (VALUES
+            (0, 'nation', (SELECT count(*) FROM nation)), (1, 'supplier', (SELECT count(*) FROM supplier)),
+            (2, 'orders', (SELECT count(*) FROM orders)), (3, 'events', (SELECT count(*) FROM events)), (4, 'missing', 0)) AS t(position, name, count)""",
+    "browse_published_pages": """
+        SELECT (n - 1) % 200 AS position, o_orderkey, o_custkey, o_totalprice, (1 + (n - 1) // 200)::INTEGER AS page, total,
+               ceil(total / 200)::INTEGER AS pages
+        FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS n, count(*) OVER () AS total FROM orders)
+        WHERE 1 + (n - 1) // 200 IN (1, 7, 70, 75, 76)""",
+}

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from snapstats.fixed_values import HERO_NAMES, QUERYABLE_COLLECTIONS
+from snapstats.sinks.versions import Version, read_published, read_version
 
 
 @dataclass(frozen=True)
@@ -23,8 +24,8 @@ DEFAULT_REGISTRY = tuple(CollectionEntry(*row) for row in QUERYABLE_COLLECTIONS)
 class Collections:
     """Tables by collection name.
 
-    ``root`` holds one Parquet folder per collection; ``tables`` gives single collections another path, or
-    a frame.  With neither, names are tables of the session catalog.
+    ``root`` holds one Parquet folder per collection, published in versions or plain; ``tables`` gives single
+    collections another path, or a frame.  With neither, names are tables of the session catalog.
     """
 
     spark: SparkSession
@@ -43,15 +44,24 @@ class Collections:
         """Whether the collection is a Parquet folder, so that its rows have positions."""
         return isinstance(self.tables.get(name), str) or (name not in self.tables and self.root is not None)
 
-    def open(self, name: str) -> DataFrame:
+    def place(self, name: str) -> str | None:
+        """The folder of a stored collection."""
         table = self.tables.get(name)
         if isinstance(table, str):
-            return self.spark.read.parquet(table)
-        if table is not None:
             return table
-        if self.root is not None:
-            return self.spark.read.parquet(f"{self.root.rstrip('/')}/{name}")
-        return self.spark.table(name)
+        return f"{self.root.rstrip('/')}/{name}" if table is None and self.root is not None else None
+
+    def version(self, name: str) -> Version | None:
+        """What is published of a stored collection; None for plain tables and frames."""
+        place = self.place(name)
+        return read_version(self.spark, place) if place is not None else None
+
+    def open(self, name: str, version: Version | None = None) -> DataFrame:
+        place = self.place(name)
+        if place is not None:
+            return read_published(self.spark, place, version)
+        table = self.tables.get(name)
+        return table if table is not None else self.spark.table(name)
 
     def registry_frame(self) -> DataFrame:
         rows = [(n, e.name, e.category, e.requires_hero) for n, e in enumerate(self.registry)]

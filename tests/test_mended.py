@@ -7,6 +7,7 @@ from snapstats.functions.parsing import leading_int_col
 from snapstats.functions import stamps
 from snapstats.operators import aggregate, lookup, paging
 from snapstats.plans import browse, continued, refresh
+from snapstats.sinks.tables import read_collection
 from snapstats.sources.collections import CollectionEntry, Collections
 from snapstats.sources.landing import union_snapshots
 from frames import values
@@ -107,5 +108,5 @@ def test_continued_refresh_takes_new_files_and_new_fields(spark, tmp_path):
         found.append(continued.continue_endpoint(spark, *args)[2:6])
     found.append(continued.continue_endpoint(spark, *args)[2:6])
     assert found == [("OK", "built", 1, 1), ("OK", "continued", 1, 2), ("OK", "built", 3, 3), ("OK", "continued", 0, 3)]
-    out = spark.read.parquet(str(tmp_path / "out" / "builds"))
+    out = read_collection(spark, str(tmp_path / "out"), "builds")
     assert values(out, "id", "more_n") == [("1", None), ("2", None), ("x", 1)]

@@ -8,7 +8,7 @@ from snapstats.plans import refresh
 from snapstats.schemas import HISTORY_RECORD, envelope_schema
 from snapstats.session import scratch_path
 from snapstats.sinks.landing import land_records
-from snapstats.sinks.tables import write_collection
+from snapstats.sinks.tables import read_collection, write_collection
 from snapstats.streaming import stream_records, stream_win_rate
 from test_landing import envelope, put
 
@@ -45,9 +45,9 @@ def test_run(spark, landed):
     assert "not an array of records" in rows["badge_distribution"]["message"]
     assert rows["item_stats"]["message"] == "no envelope has a payload"
     assert rows["kill_death_stats"]["message"] == "folder not found or empty"
-    assert values(spark.read.parquet(f"{target}/hero_stats")) == [(1, 4, 4, 8, S[2], 0.5)]
-    assert spark.read.parquet(f"{target}/search_builds").columns == ["fetched_at", "hero_id", "x"]
-    assert spark.read.parquet(f"{target}/match_history").columns == ["fetched_at", "info", "match_id"]
+    assert values(read_collection(spark, target, "hero_stats")) == [(1, 4, 4, 8, S[2], 0.5)]
+    assert read_collection(spark, target, "search_builds").columns == ["fetched_at", "hero_id", "x"]
+    assert read_collection(spark, target, "match_history").columns == ["fetched_at", "info", "match_id"]
     assert values(refresh.report_tallies(report)) == [("FAIL", 1, 0), ("OK", 3, 4), ("SKIP", 13, 0)]
     assert refresh.exit_code(report) == 1
     assert refresh.exit_code(report.where("status <> 'FAIL'")) == 0
@@ -65,7 +65,7 @@ def test_unknown_mode_is_generic_and_schema_may_be_given(spark, landed):
 
     row = refresh.refresh_endpoint(spark, str(landed), target, "match_history", "shallow", envelope_schema(HISTORY_RECORD))
     assert row[2:4] == ("OK", 2)
-    assert spark.read.parquet(f"{target}/match_history").columns == ["fetched_at", "account_id", "match_id", "hero_id"]
+    assert read_collection(spark, target, "match_history").columns == ["fetched_at", "account_id", "match_id", "hero_id"]
 
 
 def test_foreign_stamps_fail_or_pass_as_text(spark, tmp_path):
@@ -78,7 +78,7 @@ def test_foreign_stamps_fail_or_pass_as_text(spark, tmp_path):
 def test_empty_result_replaces(spark, tmp_path):
     assert write_collection(spark.range(5), str(tmp_path), "c") == 5
     assert write_collection(spark.range(0), str(tmp_path), "c") == 0
-    assert spark.read.parquet(str(tmp_path / "c")).count() == 0
+    assert read_collection(spark, str(tmp_path), "c").count() == 0
 
 
 def test_write_to_other_sinks(spark, tmp_path):
@@ -98,7 +98,7 @@ def test_streamed_totals_equal_the_batch(spark, tmp_path):
         land(spark, root, stamp, rows)
         stream_win_rate(spark, root, "hero_stats", "hero_id", target, checkpoint).awaitTermination()
         refresh.refresh_endpoint(spark, root, batch, "hero_stats", "hero")
-        assert values(spark.read.parquet(target)) == values(spark.read.parquet(f"{batch}/hero_stats"))
+        assert values(spark.read.parquet(target)) == values(read_collection(spark, batch, "hero_stats"))
 
 
 def test_streamed_records_append_once(spark, tmp_path):
