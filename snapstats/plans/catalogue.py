@@ -198,6 +198,16 @@ def envelope_paths(spark, sf_dir):
     return envelopes.select(landing_path(F.col("endpoint"), F.col("fetched_at"), F.lit("")).alias("path")).distinct()
 
 
+@query
+def landed_paths(spark, sf_dir):
+    """The files that landing has written, one to an envelope."""
+    root = scratch_path(spark, "landing")
+    snapshots = derived.hero_snapshots(spark, sf_dir)
+    land_records(snapshots.withColumn("batch", F.concat(F.lit("_batch"), F.col("hero_id") % 2 + 1)), root, "hero_stats", suffix="batch")
+    land_records(snapshots, root, "hero_stats")
+    return continued.landed_files(spark, root, "hero_stats").select(F.regexp_extract("path", "raw/.*$", 0).alias("path"))
+
+
 @query
 def stamps(spark, sf_dir):
     """Time of every event in the formats in use."""

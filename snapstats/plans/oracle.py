@@ -90,6 +90,9 @@ ORACLE_SQL |= {
     "envelope_paths": """
         SELECT DISTINCT strftime(date_trunc('month', l_shipdate), 'raw/hero_stats/%Y/%m/%d/%H%M%S.json') AS path
         FROM lineitem""",
+    "landed_paths": """
+        SELECT DISTINCT strftime(date_trunc('month', l_shipdate), 'raw/hero_stats/%Y/%m/%d/%H%M%S') || batch || '.json' AS path
+        FROM (SELECT l_shipdate, '_batch' || (l_suppkey % 2 + 1) AS batch FROM lineitem UNION ALL SELECT l_shipdate, '' FROM lineitem)""",
     "stamps": """
         SELECT event_id,
                CASE WHEN epoch_us(ts) % 1000000 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00')

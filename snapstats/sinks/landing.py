@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import re
+import uuid
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from snapstats.functions.stamps import landing_path
 from snapstats.operators.joins import salted_join
 from snapstats.operators.shape import quoted
+from snapstats.sinks.versions import file_names, file_system
 from snapstats.sources.landing import endpoint_path
 
 MAX_RECORDS = 50_000
+RENAMES = 16
 
 
 def jsonable(value: Column, dtype: T.DataType) -> Column:
@@ -94,28 +102,55 @@ def _split(rows: DataFrame, oversize: DataFrame, group: list[str], max_records:
     return numbered.withColumn("_part", F.col("_turn") * parts + F.col("_share")).select(*group, "_record", "_part")
 
 
+def dated_name(stamp: Column, suffix: Column) -> Column:
+    """Where an envelope goes below its endpoint, without ``.json``: dated like its stamp, or else named by it."""
+    dated = F.regexp_extract(landing_path(F.lit("e"), stamp, suffix), r"^raw/e/(.*)\.json$", 1)
+    other = F.concat(F.lit("undated/"), F.md5(F.coalesce(stamp, F.lit(""))), suffix)
+    return F.when(stamp.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}"), dated).otherwise(other)
+
+
 def write_envelopes(envelopes: DataFrame, root: str, endpoint: str) -> None:
-    """Land envelopes below ``raw/<endpoint>/``, each in a file of its own, dated like its stamp.
+    """Land envelopes as ``raw/<endpoint>/YYYY/MM/DD/HHMMSS<suffix>.json``, each in a file of its own.
 
-    The parts of a split stamp share a folder.  A run with the same stamps replaces their folders.
+    Further parts of a split stamp are called ``..._part2.json`` and on.  Tasks write to a hidden folder; when all is
+    written the driver renames the files, one rename an envelope, so readers see whole envelopes only.  A run with the
+    same stamps replaces their files, and those of a landing in the older layout of folders.
     """
-    stamp = F.regexp_replace(F.substring("fetched_at", 12, 8), ":", "")
+    spark, place = envelopes.sparkSession, endpoint_path(root, endpoint)
+    draft = f"_landing-{uuid.uuid4().hex}"
     (
-        envelopes.select(
-            "fetched_at",
-            "endpoint",
-            "record_count",
-            "data",
-            F.substring("fetched_at", 1, 10).alias("fetch_date"),
-            F.concat(stamp, "suffix").alias("file"),
-        )
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", 1)
+        envelopes.select("fetched_at", "endpoint", "record_count", "data", dated_name(F.col("fetched_at"), F.col("suffix")).alias("_to"))
+        .write.option("maxRecordsPerFile", 1)
         .option("ignoreNullFields", "false")
-        .partitionBy("fetch_date", "file")
-        .json(endpoint_path(root, endpoint))
+        .partitionBy("_to")
+        .json(f"{place}/{draft}")
     )
+    names = {n: unquote(n.split("=", 1)[1]) for n in file_names(spark, place, draft) if n.startswith("_to=")}
+    with ThreadPoolExecutor(max_workers=RENAMES) as pool:
+        list(pool.map(lambda n: _commit(spark, place, f"{draft}/{n}", names[n]), names))
+    fs, path = file_system(spark, place, draft)
+    fs.delete(path, True)
+
+
+def _commit(spark: SparkSession, place: str, draft: str, name: str) -> None:
+    """Move the files of one name to where they belong, in place of those there."""
+    folder, base = name.rsplit("/", 1)
+    day = folder.replace("/", "-")
+    fs, old = file_system(spark, place, f"fetch_date={day}", f"file={base}")
+    fs.delete(old, True)
+    mine = re.compile(rf"{re.escape(base)}(_part\d+)?\.json")
+    there = [n for n in file_names(spark, place, folder) if mine.fullmatch(n)]
+    fs.mkdirs(file_system(spark, place, folder)[1])
+    for number, file in enumerate((n for n in file_names(spark, place, draft) if n.startswith("part-")), 1):
+        to = f"{base}.json" if number == 1 else f"{base}_part{number}.json"
+        target = file_system(spark, place, folder, to)[1]
+        if to in there:
+            fs.delete(target, False)
+        if not fs.rename(file_system(spark, place, draft, file)[1], target):
+            raise OSError(f"cannot rename {draft}/{file} to {folder}/{to}")
+        there = [n for n in there if n != to]
+    for left in there:  # parts of an earlier landing with more of them
+        fs.delete(file_system(spark, place, folder, left)[1], False)
 
 
 def land_records(

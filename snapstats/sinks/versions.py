@@ -40,22 +40,24 @@ class Version(NamedTuple):
         return [*self.folders, *self.kept, *([self.index] if self.index else [])]
 
 
-def _path(spark: SparkSession, *parts: str):
+def file_system(spark: SparkSession, *parts: str):
+    """Hadoop's file system of a path, and the path."""
     path = spark._jvm.org.apache.hadoop.fs.Path("/".join(p.rstrip("/") for p in parts))
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
-def _names(spark: SparkSession, *parts: str) -> list[str]:
-    fs, top = _path(spark, parts[0])
+def file_names(spark: SparkSession, *parts: str) -> list[str]:
+    """What a folder holds, sorted; nothing if there is none."""
+    fs, top = file_system(spark, parts[0])
     if not (fs.exists(top) and fs.getFileStatus(top).isDirectory()):  # a table may be a single file
         return []
-    _, path = _path(spark, *parts)
+    _, path = file_system(spark, *parts)
     return sorted(s.getPath().getName() for s in fs.listStatus(path)) if fs.exists(path) else []
 
 
 def discard(spark: SparkSession, place: str, folder: str) -> None:
     """Delete a folder that was made here and never published."""
-    fs, path = _path(spark, place, folder)
+    fs, path = file_system(spark, place, folder)
     fs.delete(path, True)
 
 
@@ -65,10 +67,10 @@ def fresh_folder(kind: str = "data") -> str:
 
 def read_version(spark: SparkSession, place: str) -> Version | None:
     """What is published at ``place``, or None."""
-    numbers = [n for n in _names(spark, place, POINTERS) if n.endswith(".json") and not n.startswith((".", "_"))]
+    numbers = [n for n in file_names(spark, place, POINTERS) if n.endswith(".json") and not n.startswith((".", "_"))]
     if not numbers:
         return None
-    fs, path = _path(spark, place, POINTERS, numbers[-1])
+    fs, path = file_system(spark, place, POINTERS, numbers[-1])
     stream = fs.open(path)
     try:
         text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
@@ -84,20 +86,20 @@ def publish(spark: SparkSession, place: str, version: Version) -> Version:
     own, before = version.all_folders(), last.all_folders() if last else []
     version = version._replace(number=last.number + 1 if last else 1, before=before)
     name = f"{version.number:012d}.json"
-    fs, draft = _path(spark, place, POINTERS, f"_{name}-{uuid.uuid4().hex}")
+    fs, draft = file_system(spark, place, POINTERS, f"_{name}-{uuid.uuid4().hex}")
     out = fs.create(draft, True)
     out.write(bytearray(json.dumps(version._asdict()).encode()))
     out.close()
-    if not fs.rename(draft, _path(spark, place, POINTERS, name)[1]):
+    if not fs.rename(draft, file_system(spark, place, POINTERS, name)[1]):
         fs.delete(draft, False)
         raise RuntimeError(f"another writer published version {version.number} of {place}")
-    for child in _names(spark, place):
+    for child in file_names(spark, place):
         plain = last is None and (child.startswith("part-") or child == "_SUCCESS")  # a table before it had versions
         if plain or (child.startswith(MADE) and child not in own and child not in before):
-            fs.delete(_path(spark, place, child)[1], True)
-    for pointer in _names(spark, place, POINTERS):
+            fs.delete(file_system(spark, place, child)[1], True)
+    for pointer in file_names(spark, place, POINTERS):
         if pointer < f"{version.number - 1:012d}":
-            fs.delete(_path(spark, place, POINTERS, pointer)[1], False)
+            fs.delete(file_system(spark, place, POINTERS, pointer)[1], False)
     return version
 
 

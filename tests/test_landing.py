@@ -104,6 +104,29 @@ def test_same_stamp_replaces(spark, tmp_path):
     assert values(shape.shallow(landing.read_endpoint(spark, str(tmp_path), "e")), "v") == [(-1,), (0,), (1,)]
 
 
+def test_envelopes_land_at_their_dated_paths(spark, tmp_path):
+    def land(n, suffix, most=10):
+        records = spark.range(n).select(F.lit(STAMP).alias("fetched_at"), F.col("id").alias("v"), F.lit(suffix).alias("s"))
+        sink.land_records(records, str(tmp_path), "e", suffix="s", max_records=most)
+
+    folder = tmp_path / "raw" / "e"
+    names = lambda: sorted(str(p.relative_to(folder)) for p in folder.rglob("*.json") if not p.name.startswith("."))
+    day = STAMP[:10].replace("-", "/")
+    clock = STAMP[11:19].replace(":", "")
+    land(25, "")
+    parts = names()
+    assert parts[0] == f"{day}/{clock}.json" and len(parts) >= 3
+    assert set(parts[1:]) == {f"{day}/{clock}_part{n}.json" for n in range(2, len(parts) + 1)}
+    land(3, "_batch1")
+    land(2, "")
+    assert names() == [f"{day}/{clock}.json", f"{day}/{clock}_batch1.json"]
+    odd = spark.createDataFrame([("yesterday / noon", 1), (None, 2)], "fetched_at string, v int")
+    sink.land_records(odd, str(tmp_path), "e")
+    assert len(names()) == 4 and sum(n.startswith("undated/") for n in names()) == 2
+    assert not [p for p in folder.iterdir() if p.name.startswith("_")]
+    assert values(shape.shallow(landing.read_endpoint(spark, str(tmp_path), "e")), "v") == [(0,), (0,), (1,), (1,), (1,), (2,), (2,)]
+
+
 def test_no_records_write_no_file(spark, tmp_path):
     records = spark.range(0).select(F.lit(STAMP).alias("fetched_at"), F.col("id").alias("v"))
     sink.land_records(records, str(tmp_path), "e")
