@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapstats.llm.common import stage
+from snapstats.llm.common import spread, stage
 
 RADIX, BATCH_BYTES, PART_CHARS, MEMO, BLOCK, SLICE_BYTES = 64, 16 << 20, 1 << 20, 250_000, 4096, 32 << 20
 MANY_LINKS = 1 << 16
@@ -102,11 +102,6 @@ class Encoders:
                 [ids or [self.space] for ids in self.b.encode([s[1:] for s in segments], num_threads=1)]]
 
 
-def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The numbers from each start on, as many as its size."""
-    return np.repeat(starts - np.r_[0, np.cumsum(sizes)[:-1]], sizes) + np.arange(sizes.sum())
-
-
 def distinct(owner: np.ndarray, key: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Each (owner, key) once, sorted, with the sum of its times."""
     order = np.lexsort((key, owner))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,3 +79,8 @@ def labelled(docs: DataFrame, labels: DataFrame, usable: Column, mark: str, max_
     wanted = spark.createDataFrame(chosen, "doc_id long, t long, label int, place int")
     found = texts.withColumn("t", F.xxhash64("text")).join(F.broadcast(wanted), ["doc_id", "t"]).dropDuplicates(["place"])
     return [tuple(r) for r in found.orderBy("place").select("text", "label").collect()]
+
+
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its size."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import zlib
 from array import array
+from collections.abc import Iterable
 from dataclasses import dataclass
 from itertools import chain
 
@@ -23,13 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapstats.llm.common import byte_words, labelled
+from snapstats.llm.common import byte_words, labelled, spread
 
 BUCKETS, DIM, EPOCHS, RATE = 1 << 18, 12, 6, 0.5
 MAX_ROWS, MAX_BYTES = 3000, 24 << 20
 MEMO, SHORT, BLOCK, PART = 300_000, 64, 1 << 20, 1 << 21
 NGRAMS = (3, 4)
 REPEAT, LEAST_DOCS = 0, 3
+CRC_TABLE = np.array([zlib.crc32(bytes([b]), 0xFFFFFFFF) ^ 0xFFFFFFFF for b in range(256)], np.uint32)
 
 
 @dataclass
@@ -69,7 +71,6 @@ class Features:
 
 def long_grams(word: bytes, n: int) -> np.ndarray:
     """Buckets of the distinct n-grams (of at most four bytes) of a long word, as ``zlib.crc32(gram, 7)`` gives them."""
-    table = np.array([zlib.crc32(bytes([b]), 0xFFFFFFFF) ^ 0xFFFFFFFF for b in range(256)], np.uint32)
     every, grams = np.frombuffer(word, np.uint8), np.zeros(0, np.uint32)
     for k in range(0, len(every) - n + 1, BLOCK):
         part = every[k : k + BLOCK + n - 1].astype(np.uint32)
@@ -78,10 +79,15 @@ def long_grams(word: bytes, n: int) -> np.ndarray:
         for i in range(n):
             packed = (packed << np.uint32(8)) | part[i : i + size]
         grams = np.union1d(grams, packed)
+    return gram_buckets(grams, n)
+
+
+def gram_buckets(grams: np.ndarray, n: int) -> np.ndarray:
+    """The bucket of each packed n-gram: that of ``zlib.crc32(gram, 7)``."""
     crc = np.full(len(grams), 7 ^ 0xFFFFFFFF, np.uint32)
     for i in reversed(range(n)):
         byte = (grams >> np.uint32(8 * i)) & np.uint32(255)
-        crc = table[(crc ^ byte) & np.uint32(255)] ^ (crc >> np.uint32(8))
+        crc = CRC_TABLE[(crc ^ byte) & np.uint32(255)] ^ (crc >> np.uint32(8))
     return (crc ^ np.uint32(0xFFFFFFFF)) % np.uint32(BUCKETS)
 
 
@@ -131,30 +137,49 @@ def train(rows: list[tuple[str | None, int]], seed: int = 1) -> Model:
 
 
 class Index(dict):
-    """Places of words in order of first sight; what a new word adds to a logit is computed when it is first seen."""
+    """Places of words in order of first sight, with what each adds to a logit."""
 
     def __init__(self, weights: np.ndarray):
         super().__init__()
-        self.weights, self.reader = weights, Features(keep=0)
+        self.weights, self.reader = weights.astype(np.float64), Features(keep=0)
         self.clear()
 
     def clear(self) -> None:
         super().clear()
         self.own, self.sums, self.sizes = array("Q"), array("d"), array("q")
 
-    def __missing__(self, word: bytes) -> int:
-        own, buckets = self.reader.word(word)
-        self.own.append(own)
-        self.sums.append(float(self.weights[buckets].sum(dtype=np.float64)))
-        self.sizes.append(len(buckets))
-        self[word] = place = len(self.own) - 1
-        return place
+    def learn(self, words: Iterable[bytes]) -> None:
+        """Short words are hashed together: their n-grams as numbers, each once a word."""
+        new = [w for w in dict.fromkeys(words) if w not in self]
+        short = [w for w in new if len(w) <= SHORT]
+        own = np.fromiter(map(zlib.crc32, short), np.int64, len(short))
+        sums, sizes = self.weights[own % BUCKETS], np.ones(len(short), np.int64)
+        length = np.fromiter(map(len, short), np.int64, len(short)) + 2
+        every = np.frombuffer(b"".join([b"<" + w + b">" for w in short]), np.uint8).astype(np.int64)
+        starts = np.cumsum(length) - length
+        for n in NGRAMS:
+            number = np.maximum(length - n + 1, 0)
+            at = spread(starts, number)
+            gram = np.repeat(np.arange(len(short)), number) << 32
+            for i in range(n):
+                gram |= every[at + i] << 8 * (n - 1 - i)
+            gram = np.unique(gram)
+            word = gram >> 32
+            sums += np.bincount(word, self.weights[gram_buckets((gram & 0xFFFFFFFF).astype(np.uint32), n)], len(short))
+            sizes += np.bincount(word, minlength=len(short))
+        long = [(crc, self.weights[b].sum(), len(b)) for w in new if len(w) > SHORT for crc, b in [self.reader.word(w)]]
+        for kept, values, others in zip((self.own, self.sums, self.sizes), (own, sums, sizes), zip(*long, strict=True) if long else ((), (), ()), strict=True):
+            kept.extend(values.tolist())
+            kept.extend(others)
+        for place, word in enumerate([*short, *(w for w in new if len(w) > SHORT)], len(self)):
+            self[word] = place
 
 
 def logits(texts: list[str | None], index: Index, bias: float) -> np.ndarray:
     """The mean weight over the features of each text, plus the bias."""
     words = [byte_words(t) for t in texts]
     sizes = np.array([len(w) for w in words], np.int64)
+    index.learn(chain.from_iterable(words))
     every = np.fromiter(map(index.__getitem__, chain.from_iterable(words)), np.int64, int(sizes.sum()))
     if not len(every):
         return np.full(len(texts), bias)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapstats.llm.common import labelled
+from snapstats.llm.common import labelled, spread
 
 MAX_ROWS, MAX_BYTES = 4000, 8 << 20
 LEAST_DOCS, SURE, STEPS, RATE, SPARSE, WRONG = 3, 2.5, 150, 0.6, 1.5, 0.02
@@ -105,7 +105,7 @@ def telling(words: list[str], text: np.ndarray, key: np.ndarray, labels: np.ndar
     held = np.unique(text[key >= 0] * max(len(words), 1) + key[key >= 0])
     doc, word = held // max(len(words), 1), held % max(len(words), 1)
     size = ends[word + 1] - ends[word]
-    at = np.repeat(ends[word] - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum()) if len(word) else doc
+    at = spread(ends[word], size)
     held = np.unique(np.repeat(doc, size) * max(len(number), 1) + feature[at])
     doc, which = held // max(len(number), 1), held % max(len(number), 1)
     docs, ones, share = np.bincount(which, minlength=len(number)), np.bincount(which, labels[doc], len(number)), labels.mean()
