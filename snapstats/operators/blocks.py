@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapstats.fixed_values import BLOCK_ITEMS
-from snapstats.operators.joins import salted_join
+from snapstats.operators.joins import even_join
 
 BUCKET_DIGITS = 3
 
@@ -46,7 +46,7 @@ def number_blocks(items: DataFrame, key: str, block_items: int = BLOCK_ITEMS) ->
 
 def attach_blocks(records: DataFrame, blocks: DataFrame, key: str) -> DataFrame:
     """Records with the block and suffix of their item."""
-    return salted_join(records, blocks, [key], "inner")
+    return even_join(records, blocks, [key], "inner")
 
 
 def block_totals(records_with_blocks: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from snapstats.functions.stamps import iso_micros, micros_to_iso
 from snapstats.operators.filters import positive
-from snapstats.operators.joins import salted_join
+from snapstats.operators.joins import even_join
 from snapstats.operators.shape import array_of, quoted
 
 _POSITIONS = 1 << 32
@@ -62,7 +62,7 @@ def distinct_accounts(matches: DataFrame) -> DataFrame:
 
 def of_discovered(records: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Records whose id was discovered.  ``ids`` has each id once."""
-    return salted_join(records, ids.select(key), [key], "left_semi")
+    return even_join(records, ids.select(key), [key], "left_semi")
 
 
 def undiscovered(ids: DataFrame, records: DataFrame, key: str) -> DataFrame:

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from frames import values
+from frames import physical_plan, values
 from snapstats.operators import blocks, discover, filters, joins, lookup
 from snapstats.sources.collections import hero_dimension
 
@@ -56,6 +56,38 @@ def test_salted_join_equals_plain_join(spark, how):
     assert values(joins.salted_join(left, right, ["k"], how)) == values(left.join(right, ["k"], how))
 
 
+HOT = "CASE WHEN id < 1500 THEN 7 WHEN id >= 1800 THEN id % 400 END"
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("shown", ["bigint", "string", "decimal(9,2)", "double"])
+def test_even_join_splits_heavy_keys_only(spark, how, shown):
+    left = spark.range(3000).select(F.expr(HOT).cast(shown).alias("k"), F.lit("copy").alias("v"), F.lit(1).alias("_salt"))
+    right = spark.range(30).select(F.col("id").cast(shown).alias("k"), (F.col("id") * 2).alias("w"))
+    joined = joins.even_join(left, right, ["k"], how, heavy_rows=100)
+    assert values(joined) == values(left.join(right, ["k"], how))
+    assert "explode" in physical_plan(joined)
+    even = joins.even_join(left.where("k <> 7"), right, ["k"], how, heavy_rows=100)
+    assert values(even) == values(left.where("k <> 7").join(right, ["k"], how))
+    assert ("explode" in physical_plan(even)) == (shown == "double")  # floating keys are always salted
+
+
+def test_heavy_keys_get_shares_by_their_size(spark):
+    frame = spark.range(4000).select(F.expr(HOT).alias("k"), F.lit("x").alias("t"))
+    by_hash = {r["h"]: r["k"] for r in frame.select("k", F.xxhash64("k", "t").alias("h")).distinct().collect()}
+    heavy = joins.heavy_keys(frame, ["k", "t"], heavy_rows=100)
+    assert {by_hash[h]: n for h, n in heavy.items()} == {7: 4}  # width 4: a fair share has 1,000 rows
+    assert joins.heavy_keys(frame, ["k", "t"]) == {} and joins.heavy_keys(frame.limit(0), ["k"], 0) == {}
+
+
+def test_even_join_of_unlike_key_types(spark):
+    left = spark.range(50).select(F.col("id").cast("int").alias("k"))
+    right = spark.createDataFrame([(3,), (5_000_000_000,)], "k bigint")
+    assert values(joins.even_join(left, right, ["k"], "left_semi", 0)) == [(3,)]
+    with pytest.raises(ValueError):
+        joins.even_join(left, right, ["k"], "right")
+
+
 def test_salt_spreads_one_hot_key(spark):
     copies = spark.createDataFrame([("x", 1)] * 4000, "k string, v int").repartition(16)
     spread = copies.groupBy(joins.row_salt(copies).alias("s")).count()
