@@ -379,6 +379,22 @@ def split_envelopes(spark, sf_dir):
     )
 
 
+@query
+def envelopes_by_bytes(spark, sf_dir):
+    """Documents at one stamp, and equal large records at another, in envelopes bounded by bytes: sizes and their check."""
+    most, day = 20_000, "2026-04-0{}T10:00:00+00:00"
+    docs = derived.table(spark, sf_dir, "documents")
+    whole = docs.select(F.lit(day.format(5)).alias("fetched_at"), "text")
+    equal = docs.select(F.lit(day.format(6)), F.expr("repeat('same', 500)"))
+    envelopes = build_envelopes(whole.union(equal), "documents", max_bytes=most)
+    sizes = F.transform("data", lambda r: F.octet_length(F.to_json(r)))
+    sized = envelopes.select("*", F.aggregate(sizes, F.lit(0), lambda a, b: a + b).alias("bytes"), F.array_max(sizes).alias("largest"))
+    return sized.groupBy("fetched_at").agg(
+        F.sum("record_count").alias("records"), F.max(F.col("bytes") < most + F.col("largest")).alias("bounded"),
+        (F.count(F.lit(1)) <= 8 * F.sum("bytes") / most + 8).alias("filled"),
+    )
+
+
 # --- names -------------------------------------------------------------------------------------------
 
 

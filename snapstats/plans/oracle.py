@@ -166,6 +166,10 @@ ORACLE_SQL |= {
     "split_envelopes": f"""
         SELECT {STAMP_OF_DAY.format('ts')} AS fetched_at, count(*) AS records, true AS bounded
         FROM events GROUP BY 1""",
+    "envelopes_by_bytes": """
+        SELECT '2026-04-0' || day || 'T10:00:00+00:00' AS fetched_at, count(*) AS records,
+               true AS bounded, true AS filled
+        FROM documents, (VALUES (5), (6)) AS d(day) GROUP BY 1""",
 }
 
 # names

@@ -7,17 +7,21 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapstats.functions.stamps import landing_path
-from snapstats.operators.joins import salted_join
+from snapstats.operators.joins import even_join, is_small
 from snapstats.operators.shape import quoted
 from snapstats.sinks.versions import file_names, file_system
 from snapstats.sources.landing import endpoint_path
 
 MAX_RECORDS = 50_000
+MAX_BYTES = 64 << 20
+#: Shares of a stamp for each envelope that it fills, so that few shares need a second envelope.
+SLACK = 1.25
 RENAMES = 16
 
 
@@ -41,13 +45,22 @@ def jsonable(value: Column, dtype: T.DataType) -> Column:
 
 
 def build_envelopes(
-    records: DataFrame, endpoint: str, suffix: str | None = None, max_records: int = MAX_RECORDS
+    records: DataFrame,
+    endpoint: str,
+    suffix: str | None = None,
+    max_records: int = MAX_RECORDS,
+    max_bytes: int = MAX_BYTES,
 ) -> DataFrame:
     """Records with a ``fetched_at`` column as envelopes ``fetched_at, endpoint, suffix, record_count, data``.
 
-    One envelope per stamp and value of the ``suffix`` column, without empty ones.  Sizes are counted
-    first: a stamp with more than ``max_records`` records is split evenly over several envelopes, so no
-    array grows without bound; readers take all parts of a stamp as one input.
+    One envelope per stamp and value of the ``suffix`` column, without empty ones.  Counts and bytes are summed
+    first: a stamp beyond ``max_records`` records or ``max_bytes`` bytes of JSON spreads over several envelopes;
+    readers take all parts of a stamp as one input.  None holds more records, nor more bytes than ``max_bytes``
+    and one record.
+
+    The records move once.  Within an input partition they are sorted by content, so a task that runs again
+    numbers them alike; the numbers deal even equal records out over the shares of their stamp.  In its share a
+    record goes to the envelope that the running sums of records and bytes before it name.
     """
     group = ["fetched_at", "_suffix"]
     fields = [f for f in records.schema if f.name not in ("fetched_at", suffix)]
@@ -56,16 +69,18 @@ def build_envelopes(
         (F.col(suffix) if suffix else F.lit("")).alias("_suffix"),
         F.struct(*[jsonable(quoted(f.name), f.dataType).alias(f.name) for f in fields]).alias("_record"),
     )
-    sizes = rows.groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / max_records).alias("_parts"))
-    oversize = sizes.where(F.col("_parts") > 1)
-    if oversize.isEmpty():
-        rows = rows.withColumn("_part", F.lit(0))
+    # the hash stands for stamp and suffix, nulls included; groups of equal hash only get more shares
+    keyed = rows.withColumns({"_key": F.xxhash64(*group), "_json": F.to_json("_record", {"ignoreNullFields": "false"})})
+    filled = F.greatest(F.sum(F.octet_length("_json")) / max_bytes, F.count(F.lit(1)) / max_records)
+    sizes = keyed.groupBy("_key").agg(filled.alias("_filled")).where(F.col("_filled") > 1)
+    oversize = sizes.select("_key", F.ceil(F.col("_filled") * SLACK).alias("_shares")).persist(StorageLevel.DISK_ONLY)
+    if is_small(oversize, 0):
+        oversize.unpersist()
+        parts, whole = ["_share"], rows.withColumn("_share", F.lit(0)).repartition(_width(rows), *group, "_share")
     else:
-        rows = _split(rows, oversize, group, max_records)
-    # files cost time by number rather than by size, so small partitions must not be merged into few tasks
+        parts, whole = ["_share", "_by_rows", "_by_bytes"], _split(keyed, oversize, group, max_records, max_bytes)
     return (
-        rows.repartition(_width(rows), *group, "_part")
-        .groupBy(*group, "_part")
+        whole.groupBy(*group, *parts)
         .agg(F.collect_list("_record").alias("data"))
         .select(
             "fetched_at",
@@ -78,28 +93,32 @@ def build_envelopes(
 
 
 def _width(frame: DataFrame) -> int:
-    """Tasks of the landing write: the session's shuffle width, and at least one per core."""
+    """Tasks of the landing write: the session's shuffle width, and at least one per core.
+
+    Files cost time by number rather than by size, so small partitions must not be merged into few tasks.
+    """
     spark = frame.sparkSession
     width = spark.conf.get("spark.sql.shuffle.partitions")
     return max(int(width) if width.isdigit() else 0, spark.sparkContext.defaultParallelism)
 
 
-def _split(rows: DataFrame, oversize: DataFrame, group: list[str], max_records: int) -> DataFrame:
-    """Number the records of oversize groups into parts of at most ``max_records``.
-
-    Records first spread over the parts by hash; the numbering then runs within each spread share.
-    """
-    text = F.to_json("_record")
-    # two hashes order the records alike in a task that runs again; only equal records tie
-    hashes = {"_spread": F.xxhash64(F.spark_partition_id(), text), "_tie": F.xxhash64(text, F.lit(1))}
-    sized = salted_join(rows.withColumns(hashes), oversize, group, "left")
-    shared = sized.withColumn("_share", F.pmod("_spread", F.coalesce("_parts", F.lit(1))).cast("bigint"))
-    numbered = shared.withColumn(
-        "_turn",
-        F.floor((F.row_number().over(Window.partitionBy(*group, "_share").orderBy("_spread", "_tie")) - 1) / max_records),
+def _split(keyed: DataFrame, oversize: DataFrame, group: list[str], max_records: int, max_bytes: int) -> DataFrame:
+    """The records, moved to their shares, with the numbers that name their envelope there."""
+    hashes = {"_h1": F.xxhash64("_json"), "_h2": F.xxhash64(F.lit(1), "_json")}
+    sized = keyed.withColumns({"_bytes": F.octet_length("_json").cast("bigint"), **hashes}).drop("_json")
+    if is_small(oversize):
+        known = sized.join(F.broadcast(oversize), "_key", "left")
+    else:
+        known = even_join(sized, oversize, ["_key"], "left")
+    # numbered in an order in which only equal records of one stamp can change places
+    turns = known.sortWithinPartitions(*group, "_h1", "_h2").withColumn("_turn", F.monotonically_increasing_id())
+    dealt = turns.withColumn("_share", F.pmod(F.xxhash64("_turn"), F.coalesce("_shares", F.lit(1))))
+    moved = dealt.select(*group, "_share", "_turn", "_bytes", "_record").repartition(_width(dealt), *group, "_share")
+    ahead = Window.partitionBy(*group, "_share").orderBy("_turn")
+    before = F.sum("_bytes").over(ahead.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_bytes")
+    return moved.withColumns(
+        {"_by_bytes": F.floor(before / max_bytes), "_by_rows": F.floor((F.row_number().over(ahead) - 1) / max_records)}
     )
-    parts = F.coalesce("_parts", F.lit(1))
-    return numbered.withColumn("_part", F.col("_turn") * parts + F.col("_share")).select(*group, "_record", "_part")
 
 
 def dated_name(stamp: Column, suffix: Column) -> Column:
@@ -154,7 +173,12 @@ def _commit(spark: SparkSession, place: str, draft: str, name: str) -> None:
 
 
 def land_records(
-    records: DataFrame, root: str, endpoint: str, suffix: str | None = None, max_records: int = MAX_RECORDS
+    records: DataFrame,
+    root: str,
+    endpoint: str,
+    suffix: str | None = None,
+    max_records: int = MAX_RECORDS,
+    max_bytes: int = MAX_BYTES,
 ) -> None:
     """`build_envelopes` and `write_envelopes` in one step; nothing is written for no records."""
-    write_envelopes(build_envelopes(records, endpoint, suffix, max_records), root, endpoint)
+    write_envelopes(build_envelopes(records, endpoint, suffix, max_records, max_bytes), root, endpoint)

@@ -3,7 +3,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from frames import values
+from frames import physical_plan, values
 from snapstats.operators import aggregate, shape
 from snapstats.schemas import HISTORY_RECORD, counter_record, envelope_schema
 from snapstats.sinks import landing as sink
@@ -92,6 +92,22 @@ def test_large_snapshots_are_split(spark, tmp_path):
     assert shape.shallow(back).count() == 1003
 
 
+def test_envelopes_are_bounded_by_bytes(spark):
+    same = spark.range(400).select(F.lit(STAMP).alias("fetched_at"), F.lit("x" * 1000).alias("v"), F.lit(None).cast("int").alias("_key"))
+    mixed = spark.range(300).select(F.lit(None).cast("string"), F.repeat(F.lit("y"), (F.col("id") * 7 % 900).cast("int")), F.lit(1))
+    one = spark.range(1).select(F.lit("2026-04-06T10:00:00+00:00"), F.repeat(F.lit("z"), F.lit(50_000)), F.lit(2))
+    records = same.union(mixed).union(one)
+    envelopes = sink.build_envelopes(records, "e", max_records=30, max_bytes=20_000)
+    assert physical_plan(envelopes).count("Exchange hashpartitioning(fetched_at") == 1
+    seen = [(r["fetched_at"], [x["v"] for x in r["data"]]) for r in envelopes.collect()]
+    assert sorted((f or "", v) for f, vs in seen for v in vs) == sorted((f or "", v) for f, v, _ in values(records))
+    for _, vs in seen:
+        sizes = [len(v) + 20 for v in vs]
+        assert len(vs) <= 30 and sum(sizes) < 20_000 + max(sizes)
+    parts = [len(vs) for f, vs in seen if f == STAMP]
+    assert len(parts) >= 20 and max(parts) <= 20  # equal records too
+
+
 def test_same_stamp_replaces(spark, tmp_path):
     def land(n):
         records = spark.range(n).select(F.lit(STAMP).alias("fetched_at"), F.col("id").alias("v"))
