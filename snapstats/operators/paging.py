@@ -14,9 +14,14 @@ from snapstats.operators.shape import fresh_name, quoted
 
 DIRECT_ROWS = 100_000
 MERGED_ROWS = 5_000_000
-SPLITS = 16
+QUANTILES = 1_000
+SKETCH_ACCURACY = 10_000
+SAMPLE = 400
 MAX_PASSES = 40
 
+#: Types that a quantile sketch takes, and those whose values pass through the driver unchanged.
+_SKETCHED = (T.IntegralType, T.DateType, T.TimestampType, T.DoubleType, T.FloatType)
+_PLAIN = (T.IntegralType, T.DoubleType, T.FloatType)
 _UNORDERED = (T.MapType, T.VariantType)
 
 
@@ -83,13 +88,19 @@ def fetch_page(placed: DataFrame, file: str, row: str, keys: list[SortKey], offs
     from just the files that hold them.
     """
     tasks = placed.rdd.getNumPartitions()  # of a plain scan: known without a job
+    page = page_rows(placed, keys, offset, count, direct, tasks)
+    ranged = bool(keys) and isinstance(placed.select(keys[0].column).schema[0].dataType, _PLAIN)
+    found = page.select(file, row, (keys[0].column if ranged else F.lit(None)).alias("v")).collect()
+    if not found:
+        return placed.limit(0)
     spots: dict[str, list[int]] = {}
-    for spot in page_rows(placed, keys, offset, count, direct, tasks).select(file, row).collect():
+    for spot in found:
         spots.setdefault(spot[0], []).append(spot[1])
-    if not spots:
-        return placed.limit(0)
     here = [(F.col(file) == path) & F.col(row).isin(rows) for path, rows in spots.items()]
     held = placed.where(F.col(file).isin(list(spots)) & functools.reduce(operator.or_, here))
+    if ranged and all(spot[2] is not None and spot[2] == spot[2] for spot in found):
+        # says nothing new of the rows, but lets Parquet pass over row groups without such values
+        held = held.where(keys[0].column.between(min(spot[2] for spot in found), max(spot[2] for spot in found)))
     # the limit drops nothing: it makes this a top-k, which needs no range partitioning of so few rows
     return sort_rows(held, keys).limit(count)
 
@@ -120,8 +131,9 @@ def page_rows(
     Near the top of a moderate table this is one top-k plan.  A top-k keeps ``offset + count`` rows in each
     of its ``tasks`` and merges them all in one, so a page beyond ``direct`` rows, or a table of very many
     tasks, is first narrowed: counting rows between a few values of the sort column tells between which of
-    them the page lies, and only that range is sorted.  A counting pass reads one column and returns a few
-    numbers.  When one value holds many rows, the next sort column narrows within it.
+    them the page lies, and only that range is sorted.  The values come from a quantile sketch around the page, so
+    that one pass for the sketch and one that counts leave a few thousandths of the rows.  A pass reads one column
+    and returns a few numbers.  When one value holds many rows, the next sort column narrows within it.
     """
     if not keys or _fits(offset, count, direct, tasks):
         return sort_rows(frame, keys).offset(offset).limit(count)
@@ -143,7 +155,7 @@ def _narrow(
     for seed in range(MAX_PASSES):
         if _fits(offset, count, direct, tasks, rows):
             break
-        rows, spans = _count_spans(frame, key, _split_values(frame, key, seed))
+        rows, spans = _count_spans(frame, key, _split_values(frame, key, seed, offset, count, rows))
         count = min(count, rows - offset)
         if count <= 0:
             return frame.limit(0)
@@ -176,21 +188,70 @@ def _inside_run(
     return sort_rows(first.unionByName(following), keys[at:]).limit(count)
 
 
-def _split_values(frame: DataFrame, key: SortKey, seed: int) -> list[Column | None]:
-    """A few values of the sort column, in sort order, as literals of its exact type."""
-    values = frame.select(key.column.alias("v"))
-    dtype = values.schema["v"].dataType
-    picked = values.orderBy(F.rand(seed)).limit(SPLITS)
-    # at most SPLITS values, sorted by Spark; text keeps them exact on the way to the driver
-    ordered = F.sort_array(F.collect_set("v"), key.ascending)
-    shown = F.transform(ordered, lambda v: _as_text(v, dtype))
-    row = picked.agg(shown.alias("shown"), F.coalesce(F.max(F.col("v").isNull()), F.lit(False)).alias("null")).first()
-    splits = [_from_text(s, dtype) for s in row["shown"]]
-    if row["null"]:
+def _split_values(
+    frame: DataFrame, key: SortKey, seed: int, offset: int, count: int, rows: int | None
+) -> list[Column | None]:
+    """A few values of the sort column around the page, in sort order, as literals of its exact type.
+
+    Numbers, dates and times come from a sketch of all rows, filled in one pass, whose quantiles are off by a
+    tenth of their distance; other types from a sample of some ``SAMPLE`` rows, taken four deviations around the page.
+    Which values they are only decides how much one count narrows.
+    """
+    dtype = frame.select(key.column.alias("v")).schema["v"].dataType
+    near = _sketched(frame, key, offset, count) if isinstance(dtype, _SKETCHED) else _sampled(frame, key, seed, offset, count, rows)
+    shown, null = near.select(F.transform("near", lambda v: _as_text(v, dtype)), "null").first()
+    splits = [_from_text(s, dtype) for s in shown]
+    if null:
         splits.insert(0 if key.ascending else len(splits), None)
     return splits
 
 
+def _sketched(frame: DataFrame, key: SortKey, offset: int, count: int) -> DataFrame:
+    """One row: the quantiles ``near`` the page, distinct and in sort order, and whether there is a ``null``."""
+    values = frame.select(key.column.alias("v"))
+    floating = isinstance(values.schema["v"].dataType, (T.DoubleType, T.FloatType))
+    ranked = values.withColumn("r", F.when(~F.isnan("v"), F.col("v")) if floating else F.col("v"))
+    steps = f"array({', '.join(f'{n / QUANTILES}D' for n in range(QUANTILES + 1))})"
+    found = ranked.agg(
+        F.coalesce(F.expr(f"percentile_approx(r, {steps}, {SKETCH_ACCURACY})"), F.array().cast(T.ArrayType(ranked.schema["r"].dataType))).alias("q"),
+        F.count("r").alias("n"), F.count_if(F.col("v").isNull()).alias("nulls"), F.count_if(F.col("v").isNotNull()).alias("known"),
+    )
+    # ranks of the page among the sketched rows; NaN is the highest value of all
+    skipped = F.col("nulls") if key.ascending else F.col("known") - F.col("n")
+
+    def step(place: int) -> Column:
+        share = (F.lit(place) - skipped) / F.greatest("n", F.lit(1)) * QUANTILES
+        return share if key.ascending else QUANTILES - share
+
+    at = [F.floor(step(place)) + move for place in (offset, offset + count) for move in (-2, -1, 0, 1, 2, 3)]
+    near = _near(F.col("q"), at, key)
+    if floating:  # NaN may be a hot value, too
+        nan = F.array(F.lit(float("nan")).cast(values.schema["v"].dataType))
+        near = F.when(F.col("known") == F.col("n"), near).otherwise(F.concat(near, nan) if key.ascending else F.concat(nan, near))
+    return found.select(near.alias("near"), (F.col("nulls") > 0).alias("null"))
+
+
+def _sampled(frame: DataFrame, key: SortKey, seed: int, offset: int, count: int, rows: int | None) -> DataFrame:
+    """What `_sketched` gives, by a random sample."""
+    rows = max(frame.count() if rows is None else rows, 1)
+    some = frame.select(key.column.alias("v"), F.rand(seed).alias("r")).where(F.col("r") < 4 * SAMPLE / rows).orderBy("r").limit(SAMPLE)
+    found = some.agg(F.collect_list("v").alias("q"), F.count(F.lit(1)).alias("n"), F.count_if(F.col("v").isNull()).alias("nulls"))
+    deviation = SAMPLE**0.5 / 2
+    at = []
+    for place in (offset, offset + count):
+        rank = F.lit(place / rows) * F.col("n") - (F.col("nulls") if key.ascending else F.lit(0))
+        ascending = rank if key.ascending else F.size("q") - rank
+        at += [F.floor(ascending + move * deviation) for move in (-4, -2.5, -1.5, -0.5, 0.5, 1.5, 2.5, 4)]
+    return found.select(_near(F.array_sort("q"), at, key).alias("near"), (F.col("nulls") > 0).alias("null"))
+
+
+def _near(values: Column, at: list[Column], key: SortKey) -> Column:
+    """The values of a sorted array at some places, distinct and in sort order; places outside mean its ends."""
+    ends = [F.greatest(F.least(place, F.size(values) - 1), F.lit(0)).cast("int") for place in at]
+    picked = F.transform(F.array_distinct(F.array(*ends)), lambda n: F.get(values, n))
+    return F.sort_array(F.array_distinct(F.filter(picked, lambda v: v.isNotNull())), key.ascending)
+
+
 def _as_text(value: Column, dtype: T.DataType) -> Column:
     """A value with each of its leaves as exact text; arrays and structs keep their form."""
     if isinstance(dtype, T.ArrayType):

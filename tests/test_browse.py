@@ -43,6 +43,44 @@ def test_deep_pages(skewed, ascending, offset):
     assert [tuple(r) for r in page.collect()] == want
 
 
+@pytest.mark.parametrize("shown, passes", [("bigint", 1), ("double", 1), ("date", 1), ("string", 2)])
+def test_a_deep_page_takes_few_passes(spark, shown, passes, monkeypatch):
+    counted, real = [], paging._count_spans
+
+    def count_spans(frame, key, splits):
+        out = real(frame, key, splits)
+        counted.append((len(splits), out[0]))
+        return out
+
+    monkeypatch.setattr(paging, "_count_spans", count_spans)
+    value = "date_add(date'2020-01-01', cast((id * 7919) % 20011 AS int))" if shown == "date" else f"cast((id * 7919) % 20011 AS {shown})"
+    frame = spark.range(20_000).select("id", F.expr(value).alias("v"))
+    for ascending in (True, False):
+        counted.clear()
+        page = paging.page_rows(frame, keys(("v", ascending), ("id", True)), 12_345, 50, direct=200)
+        plain = paging.sort_rows(frame, keys(("v", ascending), ("id", True))).offset(12_345).limit(50)
+        assert page.collect() == plain.collect()
+        assert 1 <= len(counted) <= passes and all(n <= 20 for n, _ in counted)
+
+
+def test_nan_and_infinity_are_paged(spark):
+    values = [(n, float("nan") if n % 3 == 0 else float("inf") if n % 7 == 0 else None if n % 5 == 0 else n * 31 % 800 / 2) for n in range(900)]
+    frame = spark.createDataFrame(values, "id int, v double").repartition(4)
+    for ascending in (True, False):
+        for offset in (250, 600):
+            order = keys(("v", ascending), ("id", True))
+            page = paging.page_rows(frame, order, offset, 30, direct=20)
+            plain = paging.sort_rows(frame, order).offset(offset).limit(30)
+            assert [r["id"] for r in page.collect()] == [r["id"] for r in plain.collect()]
+
+
+def test_the_fetch_names_a_range_of_the_sort_column(store):
+    collections, _ = store
+    placed, file, row = paging.with_positions(collections.open("hero_stats"))
+    page = paging.fetch_page(placed, file, row, keys(("win_rate", True)), 250, 10, 100)
+    assert "GreaterThanOrEqual(win_rate" in physical_plan(page) and page.count() == 10
+
+
 @pytest.mark.parametrize("offset", [0, 10, 2590, 5990])
 def test_pages_of_a_table_with_very_many_tasks(skewed, offset, monkeypatch):
     monkeypatch.setattr(paging, "MERGED_ROWS", 300)
