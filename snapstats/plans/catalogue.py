@@ -15,6 +15,7 @@ from snapstats.plans import browse, continued, derived, discovery, refresh, repo
 from snapstats.schemas import bronze_counters, counter_record, envelope_schema
 from snapstats.session import scratch_path
 from snapstats.sinks.landing import build_envelopes, jsonable, land_records
+from snapstats.sinks.search_index import index_search, search_collection
 from snapstats.sinks.tables import read_collection, write_collection
 from snapstats.sources import landing, payload
 from snapstats.sources.collections import CollectionEntry, Collections, hero_dimension
@@ -620,6 +621,31 @@ def search_documents(spark, sf_dir):
     return filters.search(derived.table(spark, sf_dir, "documents"), "data").select("doc_id", "lang", "n_chars")
 
 
+def _indexed_search(spark: SparkSession, frame: DataFrame, text: str, nested: bool = False) -> DataFrame:
+    """The frame stored in several files with a sidecar, and searched through it."""
+    target = scratch_path(spark, "collections")
+    write_collection(frame, target, "searched", options={"maxRecordsPerFile": "20000"})
+    index_search(spark, target, "searched", nested)
+    return search_collection(spark, target, "searched", text, nested)
+
+
+@query
+def search_indexed(spark, sf_dir):
+    return _indexed_search(spark, derived.table(spark, sf_dir, "part"), "199")
+
+
+@query
+def search_indexed_documents(spark, sf_dir):
+    found = _indexed_search(spark, derived.table(spark, sf_dir, "documents"), "Data")
+    return found.select("doc_id", "lang", "n_chars")
+
+
+@query
+def search_indexed_nested(spark, sf_dir):
+    found = _indexed_search(spark, derived.event_records(spark, sf_dir), '"k":12', nested=True)
+    return found.select("event_id", F.col("props.k").alias("k"))
+
+
 @query
 def list_collections(spark, sf_dir):
     return browse.list_collections(_collections(spark, sf_dir))

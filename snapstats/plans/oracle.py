@@ -261,6 +261,16 @@ ORACLE_SQL |= {
     "search_documents": """
         SELECT doc_id, lang, n_chars FROM documents
         WHERE contains(lower(text), 'data') OR contains(lower(lang), 'data') OR contains(lower(source), 'data')""",
+    "search_indexed": """
+        SELECT * FROM part WHERE contains(p_partkey::VARCHAR, '199') OR contains(p_name, '199')
+           OR contains(p_brand, '199') OR contains(p_type, '199') OR contains(p_size::VARCHAR, '199')
+           OR contains(p_retailprice::VARCHAR, '199')""",
+    "search_indexed_documents": """
+        SELECT doc_id, lang, n_chars FROM documents
+        WHERE contains(lower(text), 'data') OR contains(lower(lang), 'data') OR contains(lower(source), 'data')""",
+    "search_indexed_nested": """
+        SELECT event_id, (props::JSON->>'k')::BIGINT AS k FROM events
+        WHERE (props::JSON->>'k')::BIGINT = 12 OR starts_with((props::JSON->>'k'), '12')""",
     "list_collections": COUNTS,
     "collections_nav": f"""
         SELECT min(position) OVER (PARTITION BY category) AS category_position, position, category, name,
