@@ -801,6 +801,33 @@ def refreshed_twice_events(spark, sf_dir):
     return read_collection(spark, _refreshed_twice(spark, sf_dir)[1], "badge_distribution")
 
 
+def _refreshed_variants(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """A refresh through variants; the values of errors are text, later files have a further field."""
+    root, target, bronze = (scratch_path(spark, label) for label in ("landing", "collections", "bronze"))
+    events, failed = derived.event_records(spark, sf_dir), F.col("event_type") == "error"
+    stamp = F.lit("2026-04-0{}T10:00:00+00:00")
+    numbers = events.where(~failed).withColumn("fetched_at", F.replace(stamp, F.lit("{}"), F.lit("5")))
+    texts = events.where(failed).withColumns({
+        "fetched_at": F.replace(stamp, F.lit("{}"), F.lit("6")), "value": F.concat(F.lit("none for "), "event_id"), "late": F.col("event_id") % 3})
+    for part in (numbers.withColumn("value", F.col("event_id") % 100), texts):
+        land_records(part, root, "badge_distribution", max_records=100_000)
+    land_records(derived.history_records(spark, sf_dir).withColumn("fetched_at", F.lit("2026-04-05T10:00:00+00:00")), root, "match_history")
+    names = {"badge_distribution": "generic", "match_history": "shallow", "player_scoreboards": "shallow"}
+    report = refresh.refresh_collections(spark, root, target, names, bronze=bronze)
+    return report.select("endpoint", "mode", "status", "rows", "message", "rejected", "corrupt"), target
+
+
+@query
+def refreshed_variants(spark, sf_dir):
+    return _refreshed_variants(spark, sf_dir)[0]
+
+
+@query
+def refreshed_variants_drift(spark, sf_dir):
+    """Numbers and text of one field, all kept."""
+    return read_collection(spark, _refreshed_variants(spark, sf_dir)[1], "badge_distribution")
+
+
 def _months(spark: SparkSession, sf_dir: str, condition: str) -> DataFrame:
     """Hero envelopes of the months for which ``condition`` holds of year ``y`` and month ``m``."""
     envelopes = derived.hero_envelopes(spark, sf_dir)

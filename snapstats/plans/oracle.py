@@ -409,3 +409,15 @@ ORACLE_SQL |= {
         FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS n, count(*) OVER () AS total FROM orders)
         WHERE 1 + (n - 1) // 200 IN (1, 7, 70, 75, 76)""",
 }
+
+ORACLE_SQL["refreshed_variants"] = """
+    SELECT 'badge_distribution' AS endpoint, 'generic' AS mode, 'OK' AS status, count(*)::BIGINT AS rows, '' AS message,
+           0::BIGINT AS rejected, 0::BIGINT AS corrupt FROM events
+    UNION ALL SELECT 'match_history', 'shallow', 'OK', count(*)::BIGINT, '', 0, 0 FROM lineitem
+    UNION ALL SELECT 'player_scoreboards', 'shallow', 'SKIP', NULL, 'folder not found or empty', NULL, NULL"""
+ORACLE_SQL["refreshed_variants_drift"] = """
+    SELECT event_id, event_type, (props::JSON->>'k')::BIGINT AS props_k,
+           CASE WHEN event_type = 'error' THEN '2026-04-06T10:00:00+00:00' ELSE '2026-04-05T10:00:00+00:00' END AS fetched_at,
+           CASE WHEN event_type = 'error' THEN 'none for ' || event_id ELSE (event_id % 100)::VARCHAR END AS value,
+           CASE WHEN event_type = 'error' THEN event_id % 3 END AS late
+    FROM events"""

@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -15,6 +16,7 @@ from snapstats.operators.shape import MissingPayload, generic, shallow
 from snapstats.schemas import counter_record, envelope_schema
 from snapstats.sinks.tables import write_collection
 from snapstats.sources.landing import CORRUPT, scan_endpoint
+from snapstats.sources.variants import land_variants, variant_envelopes
 
 REPORT_SCHEMA = "endpoint string, mode string, status string, rows bigint, message string, seconds double, rejected bigint, corrupt bigint"
 COUNTER_KEYS = {"hero": "hero_id", "item": "item_id"}
@@ -58,6 +60,7 @@ def refresh_endpoint(
     mode: str,
     schema: StructType | None = None,
     stamps: str = "utc",
+    bronze: str | None = None,
     **sink,
 ) -> tuple:
     """One endpoint from landing to collection, as a report row.  Errors end up in the row.
@@ -65,6 +68,8 @@ def refresh_endpoint(
     Stamps that are not in UTC ISO format are an error, unless ``stamps`` is ``"text"`` or ``"lenient"``.
     The row also tells how many envelopes held a value that does not fit its declared type (``rejected``; the value
     counts as null), and how many files were no readable envelope at all (``corrupt``).
+    With ``bronze``, an endpoint without a schema is first landed there as VARIANT records: its JSON is read once, and no
+    schema is inferred.
     """
     started = time.monotonic()
 
@@ -75,6 +80,15 @@ def refresh_endpoint(
     try:
         if schema is None and mode in COUNTER_KEYS:
             schema = envelope_schema(counter_record(COUNTER_KEYS[mode]), legacy=mode == "hero")
+        if schema is None and bronze is not None:
+            try:
+                landed = land_variants(spark, root, bronze, endpoint)
+                result = process(variant_envelopes(spark, bronze, endpoint), mode)
+            except AnalysisException:
+                return row("SKIP", message="folder not found or empty")
+            except MissingPayload as missing:
+                return row("SKIP", message=str(missing))
+            return row("OK", write_collection(result, target, endpoint, **sink), bad=landed._asdict())
         scan = scan_endpoint(spark, root, endpoint, schema, corrupt=True)
         if scan.frame is None:
             return row(scan.status, message=scan.message)
@@ -98,6 +112,7 @@ def refresh_collections(
     schemas: dict[str, StructType] | None = None,
     parallel: int = 4,
     stamps: str = "utc",
+    bronze: str | None = None,
     **sink,
 ) -> DataFrame:
     """Refresh all endpoints and return the run report, one row per endpoint in registry order.
@@ -110,7 +125,7 @@ def refresh_collections(
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         rows = list(
             pool.map(
-                lambda item: refresh_endpoint(spark, root, target, *item, schemas.get(item[0]), stamps, **sink),
+                lambda item: refresh_endpoint(spark, root, target, *item, schemas.get(item[0]), stamps, bronze, **sink),
                 endpoints.items(),
             )
         )

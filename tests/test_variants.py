@@ -1,0 +1,103 @@
+"""Records landed as variants: types merged by the landing, nothing inferred, drifting fields whole."""
+
+import json
+import os
+
+import pytest
+from frames import values
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DecimalType, DoubleType, LongType, NullType, StringType, StructField, StructType, VariantType
+
+from snapstats.fixed_values import ENDPOINT_MODES
+from snapstats.plans import refresh
+from snapstats.sinks.tables import read_collection
+from snapstats.sources import variants
+
+STAMP = "2026-01-0{}T00:00:00+00:00"
+
+
+def put(root, endpoint, name, day, data, **more):
+    folder = os.path.join(root, "raw", endpoint, os.path.dirname(name))
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(root, "raw", endpoint, name), "w") as out:
+        json.dump({"fetched_at": STAMP.format(day), "data": data, **more}, out, indent=1)
+
+
+def test_types_of_drifting_fields(spark, tmp_path):
+    root, bronze = str(tmp_path / "landing"), str(tmp_path / "bronze")
+    put(root, "x", "a/1.json", 1, [{"id": 1, "v": 1, "n": 1, "o": {"c": "t"}, "odd `n.m`": 5, "none": None, "VARIANT": 1}, {"id": 2, "v": "text"}])
+    put(root, "x", "2.json", 2, [{"id": 3, "v": {"z": [1, 2]}, "n": 1.5, "o": {"c": "u", "d": True}}, {"id": 12345678901234567890123, "l": [1, "a"]}])
+    done = variants.land_variants(spark, root, bronze, "x")
+    assert (done.records, done.rejected, done.corrupt, done.version.rows) == (4, 0, 0, 4)
+    rows = variants.variant_envelopes(spark, bronze, "x")
+    record = rows.schema["data"].dataType.elementType
+    assert {f.name: f.dataType.simpleString() for f in record} == {
+        "id": "decimal(38,0)", "v": "string", "n": "double", "o": "struct<c:string,d:boolean>", "odd `n.m`": "bigint", "none": "string",
+        "VARIANT": "bigint", "l": "array<string>"}
+    flat = refresh.process(rows, "generic")
+    assert values(flat, "fetched_at", F.col("id").cast("string"), "v", "n", "o_c", "o_d", "`odd ``n.m```") == sorted([
+        (STAMP.format(1), "1", "1", 1.0, "t", None, 5), (STAMP.format(1), "2", "text", None, None, None, None),
+        (STAMP.format(2), "12345678901234567890123", None, None, None, None, None), (STAMP.format(2), "3", '{"z":[1,2]}', 1.5, "u", True, None)])
+
+
+def test_what_is_no_record(spark, tmp_path):
+    root, bronze = str(tmp_path / "landing"), str(tmp_path / "bronze")
+    put(root, "x", "1.json", 1, [{"id": 1}, None, 7])
+    put(root, "x", "2.json", 1, {"id": 2})
+    put(root, "x", "3.json", 1, None)
+    put(root, "x", "4.json", 1, [])
+    with open(os.path.join(root, "raw", "x", "5.json"), "w") as out:
+        out.write('{"fetched_at": "br')
+    done = variants.land_variants(spark, root, bronze, "x")
+    assert (done.records, done.rejected, done.corrupt) == (3, 1, 1)
+    with pytest.raises(variants.MissingPayload):  # 7 is no record, so the merged type is none
+        variants.variant_envelopes(spark, bronze, "x")
+    declared = variants.variant_envelopes(spark, bronze, "x", StructType([StructField("id", LongType())]))
+    assert values(refresh.process(declared, "shallow"), "id") == [(1,), (None,), (None,)]
+
+
+def test_landings_add_up(spark, tmp_path):
+    root, bronze = str(tmp_path / "landing"), str(tmp_path / "bronze")
+    put(root, "x", "1.json", 1, [{"id": 1, "v": 1}])
+    variants.land_variants(spark, root, bronze, "x")
+    put(root, "x", "2.json", 2, [{"id": 2, "v": "two", "w": 0.5}])
+    done = variants.land_variants(spark, root, bronze, "x", [os.path.join(root, "raw", "x", "2.json")], append=True)
+    assert done.version.rows == 2 and done.records == 1
+    both = refresh.process(variants.variant_envelopes(spark, bronze, "x"), "shallow")
+    assert values(both, "id", "v", "w") == [(1, "1", None), (2, "two", 0.5)]
+    whole = variants.land_variants(spark, root, str(tmp_path / "again"), "x").version
+    assert variants.described_type_of(whole) == variants.described_type_of(done.version)
+
+
+@pytest.mark.parametrize("one, two, both", [
+    (LongType(), NullType(), LongType()), (LongType(), StringType(), VariantType()), (LongType(), DecimalType(2, 1), DecimalType(21, 1)),
+    (DecimalType(38, 2), DecimalType(38, 0), DoubleType()), (DoubleType(), LongType(), DoubleType()),
+    (ArrayType(LongType()), ArrayType(StringType()), ArrayType(VariantType())), (ArrayType(LongType()), StructType(), VariantType()),
+])
+def test_wider(one, two, both):
+    assert variants.wider(one, two) == both and variants.wider(two, one) == both
+
+
+def test_all_endpoints_without_inference(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "landing")
+    for endpoint in ENDPOINT_MODES:
+        key = {"hero": "hero_id", "item": "item_id"}.get(ENDPOINT_MODES[endpoint], "id")
+        put(root, endpoint, "a/1.json", 1, [{key: 1, "wins": 1, "losses": 1, "matches": 2, "deep": {"x": 1}, "late": "a"}])
+        put(root, endpoint, "b/2.json", 2, [{key: 2, "wins": 3, "losses": 1, "matches": 4, "deep": {"x": 2}, "more": 1.5, "late": 2}])
+    plain = refresh.refresh_collections(spark, root, str(tmp_path / "plain"))
+    reader = type(spark.read)
+    declared, real = [], (reader.schema, reader.json)
+    monkeypatch.setattr(reader, "schema", lambda self, s: (declared.append(self), real[0](self, s))[1])
+    monkeypatch.setattr(reader, "json", lambda self, *a, **k: real[1](self, *a, **k) if any(d is self for d in declared) else 1 / 0)
+    once = refresh.refresh_collections(spark, root, str(tmp_path / "once"), bronze=str(tmp_path / "bronze"))
+    columns = ("endpoint", "mode", "status", "rows", "message")
+    assert values(once, *columns) == values(plain, *columns) and once.where("status = 'OK'").count() == len(ENDPOINT_MODES)
+    for endpoint in ENDPOINT_MODES:
+        a, b = (read_collection(spark, str(tmp_path / name), endpoint) for name in ("plain", "once"))
+        assert a.schema == b.schema, endpoint
+        assert values(a) == values(b), endpoint
+
+
+def test_absent_endpoint(spark, tmp_path):
+    report = refresh.refresh_collections(spark, str(tmp_path / "none"), str(tmp_path / "t"), {"x": "generic"}, bronze=str(tmp_path / "b"))
+    assert values(report, "status", "message") == [("SKIP", "folder not found or empty")]
