@@ -6,10 +6,10 @@ expectation-maximisation on a tenth of the training documents, whose own counts
 The end of a text is a token; it is also what comes before the first word.
 
 Tokens are never shuffled one by one.  Documents are read into batches of about a million tokens, each a dictionary
-of word hashes and the places of its tokens in it, stored bucketed by batch.  A batch sends the counts of its
-distinct words and word pairs to the shard of each hash, so that a word of any frequency is one entry per batch; a
-shard adds them up and replies to every batch with the corpus' counts of just its entries; the join of replies and
-batches moves only the replies.  The number of shards grows with the number of tokens.
+of word hashes and the places of its tokens in it, stored bucketed by batch; no table stays in the catalogue.  A batch
+sends the counts of its distinct words and word pairs to the shard of each hash, so that a word of any frequency is one
+entry per batch; a shard adds them up and replies to every batch with the corpus' counts of just its entries; the join
+of replies and batches moves only the replies.  The number of shards grows with the number of tokens.
 
 Null and empty texts are an end token only.  A null doc_id belongs to the training part.  Rows that repeat an id
 are scored one by one.  Without training text every weight is on the uniform part.
@@ -92,7 +92,9 @@ def batches(docs: DataFrame, held_out: Column) -> DataFrame:
     name = f"llm_batches_{uuid.uuid4().hex}"
     rows.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "batch").option(
         "path", scratch_path(spark, "batches")).saveAsTable(name)
-    return spark.table(name)
+    stored = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the catalogue's entry only: the files lie at a path of their own
+    return stored
 
 
 def pair_keys(words: np.ndarray, tokens: np.ndarray) -> np.ndarray:

@@ -4,9 +4,12 @@ Each set is sketched by ``BANDS`` keys of ``ROWS`` minima each; sets that share
 similarity j does with chance 1 - (1 - j^ROWS)^BANDS: at 0.8 all but one pair in a million (6e-7), and fewer are missed above.
 Candidates are then verified by their exact sets.  Only pairs of different groups (``label``) are of interest, so
 keys within one group are left at once.  A small bucket of a key is expanded into pairs; in a large one tasks walk
-from set to set over those not reached yet, by pairs of blocks, as `simhash` does with fingerprints.
+from set to set over those not reached yet, by pairs of blocks, as `simhash` does with fingerprints.  A block holds about
+``BLOCK`` sets or ``GRAMS`` shingles, whichever are fewer, so that long texts make more blocks and not larger ones.
 
-Words are those of the fingerprints.  Texts of fewer than five words have no shingles and are similar to nothing.
+Words are those of the fingerprints.  Texts of fewer than five words have no shingles and are similar to nothing,
+null and empty ones among them.  Null ids and repeated rows are as good as others: rows of one text are one set, and a set
+is compared once per label.  Empty tables have no links.  Texts of any length are read whole; one set must fit a task.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from snapstats.llm.common import byte_words, row_key, stage
 
 WORDS, LEAST = 5, 0.8
 BANDS, ROWS = 20, 3
-SMALL, BLOCK = 24, 1024
+SMALL, BLOCK, GRAMS = 24, 1024, 1 << 22
 CHUNK = 1 << 12
 
 
@@ -108,8 +111,9 @@ def links(docs: DataFrame, groups: DataFrame, least: float = LEAST) -> DataFrame
     named = sketched.join(groups.select("_k1", "_k2", "label").distinct(), ["_k1", "_k2"])
     nodes = stage(named.dropDuplicates(["s", "label"]), "similar-sets")
     keyed = nodes.select("s", "label", "n", F.explode("bands").alias("key"))
-    keys = stage(keyed.groupBy("key").agg(F.count("*").alias("m"), F.min("label").alias("lo"), F.max("label").alias("hi")).where(
-        "lo <> hi").select("key", "m"), "similar-keys")
+    keys = stage(keyed.groupBy("key").agg(
+        F.count("*").alias("m"), F.sum("n").alias("held"), F.min("label").alias("lo"), F.max("label").alias("hi")).where(
+        "lo <> hi").select("key", "m", "held"), "similar-keys")
     met = stage(keyed.join(keys, "key"), "similar-buckets")
     few = met.where(F.col("m") <= SMALL).select("key", "s", "label", "n")
     other = few.select("key", *[F.col(c).alias(f"{c}_2") for c in ("s", "label", "n")])
@@ -124,7 +128,7 @@ def links(docs: DataFrame, groups: DataFrame, least: float = LEAST) -> DataFrame
     both = F.size(F.array_intersect("grams", "grams_2"))
     close = pairs.join(sets, "s").join(sets.select(F.col("s").alias("s_2"), F.col("grams").alias("grams_2")), "s_2").where(
         both >= F.lit(least) * (F.size("grams") + F.size("grams_2") - both)).select(F.col("label").alias("a"), F.col("label_2").alias("b"))
-    blocks = F.ceil(F.col("m") / F.lit(BLOCK)).cast("int")
+    blocks = F.greatest(F.ceil(F.col("m") / F.lit(BLOCK)), F.ceil(F.col("held") / F.lit(GRAMS))).cast("int")
     spread = many.select("key", "s", "label", blocks.alias("n"), F.pmod(F.xxhash64("s", "label"), blocks).cast("int").alias("own"))
     dealt = spread.select("key", "s", "label", "own", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other")).select(
         "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "s", "label")

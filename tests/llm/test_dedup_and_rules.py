@@ -171,13 +171,14 @@ def similarity(a, b):
     return len(a & b) / max(1, len(a | b))
 
 
-@pytest.mark.parametrize("small", [24, 1])
-def test_keep_one_reaches_five_word_similarity(spark, monkeypatch, small):
+@pytest.mark.parametrize("small, block, grams", [(24, 3, 1 << 22), (1, 3, 1 << 22), (1, 1024, 700)])
+def test_keep_one_reaches_five_word_similarity(spark, monkeypatch, small, block, grams):
     """Texts at 0.8 or a little more, far apart by fingerprint, and some just below: as by brute force."""
     from snapstats.llm import similar
 
     monkeypatch.setattr(similar, "SMALL", small)
-    monkeypatch.setattr(similar, "BLOCK", 3)
+    monkeypatch.setattr(similar, "BLOCK", block)
+    monkeypatch.setattr(similar, "GRAMS", grams)
     rng = random.Random(4)
     rows = []
     for _ in range(25):
@@ -205,3 +206,19 @@ def test_keep_one_reaches_five_word_similarity(spark, monkeypatch, small):
     assert far > 10
     kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {r["doc_id"] for r in kept.collect()} == {root(i) for i in range(len(rows))}
+
+
+def test_similarity_of_odd_rows(spark, odd_docs):
+    """Null ids and texts, repeated rows, short texts; each row a label of its own."""
+    from pyspark.sql import functions as F
+
+    from snapstats.llm import similar
+    from snapstats.llm.common import row_key
+
+    long = " ".join(f"w{k}" for k in range(200))
+    rows = [(None, long), (None, long), (1, long + " end"), (2, None), (3, ""), (4, "a b c d"), (5, "a b c d"), (6, long.upper())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    groups = docs.select(*row_key(), F.coalesce("doc_id", F.lit(0)).alias("label"))
+    found = {tuple(sorted(r)) for r in similar.links(docs, groups).collect()}
+    assert found == {(0, 1), (0, 6), (1, 6)}
+    assert similar.links(docs.where("false"), groups.where("false")).count() == 0

@@ -164,6 +164,7 @@ def test_language_model_on_documents(spark, sf_dir, documents):
     same(out, base_rows(documents, held_out))
     held = out.where("held_out").selectExpr("sum(score) / sum(n_tokens)", "sum(base_score) / sum(n_tokens)").first()
     assert held[0] > held[1]
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("llm_batches")]
 
 
 def test_language_model_matches_its_formula(spark, documents, monkeypatch):
