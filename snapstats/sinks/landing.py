@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -22,6 +23,11 @@ MAX_RECORDS = 50_000
 MAX_BYTES = 64 << 20
 #: Shares of a stamp for each envelope that it fills, so that few shares need a second envelope.
 SLACK = 1.25
+#: Bytes of JSON that a task of the landing write is given, so that wider tables mean more tasks, not larger ones.
+TASK_BYTES = 32 << 20
+#: Hash of stamp, suffix and share, by which records move.  Stamp and suffix may be constants, which Spark strikes from
+#: the keys of a grouping but not from those of a partitioning: by them the records would move twice.
+PLACE = "fetched_at_place"
 RENAMES = 16
 
 
@@ -58,9 +64,9 @@ def build_envelopes(
     readers take all parts of a stamp as one input.  None holds more records, nor more bytes than ``max_bytes``
     and one record.
 
-    The records move once.  Within an input partition they are sorted by content, so a task that runs again
-    numbers them alike; the numbers deal even equal records out over the shares of their stamp.  In its share a
-    record goes to the envelope that the running sums of records and bytes before it name.
+    The records move once.  The hash of its content and input partition deals a record to a share of its stamp, so a
+    task that runs again deals alike, and equal records of many partitions spread.  In its share a record goes to
+    the envelope that the running sums of records and bytes before it name, in order of content.
     """
     group = ["fetched_at", "_suffix"]
     fields = [f for f in records.schema if f.name not in ("fetched_at", suffix)]
@@ -72,15 +78,16 @@ def build_envelopes(
     # the hash stands for stamp and suffix, nulls included; groups of equal hash only get more shares
     keyed = rows.withColumns({"_key": F.xxhash64(*group), "_json": F.to_json("_record", {"ignoreNullFields": "false"})})
     filled = F.greatest(F.sum(F.octet_length("_json")) / max_bytes, F.count(F.lit(1)) / max_records)
-    sizes = keyed.groupBy("_key").agg(filled.alias("_filled")).where(F.col("_filled") > 1)
-    oversize = sizes.select("_key", F.ceil(F.col("_filled") * SLACK).alias("_shares")).persist(StorageLevel.DISK_ONLY)
+    sizes = keyed.groupBy("_key").agg(filled.alias("_filled"), F.sum(F.octet_length("_json")).alias("_size")).persist(StorageLevel.DISK_ONLY)
+    width = _width(rows, sizes.agg(F.sum("_size")).first()[0] or 0)
+    oversize = sizes.where(F.col("_filled") > 1).select("_key", F.ceil(F.col("_filled") * SLACK).alias("_shares"))
     if is_small(oversize, 0):
-        oversize.unpersist()
-        parts, whole = ["_share"], rows.withColumn("_share", F.lit(0)).repartition(_width(rows), *group, "_share")
+        sizes.unpersist()
+        parts, whole = [], rows.withColumn(PLACE, F.xxhash64(*group)).repartition(width, PLACE)
     else:
-        parts, whole = ["_share", "_by_rows", "_by_bytes"], _split(keyed, oversize, group, max_records, max_bytes)
+        parts, whole = ["_share", "_by_rows", "_by_bytes"], _split(keyed, oversize, group, max_records, max_bytes, width)
     return (
-        whole.groupBy(*group, *parts)
+        whole.groupBy(PLACE, *group, *parts)
         .agg(F.collect_list("_record").alias("data"))
         .select(
             "fetched_at",
@@ -92,17 +99,17 @@ def build_envelopes(
     )
 
 
-def _width(frame: DataFrame) -> int:
-    """Tasks of the landing write: the session's shuffle width, and at least one per core.
+def _width(frame: DataFrame, size: int) -> int:
+    """Tasks of the landing write: the session's shuffle width, at least one per core and per ``TASK_BYTES``.
 
     Files cost time by number rather than by size, so small partitions must not be merged into few tasks.
     """
     spark = frame.sparkSession
     width = spark.conf.get("spark.sql.shuffle.partitions")
-    return max(int(width) if width.isdigit() else 0, spark.sparkContext.defaultParallelism)
+    return max(int(width) if width.isdigit() else 0, spark.sparkContext.defaultParallelism, math.ceil(size / TASK_BYTES))
 
 
-def _split(keyed: DataFrame, oversize: DataFrame, group: list[str], max_records: int, max_bytes: int) -> DataFrame:
+def _split(keyed: DataFrame, oversize: DataFrame, group: list[str], max_records: int, max_bytes: int, width: int) -> DataFrame:
     """The records, moved to their shares, with the numbers that name their envelope there."""
     hashes = {"_h1": F.xxhash64("_json"), "_h2": F.xxhash64(F.lit(1), "_json")}
     sized = keyed.withColumns({"_bytes": F.octet_length("_json").cast("bigint"), **hashes}).drop("_json")
@@ -110,11 +117,12 @@ def _split(keyed: DataFrame, oversize: DataFrame, group: list[str], max_records:
         known = sized.join(F.broadcast(oversize), "_key", "left")
     else:
         known = even_join(sized, oversize, ["_key"], "left")
-    # numbered in an order in which only equal records of one stamp can change places
-    turns = known.sortWithinPartitions(*group, "_h1", "_h2").withColumn("_turn", F.monotonically_increasing_id())
-    dealt = turns.withColumn("_share", F.pmod(F.xxhash64("_turn"), F.coalesce("_shares", F.lit(1))))
-    moved = dealt.select(*group, "_share", "_turn", "_bytes", "_record").repartition(_width(dealt), *group, "_share")
-    ahead = Window.partitionBy(*group, "_share").orderBy("_turn")
+    content = ["_h1", "_h2"]
+    share = F.pmod(F.xxhash64(F.spark_partition_id(), *content), F.coalesce("_shares", F.lit(1)))
+    dealt = known.select(*group, share.alias("_share"), *content, "_bytes", "_record")
+    moved = dealt.withColumn(PLACE, F.xxhash64(*group, "_share")).repartition(width, PLACE)
+    # an order in which only equal records of one stamp can change places
+    ahead = Window.partitionBy(PLACE, *group, "_share").orderBy(*content)
     before = F.sum("_bytes").over(ahead.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_bytes")
     return moved.withColumns(
         {"_by_bytes": F.floor(before / max_bytes), "_by_rows": F.floor((F.row_number().over(ahead) - 1) / max_records)}
@@ -145,21 +153,39 @@ def write_envelopes(envelopes: DataFrame, root: str, endpoint: str) -> None:
         .json(f"{place}/{draft}")
     )
     names = {n: unquote(n.split("=", 1)[1]) for n in file_names(spark, place, draft) if n.startswith("_to=")}
+    folders = sorted({name.rsplit("/", 1)[0] for name in names.values()})
     with ThreadPoolExecutor(max_workers=RENAMES) as pool:
-        list(pool.map(lambda n: _commit(spark, place, f"{draft}/{n}", names[n]), names))
+        there = dict(zip(folders, pool.map(lambda f: _landed(spark, place, f), folders), strict=True))
+        list(pool.map(lambda n: _commit(spark, place, f"{draft}/{n}", names[n], there[names[n].rsplit("/", 1)[0]]), names))
     fs, path = file_system(spark, place, draft)
     fs.delete(path, True)
 
 
-def _commit(spark: SparkSession, place: str, draft: str, name: str) -> None:
+def _landed(spark: SparkSession, place: str, folder: str) -> dict[str, list[str]]:
+    """What a day's folder holds, by the name that it was landed as; folders of the older layout by their own.
+
+    Listed once for all envelopes of the day: they may be many, and so may be the files.
+    """
+    fs, path = file_system(spark, place, folder)
+    fs.mkdirs(path)
+    found: dict[str, list[str]] = {}
+    for file in file_names(spark, place, folder):
+        base = file.removesuffix(".json")
+        if base != file:
+            for name in {base, re.sub(r"_part\d+$", "", base)}:
+                found.setdefault(name, []).append(file)
+    for older in file_names(spark, place, f"fetch_date={folder.replace('/', '-')}"):
+        found[older] = []
+    return found
+
+
+def _commit(spark: SparkSession, place: str, draft: str, name: str, landed: dict[str, list[str]]) -> None:
     """Move the files of one name to where they belong, in place of those there."""
     folder, base = name.rsplit("/", 1)
-    day = folder.replace("/", "-")
-    fs, old = file_system(spark, place, f"fetch_date={day}", f"file={base}")
-    fs.delete(old, True)
-    mine = re.compile(rf"{re.escape(base)}(_part\d+)?\.json")
-    there = [n for n in file_names(spark, place, folder) if mine.fullmatch(n)]
-    fs.mkdirs(file_system(spark, place, folder)[1])
+    fs = file_system(spark, place)[0]
+    if f"file={base}" in landed:
+        fs.delete(file_system(spark, place, f"fetch_date={folder.replace('/', '-')}", f"file={base}")[1], True)
+    there = landed.get(base, [])
     for number, file in enumerate((n for n in file_names(spark, place, draft) if n.startswith("part-")), 1):
         to = f"{base}.json" if number == 1 else f"{base}_part{number}.json"
         target = file_system(spark, place, folder, to)[1]

@@ -1,5 +1,6 @@
 import json
 import os
+import re
 
 from pyspark.sql import functions as F
 
@@ -217,3 +218,30 @@ def test_supplied_schema_or_inferred(spark, tmp_path):
     assert set(shape.shallow(inferred).columns) == {"fetched_at", "match_id", "other"}
     declared = landing.read_endpoint(spark, str(tmp_path), "e", schema=envelope_schema(HISTORY_RECORD))
     assert values(shape.shallow(declared)) == [(STAMP, None, 1, None)]
+
+
+def test_a_day_is_listed_once_for_all_its_envelopes(spark, tmp_path, monkeypatch):
+    def land(n):
+        records = spark.range(n).select(F.lit(STAMP).alias("fetched_at"), F.col("id").alias("v"), F.concat(F.lit("_batch"), F.col("id") % 20).alias("s"))
+        sink.land_records(records, str(tmp_path), "e", suffix="s", max_records=10)
+
+    land(400)
+    before = tmp_path / "raw" / "e" / f"fetch_date={STAMP[:10]}" / "file=100000_batch3"
+    before.mkdir(parents=True)
+    (before / "part-0.json").write_text(json.dumps(envelope([{"v": -1}])))  # the older layout
+    listed, real = [], sink.file_names
+    monkeypatch.setattr(sink, "file_names", lambda s, *parts: listed.append(parts[-1]) or real(s, *parts))
+    land(100)
+    assert listed.count(STAMP[:10].replace("-", "/")) == 1
+    assert sorted(values(shape.shallow(landing.read_endpoint(spark, str(tmp_path), "e")), "v")) == [(n,) for n in range(100)]
+    assert not before.exists()
+
+
+def test_wider_tables_land_in_more_tasks_of_one_size(spark, monkeypatch):
+    monkeypatch.setattr(sink, "TASK_BYTES", 10_000)
+    records = spark.range(20_000).select((F.col("id") % 40).cast("string").alias("fetched_at"), F.col("id").alias("v"))
+    for most in (100, 50_000):  # stamps of many envelopes, and of one
+        plan = physical_plan(sink.build_envelopes(records, "e", max_records=most))
+        width, below = re.search(r"Exchange hashpartitioning\(fetched_at[^)]*, (\d+)\)(.*)", plan, re.DOTALL).groups()
+        assert int(width) >= 20_000 * 8 // 10_000 and plan.count("Exchange hashpartitioning(fetched_at") == 1
+        assert "Sort" not in below  # whole input partitions are not sorted
