@@ -134,12 +134,21 @@ def page_rows(
     them the page lies, and only that range is sorted.  The values come from a quantile sketch around the page, so
     that one pass for the sketch and one that counts leave a few thousandths of the rows.  A pass reads one column
     and returns a few numbers.  When one value holds many rows, the next sort column narrows within it.
+
+    A large page (more rows than ``direct`` and than the sketch has steps) never passes through one task: the rows between
+    two counted values that both lie in it are taken whole, by their values, and only its two ends are narrowed.
     """
-    if not keys or _fits(offset, count, direct, tasks):
+    if not keys or (_fits(offset, count, direct, tasks) and not _large(count, direct)):
         return sort_rows(frame, keys).offset(offset).limit(count)
+    if _large(count, direct):
+        return sort_rows(_narrow(frame, keys, 0, offset, count, direct, tasks), keys)
     return _narrow(frame, keys, 0, offset, count, direct, tasks)
 
 
+def _large(count: int, direct: int) -> bool:
+    return count > max(direct, QUANTILES)
+
+
 def _fits(offset: int, count: int, direct: int, tasks: int, rows: int | None = None) -> bool:
     """Whether a top-k is light: few rows kept per task, and few merged (no more than there are)."""
     merged = tasks * (offset + count)
@@ -147,18 +156,27 @@ def _fits(offset: int, count: int, direct: int, tasks: int, rows: int | None = N
 
 
 def _narrow(
-    frame: DataFrame, keys: list[SortKey], at: int, offset: int, count: int, direct: int, tasks: int
+    frame: DataFrame, keys: list[SortKey], at: int, offset: int, count: int, direct: int, tasks: int, rows: int | None = None
 ) -> DataFrame:
+    end = rows is not None  # of a large page, whose parts need no order
+    if end and offset == 0 and count >= rows:
+        return frame
     if at == len(keys):  # rows equal in every column: any of them will do, but as many must be passed over
         return frame.offset(offset).limit(count)
-    key, rows = keys[at], None
+    key = keys[at]
     for seed in range(MAX_PASSES):
-        if _fits(offset, count, direct, tasks, rows):
+        if _large(count, direct):
+            if offset == 0 and rows is not None and count >= rows:
+                return frame
+        elif _fits(offset, count, direct, tasks, rows) or (end and rows <= DIRECT_ROWS):
             break
         rows, spans = _count_spans(frame, key, _split_values(frame, key, seed, offset, count, rows))
         count = min(count, rows - offset)
         if count <= 0:
             return frame.limit(0)
+        within = [span for span in spans if span.before >= offset and span.through <= offset + count]
+        if _large(count, direct) and within:
+            return _whole_between(frame, keys, at, spans, within, rows, offset, count, direct, tasks)
         reached = [span for span in spans if span.before <= offset]
         beyond = [span for span in spans if span.before >= offset + count]
         if beyond:
@@ -167,7 +185,7 @@ def _narrow(
             low = reached[-1]
             if low.through <= offset:
                 frame, skipped = frame.where(key.after(low.value)), low.through
-            elif not _fits(offset - low.before, count, direct, tasks, low.through - low.before):
+            elif _large(count, direct) or not _fits(offset - low.before, count, direct, tasks, low.through - low.before):
                 return _inside_run(frame, keys, at, low, offset - low.before, count, direct, tasks)
             else:
                 frame, skipped = frame.where(key.same(low.value) | key.after(low.value)), low.before
@@ -175,6 +193,30 @@ def _narrow(
     return sort_rows(frame, keys[at:]).offset(offset).limit(count)
 
 
+def _whole_between(
+    frame: DataFrame, keys: list[SortKey], at: int, spans: list[Span], within: list[Span], rows: int,
+    offset: int, count: int, direct: int, tasks: int
+) -> DataFrame:
+    """A large page in no order: all rows from the first to the last value ``within`` it, and the page's rows around them."""
+    key, first, last = keys[at], within[0], within[-1]
+    parts = [frame.where((key.same(first.value) | key.after(first.value)) & (key.before(last.value) | key.same(last.value)))]
+    if first.before > offset:  # its start lies after a value counted before, or inside its run
+        head, skipped = frame.where(key.before(first.value)), 0
+        for low in [span for span in spans if span.before <= offset][-1:]:
+            after = low.through <= offset
+            head = head.where(key.after(low.value) if after else key.same(low.value) | key.after(low.value))
+            skipped = low.through if after else low.before
+        parts.insert(0, _narrow(head, keys, at, offset - skipped, first.before - offset, direct, tasks, first.before - skipped))
+    if last.through < offset + count:
+        tail, end = frame.where(key.after(last.value)), rows
+        for high in [span for span in spans if span.through > offset + count][:1]:
+            beyond = high.before >= offset + count
+            tail = tail.where(key.before(high.value) if beyond else key.before(high.value) | key.same(high.value))
+            end = high.before if beyond else high.through
+        parts.append(_narrow(tail, keys, at, 0, offset + count - last.through, direct, tasks, end - last.through))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 def _inside_run(
     frame: DataFrame, keys: list[SortKey], at: int, run: Span, offset: int, count: int, direct: int, tasks: int
 ) -> DataFrame:
@@ -185,6 +227,8 @@ def _inside_run(
     if inside == count:
         return first
     following = _narrow(frame.where(key.after(run.value)), keys, at, 0, count - inside, direct, tasks)
+    if _large(count, direct):
+        return first.unionByName(following)
     return sort_rows(first.unionByName(following), keys[at:]).limit(count)
 
 

@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -89,6 +90,25 @@ def test_pages_of_a_table_with_very_many_tasks(skewed, offset, monkeypatch):
     assert [tuple(r) for r in page.collect()] == expected_page(rows, [(1, False), (0, True)], offset, 25)
 
 
+@pytest.mark.parametrize("ascending", [True, False])
+@pytest.mark.parametrize("shown", ["int", "string"])
+def test_large_pages_are_whole_and_take_few_passes(skewed, shown, ascending, monkeypatch):
+    monkeypatch.setattr(paging, "DIRECT_ROWS", 40)
+    monkeypatch.setattr(paging, "QUANTILES", 100)
+    counted, real = [], paging._count_spans
+    monkeypatch.setattr(paging, "_count_spans", lambda *a: counted.append(1) or real(*a))
+    rows, frame = skewed
+    frame = frame.withColumn("v", F.col("v").cast(shown))
+    rows = [tuple(r) for r in frame.collect()]
+    for offset, count in ((1300, 1900), (3700, 9000)):
+        counted.clear()
+        page = paging.page_rows(frame, keys(("v", ascending), ("id", True)), offset, count, direct=10)
+        assert [tuple(r) for r in page.collect()] == expected_page(rows, [(1, ascending), (0, True)], offset, count)
+        assert len(counted) <= 25  # narrowing a large page by itself takes forty and more
+        # no task takes the page: limits are for its ends
+        assert all(int(n) <= 110 for n in re.findall(r"TakeOrderedAndProject\(limit=(\d+)", physical_plan(page)))
+
+
 def test_page_across_the_edges_of_a_hot_value(spark):
     rows = [(n, 1 if n < 50 else 2 if n < 950 else 3) for n in range(1000)]
     frame = spark.createDataFrame(rows, "id int, v int").repartition(4)
