@@ -3,11 +3,11 @@
 Every paragraph (line with a word; a line of more than ``WINDOW`` words is read in windows of that many, each half
 over the one before) becomes hashed word one- and two-grams; a sparse multinomial logistic regression
 tells licence families from the class ``unknown``.  It is fitted on variants of the templates (words left out, parts
-cut) against remarks that only sound like licences and at most ``SAMPLE_PARAGRAPHS`` paragraphs of at most
-``SAMPLE_DOCUMENTS`` documents (documented bounds, of lowest hash), half of which calibrate: a family must be at
-least as likely as the strictest ``1 - FALSE_RATE`` of those paragraphs.  A prediction then counts only if the
-paragraph shares at least ``OVERLAP`` of its two-grams (or of the template's, if that is shorter) with a template of
-that family.  Paragraphs without any two-gram of a template cannot be confirmed and are not scored.
+cut) against remarks that only sound like licences and every distinct paragraph of all documents that may be scored,
+half of which calibrate: a family must be at least as likely as the strictest ``1 - FALSE_RATE`` of those paragraphs.
+A prediction then counts only if the paragraph shares at least ``OVERLAP`` of its two-grams (or of the template's, if
+that is shorter) with a template of that family.  Paragraphs without any two-gram of a template cannot be confirmed: they
+are neither scored nor learned from.
 
 Null and empty texts have no paragraphs.  Rows equal in id and text are scanned once and reported each.  Documents
 that hold a licence stand among the background; those paragraphs are recognised by the templates and left out.
@@ -24,7 +24,6 @@ from snapstats.llm.common import row_key, stage, text_of
 from snapstats.llm.decontaminate import let
 
 FEATURES, FALSE_RATE, OVERLAP = 1 << 14, 0.001, 0.6
-SAMPLE_DOCUMENTS, SAMPLE_PARAGRAPHS = 400, 3000
 VARIANTS = 24
 WINDOW = 120
 #: A reservation of rights stands in the header of most licences: it names the licence only if nothing else does.
@@ -161,9 +160,16 @@ def paragraphs(docs: DataFrame, wanted=None) -> DataFrame:
     return rows.select("_k1", "_k2", F.explode_outer("lines").alias("words")).where(F.col("words").isNotNull())
 
 
-def training_rows(docs: DataFrame) -> DataFrame:
+def able_paragraphs(docs: DataFrame) -> DataFrame:
+    """Those that hold a two-gram of a template, without which they cannot be confirmed."""
+    known = _known(docs.sparkSession)
+    every = F.array(*[F.lit(g) for g in sorted({g for texts in known.values() for own in texts for g in own})])
+    return paragraphs(docs, lambda words: F.arrays_overlap(two_grams(words), every))
+
+
+def training_rows(able: DataFrame) -> DataFrame:
     """label (0 unknown, else the place of the family), words, and ``tune`` for the half that calibrates."""
-    spark = docs.sparkSession
+    spark = able.sparkSession
     place = {family: i + 1 for i, family in enumerate(TEMPLATES)}
     base = spark.createDataFrame(
         [(float(place[f]), t) for f, t in notices()] + [(0.0, t) for t in REMARKS], "label double, text string")
@@ -173,20 +179,19 @@ def training_rows(docs: DataFrame) -> DataFrame:
     cut = F.slice("all", 1, F.greatest(F.lit(2), F.size("all") - F.pmod("v", F.floor(F.size("all") / 2) + 1).cast("int")))
     varied = words.select("label", F.when(F.col("v") == 0, F.col("all")).when(F.col("v") % 2 == 1, thinned).otherwise(cut).alias("words"),
                           F.lit(False).alias("tune"))
-    some = docs.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(SAMPLE_DOCUMENTS)
-    lines = paragraphs(some).withColumn("h", F.xxhash64("words")).dropDuplicates(["h"]).orderBy("h").limit(SAMPLE_PARAGRAPHS)
+    lines = able.select("words", F.xxhash64("words").alias("h")).dropDuplicates(["h"])
     foreign = F.array_max(similarity(F.array_distinct(two_grams(F.col("words"))), _known(spark))) < 0.5
     background = lines.where(foreign).select(F.lit(0.0).alias("label"), "words", (F.pmod("h", F.lit(2)) == 0).alias("tune"))
     return varied.unionByName(background)
 
 
-def fit(docs: DataFrame) -> tuple[LogisticRegressionModel, float]:
-    """The model, and the least probability of a family that counts."""
-    rows = _featured(stage(training_rows(docs), "license-training").repartition(2))
+def fit(able: DataFrame) -> tuple[LogisticRegressionModel, float]:
+    """The model, and the least probability of a family that counts, of all paragraphs that may be scored."""
+    rows = _featured(stage(training_rows(able), "license-training"))
     model = LogisticRegression(family="multinomial", regParam=0.002, elasticNetParam=0.5, maxIter=60,
                                probabilityCol="chance").fit(rows.where("not tune"))
     best = F.array_max(F.slice(_chances(), 2, len(TEMPLATES)))
-    strict = model.transform(rows.where("tune")).agg(F.percentile(best, F.lit(1 - FALSE_RATE))).first()[0]
+    strict = model.transform(rows.where("tune")).agg(F.percentile_approx(best, 1 - FALSE_RATE, 1_000_000)).first()[0]
     return model, max(0.5, strict or 0.0)
 
 
@@ -200,9 +205,8 @@ def classified(docs: DataFrame) -> DataFrame:
     """Row key, family, chance and similarity of every confirmed paragraph."""
     spark = docs.sparkSession
     known = _known(spark)
-    model, least = fit(docs)
-    every = F.array(*[F.lit(g) for g in sorted({g for texts in known.values() for own in texts for g in own})])
-    able = paragraphs(docs, lambda w: F.arrays_overlap(two_grams(w), every))
+    able = stage(able_paragraphs(docs), "license-able")  # texts are read once for learning and scoring
+    model, least = fit(able)
     scored = model.transform(_featured(able)).select("_k1", "_k2", "words", _chances().alias("chances"))
     families = F.slice("chances", 2, len(TEMPLATES))
     best = F.array_max(families)

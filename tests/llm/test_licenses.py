@@ -87,3 +87,11 @@ def test_odd_and_empty_tables(odd_docs):
     got = licenses.scan(odd_docs)
     assert Counter(r["doc_id"] for r in got.collect()) == Counter(r[0] for r in odd.rows())
     assert licenses.scan(odd_docs.where("false")).count() == 0
+
+
+def test_the_background_is_every_paragraph_that_may_be_scored(spark):
+    texts = [f"the price number{n} rose to the level of the other day" for n in range(4000)] + ["no words in common"] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    rows = licenses.training_rows(licenses.able_paragraphs(docs)).where("label = 0 and exists(words, w -> w like 'number%')")
+    assert rows.select("words").distinct().count() == rows.count() == 4000
+    assert 0 < rows.where("tune").count() < 4000
