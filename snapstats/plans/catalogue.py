@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -717,13 +719,22 @@ def display_numbers(spark, sf_dir):
 # --- jobs --------------------------------------------------------------------------------------------
 
 
+def _together(*tasks: Callable[[], None]) -> None:
+    """Independent writes that share the cluster, so that none leaves it idle while its last tasks and renames run."""
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        for done in [pool.submit(task) for task in tasks]:
+            done.result()
+
+
 def _land_all(spark: SparkSession, sf_dir: str) -> str:
     root = scratch_path(spark, "landing")
-    land_records(derived.hero_snapshots(spark, sf_dir), root, "hero_stats")
-    land_records(derived.item_snapshots(spark, sf_dir), root, "item_stats")
-    land_records(derived.event_records(spark, sf_dir), root, "badge_distribution")
     history = derived.history_records(spark, sf_dir).withColumn("fetched_at", F.lit("2026-04-05T10:00:00+00:00"))
-    land_records(history, root, "match_history", max_records=20_000)
+    _together(
+        lambda: land_records(derived.hero_snapshots(spark, sf_dir), root, "hero_stats"),
+        lambda: land_records(derived.item_snapshots(spark, sf_dir), root, "item_stats"),
+        lambda: land_records(derived.event_records(spark, sf_dir), root, "badge_distribution"),
+        lambda: land_records(history, root, "match_history", max_records=20_000),
+    )
     return root
 
 
@@ -775,11 +786,15 @@ def _refreshed_twice(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
     history = derived.history_records(spark, sf_dir)
     reports = []
     for run, day in enumerate(("2026-04-05", "2026-04-06")):
-        land_records(heroes.where(F.substring("fetched_at", 6, 2).cast("int") % 2 == run), root, "hero_stats")
+        months = heroes.where(F.substring("fetched_at", 6, 2).cast("int") % 2 == run)
         some = history.where(F.col("line") % 2 == run).withColumn("fetched_at", F.lit(f"{day}T10:00:00+00:00"))
-        land_records(some, root, "match_history", max_records=10_000_000)
         kept = events.where(F.col("event_id") % 2 == run).withColumn("fetched_at", F.lit(f"{day}T10:00:00+00:00"))
-        land_records(kept.drop("value") if run == 0 else kept, root, "badge_distribution", max_records=10_000_000)
+        kept = kept.drop("value") if run == 0 else kept
+        _together(
+            functools.partial(land_records, months, root, "hero_stats"),
+            functools.partial(land_records, some, root, "match_history", max_records=10_000_000),
+            functools.partial(land_records, kept, root, "badge_distribution", max_records=10_000_000),
+        )
         done = continued.continue_collections(spark, root, target, state, names)
         reports.append(done.select(F.lit(run).alias("run"), "endpoint", "status", "how", "envelopes", "rows"))
     return landing.union_snapshots(reports), target
@@ -877,13 +892,18 @@ def _refreshed_replaced(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, st
     reports = []
     for run in range(3):
         if run == 0:
-            _one_file_each(_months(spark, sf_dir, "m <= 6"), f"{root}/raw/hero_stats/first")
-            _one_file_each(_months(spark, sf_dir, "m > 6 and y >= 1995"), f"{root}/raw/hero_stats/second")
-            land_records(history.where("line % 2 = 0"), root, "match_history", max_records=10_000_000)
-            land_records(history.where("line % 2 = 1").withColumn("fetched_at", F.lit("2026-04-06T10:00:00+00:00")), root, "match_history", max_records=10_000_000)
+            later = history.where("line % 2 = 1").withColumn("fetched_at", F.lit("2026-04-06T10:00:00+00:00"))
+            _together(
+                lambda: _one_file_each(_months(spark, sf_dir, "m <= 6"), f"{root}/raw/hero_stats/first"),
+                lambda: _one_file_each(_months(spark, sf_dir, "m > 6 and y >= 1995"), f"{root}/raw/hero_stats/second"),
+                lambda: land_records(history.where("line % 2 = 0"), root, "match_history", max_records=10_000_000),
+                lambda later=later: land_records(later, root, "match_history", max_records=10_000_000),
+            )
         elif run == 1:  # every file of the second folder goes, others come; one stamp's file is replaced
-            _one_file_each(_months(spark, sf_dir, "m = 7"), f"{root}/raw/hero_stats/second", "overwrite")
-            land_records(history.where("line % 4 = 2"), root, "match_history", max_records=10_000_000)
+            _together(
+                lambda: _one_file_each(_months(spark, sf_dir, "m = 7"), f"{root}/raw/hero_stats/second", "overwrite"),
+                lambda: land_records(history.where("line % 4 = 2"), root, "match_history", max_records=10_000_000),
+            )
         done = continued.continue_collections(spark, root, target, state, names)
         reports.append(done.select(F.lit(run).alias("run"), "endpoint", "status", "how", "rows"))
     return landing.union_snapshots(reports), target
