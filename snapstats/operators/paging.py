@@ -174,9 +174,8 @@ def _narrow(
         count = min(count, rows - offset)
         if count <= 0:
             return frame.limit(0)
-        within = [span for span in spans if span.before >= offset and span.through <= offset + count]
-        if _large(count, direct) and within:
-            return _whole_between(frame, keys, at, spans, within, rows, offset, count, direct, tasks)
+        if _large(count, direct) and any(_meets(span, offset, count) for span in spans):
+            return _whole_between(frame, keys, at, spans, rows, offset, count, direct, tasks)
         reached = [span for span in spans if span.before <= offset]
         beyond = [span for span in spans if span.before >= offset + count]
         if beyond:
@@ -185,7 +184,7 @@ def _narrow(
             low = reached[-1]
             if low.through <= offset:
                 frame, skipped = frame.where(key.after(low.value)), low.through
-            elif _large(count, direct) or not _fits(offset - low.before, count, direct, tasks, low.through - low.before):
+            elif not _fits(offset - low.before, count, direct, tasks, low.through - low.before):
                 return _inside_run(frame, keys, at, low, offset - low.before, count, direct, tasks)
             else:
                 frame, skipped = frame.where(key.same(low.value) | key.after(low.value)), low.before
@@ -193,27 +192,43 @@ def _narrow(
     return sort_rows(frame, keys[at:]).offset(offset).limit(count)
 
 
+def _meets(span: Span, offset: int, count: int) -> bool:
+    return span.before < offset + count and span.through > offset
+
+
 def _whole_between(
-    frame: DataFrame, keys: list[SortKey], at: int, spans: list[Span], within: list[Span], rows: int,
-    offset: int, count: int, direct: int, tasks: int
+    frame: DataFrame, keys: list[SortKey], at: int, spans: list[Span], rows: int, offset: int, count: int, direct: int, tasks: int
 ) -> DataFrame:
-    """A large page in no order: all rows from the first to the last value ``within`` it, and the page's rows around them."""
-    key, first, last = keys[at], within[0], within[-1]
-    parts = [frame.where((key.same(first.value) | key.after(first.value)) & (key.before(last.value) | key.same(last.value)))]
-    if first.before > offset:  # its start lies after a value counted before, or inside its run
+    """A large page in no order: all rows from its first to its last counted value, and its rows around them.
+
+    Where the page starts or ends among the rows of one value, the next sort column narrows within that value.
+    """
+    key, stop, met = keys[at], offset + count, [span for span in spans if _meets(span, offset, count)]
+    first, last, parts = met[0], met[-1], []
+    after, begin = key.same(first.value) | key.after(first.value), first.before
+    if first.before < offset:
+        inside = frame.where(key.same(first.value))
+        size = min(first.through, stop) - offset
+        parts.append(_narrow(inside, keys, at + 1, offset - first.before, size, direct, tasks, first.through - first.before))
+        after, begin = key.after(first.value), first.through
+    elif first.before > offset:
         head, skipped = frame.where(key.before(first.value)), 0
-        for low in [span for span in spans if span.before <= offset][-1:]:
-            after = low.through <= offset
-            head = head.where(key.after(low.value) if after else key.same(low.value) | key.after(low.value))
-            skipped = low.through if after else low.before
-        parts.insert(0, _narrow(head, keys, at, offset - skipped, first.before - offset, direct, tasks, first.before - skipped))
-    if last.through < offset + count:
-        tail, end = frame.where(key.after(last.value)), rows
-        for high in [span for span in spans if span.through > offset + count][:1]:
-            beyond = high.before >= offset + count
-            tail = tail.where(key.before(high.value) if beyond else key.before(high.value) | key.same(high.value))
-            end = high.before if beyond else high.through
-        parts.append(_narrow(tail, keys, at, 0, offset + count - last.through, direct, tasks, end - last.through))
+        for low in [span for span in spans if span.through <= offset][-1:]:
+            head, skipped = head.where(key.after(low.value)), low.through
+        parts.append(_narrow(head, keys, at, offset - skipped, first.before - offset, direct, tasks, first.before - skipped))
+    before, finish = key.before(last.value) | key.same(last.value), last.through
+    if last.through > stop:
+        before, finish = key.before(last.value), last.before
+        if last is not first or first.before >= offset:  # else the page is inside one value
+            inside = frame.where(key.same(last.value))
+            parts.append(_narrow(inside, keys, at + 1, 0, stop - last.before, direct, tasks, last.through - last.before))
+    elif last.through < stop:
+        tail, size = frame.where(key.after(last.value)), rows
+        for high in [span for span in spans if span.before >= stop][:1]:
+            tail, size = tail.where(key.before(high.value)), high.before
+        parts.append(_narrow(tail, keys, at, 0, stop - last.through, direct, tasks, size - last.through))
+    if begin < finish:
+        parts.append(frame.where(after & before))
     return functools.reduce(DataFrame.unionByName, parts)
 
 
@@ -227,8 +242,6 @@ def _inside_run(
     if inside == count:
         return first
     following = _narrow(frame.where(key.after(run.value)), keys, at, 0, count - inside, direct, tasks)
-    if _large(count, direct):
-        return first.unionByName(following)
     return sort_rows(first.unionByName(following), keys[at:]).limit(count)
 
 

@@ -104,7 +104,7 @@ def test_large_pages_are_whole_and_take_few_passes(skewed, shown, ascending, mon
         counted.clear()
         page = paging.page_rows(frame, keys(("v", ascending), ("id", True)), offset, count, direct=10)
         assert [tuple(r) for r in page.collect()] == expected_page(rows, [(1, ascending), (0, True)], offset, count)
-        assert len(counted) <= 25  # narrowing a large page by itself takes forty and more
+        assert len(counted) <= 12  # narrowing a large page by itself takes forty and more
         # no task takes the page: limits are for its ends
         assert all(int(n) <= 110 for n in re.findall(r"TakeOrderedAndProject\(limit=(\d+)", physical_plan(page)))
 
