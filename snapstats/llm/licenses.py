@@ -26,6 +26,8 @@ from snapstats.llm.decontaminate import let
 FEATURES, FALSE_RATE, OVERLAP = 1 << 14, 0.001, 0.6
 VARIANTS = 24
 WINDOW = 120
+#: Rows meet the estimator in blocks: each adds a gradient of all features and families, and is read once per family.
+BLOCK_MB = 4.0
 #: A reservation of rights stands in the header of most licences: it names the licence only if nothing else does.
 WEAK = "Proprietary"
 
@@ -122,12 +124,25 @@ def templates(spark: SparkSession) -> DataFrame:
 
 
 def similarity(grams: Column, families: dict[str, list[list[str]]]) -> Column:
-    """By family: the largest share of two-grams in common with one of its templates."""
-    def share(own: list[str]) -> Column:
-        literal = F.array(*map(F.lit, own))
-        return F.size(F.array_intersect(grams, literal)) / F.greatest(F.least(F.size(grams), F.lit(len(own))), F.lit(1))
+    """By family: the largest share of the (distinct) two-grams in common with one of its templates."""
+    def share(met: Column, own: list[str]) -> Column:
+        return F.size(F.filter(met, lambda g: g.isin(own))) / F.greatest(F.least(F.size(grams), F.lit(len(own))), F.lit(1))
 
-    return F.array(*[F.greatest(*map(share, texts), F.lit(0.0)) for texts in families.values()])
+    return let(F.filter(grams, lambda g: g.isin(_every(families))), lambda met: F.array(
+        *[F.greatest(*[share(met, own) for own in texts], F.lit(0.0)) for texts in families.values()]))
+
+
+def _every(families: dict[str, list[list[str]]]) -> list[str]:
+    return sorted({g for texts in families.values() for own in texts for g in own})
+
+
+def has_any(words: Column, grams: list[str]) -> Column:
+    """Whether two neighbouring words are one of the two-grams, which are built only of words that stand in some."""
+    first, second = (sorted({g.split(" ")[i] for g in grams}) for i in (0, 1))
+    n = F.greatest(F.size(words) - 1, F.lit(0))
+    met = F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n),
+                     lambda a, b: a.isin(first) & b.isin(second) & F.concat_ws(" ", a, b).isin(grams))
+    return F.exists(met, lambda x: x)
 
 
 def _known(spark: SparkSession) -> dict[str, list[list[str]]]:
@@ -161,14 +176,16 @@ def paragraphs(docs: DataFrame, wanted=None) -> DataFrame:
 
 
 def able_paragraphs(docs: DataFrame) -> DataFrame:
-    """Those that hold a two-gram of a template, without which they cannot be confirmed."""
+    """Those that hold a two-gram of a template, without which they cannot be confirmed: their ``features``, a hash ``h``
+    of their words, and ``alike``, by family the similarity to its templates."""
     known = _known(docs.sparkSession)
-    every = F.array(*[F.lit(g) for g in sorted({g for texts in known.values() for own in texts for g in own})])
-    return paragraphs(docs, lambda words: F.arrays_overlap(two_grams(words), every))
+    rows = paragraphs(docs, lambda words: has_any(words, _every(known)))
+    alike = let(F.array_distinct(two_grams(F.col("words"))), lambda grams: similarity(grams, known))
+    return _featured(rows.select("_k1", "_k2", "words", F.xxhash64("words").alias("h"), alike.alias("alike")))
 
 
-def training_rows(able: DataFrame) -> DataFrame:
-    """label (0 unknown, else the place of the family), words, and ``tune`` for the half that calibrates."""
+def training_rows(able: DataFrame, content: str = "words") -> DataFrame:
+    """label (0 unknown, else the place of the family), words (or ``features``), and ``tune`` for the half that calibrates."""
     spark = able.sparkSession
     place = {family: i + 1 for i, family in enumerate(TEMPLATES)}
     base = spark.createDataFrame(
@@ -179,16 +196,15 @@ def training_rows(able: DataFrame) -> DataFrame:
     cut = F.slice("all", 1, F.greatest(F.lit(2), F.size("all") - F.pmod("v", F.floor(F.size("all") / 2) + 1).cast("int")))
     varied = words.select("label", F.when(F.col("v") == 0, F.col("all")).when(F.col("v") % 2 == 1, thinned).otherwise(cut).alias("words"),
                           F.lit(False).alias("tune"))
-    lines = able.select("words", F.xxhash64("words").alias("h")).dropDuplicates(["h"])
-    foreign = F.array_max(similarity(F.array_distinct(two_grams(F.col("words"))), _known(spark))) < 0.5
-    background = lines.where(foreign).select(F.lit(0.0).alias("label"), "words", (F.pmod("h", F.lit(2)) == 0).alias("tune"))
-    return varied.unionByName(background)
+    foreign = able.where(F.array_max("alike") < 0.5).select(content, "h").dropDuplicates(["h"])
+    background = foreign.select(F.lit(0.0).alias("label"), content, (F.pmod("h", F.lit(2)) == 0).alias("tune"))
+    return _featured(varied).select("label", content, "tune").unionByName(background)
 
 
 def fit(able: DataFrame) -> tuple[LogisticRegressionModel, float]:
     """The model, and the least probability of a family that counts, of all paragraphs that may be scored."""
-    rows = _featured(stage(training_rows(able), "license-training"))
-    model = LogisticRegression(family="multinomial", regParam=0.002, elasticNetParam=0.5, maxIter=60,
+    rows = stage(training_rows(able, "features"), "license-training")
+    model = LogisticRegression(family="multinomial", regParam=0.002, elasticNetParam=0.5, maxIter=60, maxBlockSizeInMB=BLOCK_MB,
                                probabilityCol="chance").fit(rows.where("not tune"))
     best = F.array_max(F.slice(_chances(), 2, len(TEMPLATES)))
     strict = model.transform(rows.where("tune")).agg(F.percentile_approx(best, 1 - FALSE_RATE, 1_000_000)).first()[0]
@@ -203,20 +219,17 @@ def _chances() -> Column:
 
 def classified(docs: DataFrame) -> DataFrame:
     """Row key, family, chance and similarity of every confirmed paragraph."""
-    spark = docs.sparkSession
-    known = _known(spark)
-    able = stage(able_paragraphs(docs), "license-able")  # texts are read once for learning and scoring
+    able = stage(able_paragraphs(docs).drop("words"), "license-able")  # texts are read and hashed once for learning and scoring
     model, least = fit(able)
-    scored = model.transform(_featured(able)).select("_k1", "_k2", "words", _chances().alias("chances"))
+    # a prediction must be as similar as this to a template of its family, so paragraphs below it for all give no row
+    scored = model.transform(able.where(F.array_max("alike") >= OVERLAP)).select("_k1", "_k2", "alike", _chances().alias("chances"))
     families = F.slice("chances", 2, len(TEMPLATES))
     best = F.array_max(families)
-    named = scored.select("_k1", "_k2", "words", best.alias("chance"), (F.array_position(families, best) - 1).cast("int").alias("place"))
+    named = scored.select("_k1", "_k2", "alike", best.alias("chance"), (F.array_position(families, best) - 1).cast("int").alias("place"))
     likely = named.where(F.col("chance") >= least)
-    grams = F.array_distinct(two_grams(F.col("words")))
     names = F.array(*map(F.lit, TEMPLATES))
-    alike = let(grams, lambda g: similarity(g, known))
     return likely.select("_k1", "_k2", F.get(names, F.col("place")).alias("family"), "chance",
-                         F.get(alike, F.col("place")).alias("similarity")).where(F.col("similarity") >= OVERLAP)
+                         F.get("alike", F.col("place")).alias("similarity")).where(F.col("similarity") >= OVERLAP)
 
 
 def scan(docs: DataFrame) -> DataFrame:

@@ -95,3 +95,29 @@ def test_the_background_is_every_paragraph_that_may_be_scored(spark):
     rows = licenses.training_rows(licenses.able_paragraphs(docs)).where("label = 0 and exists(words, w -> w like 'number%')")
     assert rows.select("words").distinct().count() == rows.count() == 4000
     assert 0 < rows.where("tune").count() < 4000
+
+
+def test_similarity_and_has_any_are_those_of_sets(spark):
+    known = licenses._known(spark)
+    texts = [t for _, t in licenses.notices()] + [t[:n] for _, t in licenses.notices() for n in (12, 30, 60)] + [*licenses.REMARKS, "", "of", "the the the of the"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select(licenses.words_of(licenses.F.col("text")).alias("words"))
+    grams = licenses.F.array_distinct(licenses.two_grams(licenses.F.col("words")))
+    got = rows.select("words", licenses.similarity(grams, known).alias("alike"),
+                      licenses.has_any(licenses.F.col("words"), licenses._every(known)).alias("any")).collect()
+    for r in got:
+        own = {f"{a} {b}" for a, b in zip(r["words"], r["words"][1:])}
+        want = [max(len(own & set(t)) / max(min(len(own), len(t)), 1) for t in ts) for ts in known.values()]
+        assert r["alike"] == want and r["any"] == any(own & set(t) for ts in known.values() for t in ts)
+
+
+def test_paragraphs_are_hashed_once_and_only_similar_ones_are_scored(spark, monkeypatch):
+    hashed, scored = [], []
+    featured, transform = licenses._featured, licenses.LogisticRegressionModel.transform
+    monkeypatch.setattr(licenses, "_featured", lambda rows: hashed.append(rows) or featured(rows))
+    monkeypatch.setattr(licenses.LogisticRegressionModel, "transform", lambda self, rows: scored.append(rows) or transform(self, rows))
+    texts = ["licensed under the MIT license"] + [f"the price number{n} rose to the level of the other day" for n in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = licenses.classified(docs)
+    assert len(hashed) == 2 and not any("license-" in f for rows in hashed for f in rows.inputFiles())  # documents, templates: never staged rows
+    assert [rows.count() for rows in scored[1:]] == [1] and scored[0].count() > 0
+    assert [r["family"] for r in got.collect()] == ["MIT"]
