@@ -26,8 +26,10 @@ from snapstats.llm.decontaminate import let
 FEATURES, FALSE_RATE, OVERLAP = 1 << 14, 0.001, 0.6
 VARIANTS = 24
 WINDOW = 120
-#: Rows meet the estimator in blocks: each adds a gradient of all features and families, and is read once per family.
-BLOCK_MB = 4.0
+#: Rows meet the estimator in blocks, each read once per family: small enough that it and the gradients it adds to stay in a core's cache.
+BLOCK_MB = 0.125
+#: So many tasks of the scan are one of the estimator: each moves a gradient of all features and families once per iteration.
+MERGED = 4
 #: A reservation of rights stands in the header of most licences: it names the licence only if nothing else does.
 WEAK = "Proprietary"
 
@@ -102,13 +104,13 @@ REMARKS = (
 
 
 def words_of(paragraph: Column) -> Column:
-    """Lower-case words; versions and hyphenated names stay whole."""
-    return F.regexp_extract_all(F.lower(paragraph), F.lit(r"[\p{L}\p{N}]+(?:[.-][\p{L}\p{N}]+)*"), F.lit(0))
+    """Lower-case words; versions and hyphenated names stay whole.  No word could end earlier, so nothing is kept to go back to."""
+    return F.regexp_extract_all(F.lower(paragraph), F.lit(r"[\p{L}\p{N}]++(?:[.-][\p{L}\p{N}]++)*+"), F.lit(0))
 
 
 def two_grams(words: Column) -> Column:
     return F.when(F.size(words) > 1, F.zip_with(F.slice(words, 1, F.size(words) - 1), F.slice(words, 2, F.size(words) - 1),
-                                                lambda a, b: F.concat_ws(" ", a, b))).otherwise(F.array().cast("array<string>"))
+                                                lambda a, b: F.concat(a, F.lit(" "), b))).otherwise(F.array().cast("array<string>"))
 
 
 def notices() -> list[tuple[str, str]]:
@@ -141,7 +143,7 @@ def has_any(words: Column, grams: list[str]) -> Column:
     first, second = (sorted({g.split(" ")[i] for g in grams}) for i in (0, 1))
     n = F.greatest(F.size(words) - 1, F.lit(0))
     met = F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n),
-                     lambda a, b: a.isin(first) & b.isin(second) & F.concat_ws(" ", a, b).isin(grams))
+                     lambda a, b: a.isin(first) & b.isin(second) & F.concat(a, F.lit(" "), b).isin(grams))
     return F.exists(met, lambda x: x)
 
 
@@ -153,10 +155,10 @@ def _known(spark: SparkSession) -> dict[str, list[list[str]]]:
 
 
 def _featured(rows: DataFrame) -> DataFrame:
-    """``features`` of the array column ``words``."""
+    """``features`` of the array column ``words`` and of ``grams``, its two-grams."""
     none = F.array().cast("array<string>")  # the optimizer may move the estimator before a filter of nulls
-    grams = rows.withColumn("terms", F.coalesce(let(F.col("words"), lambda w: F.concat(w, two_grams(w))), none))
-    return HashingTF(inputCol="terms", outputCol="features", numFeatures=FEATURES, binary=True).transform(grams).drop("terms")
+    terms = rows.withColumn("terms", F.coalesce(F.concat("words", "grams"), none)).drop("grams")
+    return HashingTF(inputCol="terms", outputCol="features", numFeatures=FEATURES, binary=True).transform(terms).drop("terms")
 
 
 def windows(words: Column) -> Column:
@@ -169,7 +171,7 @@ def windows(words: Column) -> Column:
 
 def paragraphs(docs: DataFrame, wanted=None) -> DataFrame:
     """Row key and words of each line (or window of a line) that has any, or of those whose words are ``wanted``."""
-    worded = F.transform(F.filter(F.split(text_of(), "\n"), lambda x: x.rlike(r"[\p{L}\p{N}]")), words_of)
+    worded = F.transform(F.split(text_of(), "\n"), words_of)  # lines without a word go with ``wanted``
     lines = F.filter(F.flatten(F.transform(worded, windows)), wanted or (lambda w: F.size(w) > 0))
     rows = docs.select(*row_key(), lines.alias("lines"))  # keys first: rows of a line carry no text
     return rows.select("_k1", "_k2", F.explode_outer("lines").alias("words")).where(F.col("words").isNotNull())
@@ -180,8 +182,10 @@ def able_paragraphs(docs: DataFrame) -> DataFrame:
     of their words, and ``alike``, by family the similarity to its templates."""
     known = _known(docs.sparkSession)
     rows = paragraphs(docs, lambda words: has_any(words, _every(known)))
-    alike = let(F.array_distinct(two_grams(F.col("words"))), lambda grams: similarity(grams, known))
-    return _featured(rows.select("_k1", "_k2", "words", F.xxhash64("words").alias("h"), alike.alias("alike")))
+    alike = let(F.col("grams"), lambda grams: similarity(grams, known))
+    # the distinct two-grams are made once, for the similarity and for the features
+    return _featured(rows.withColumn("grams", F.array_distinct(two_grams(F.col("words")))).select(
+        "_k1", "_k2", "words", "grams", F.xxhash64("words").alias("h"), alike.alias("alike")))
 
 
 def training_rows(able: DataFrame, content: str = "words") -> DataFrame:
@@ -198,14 +202,21 @@ def training_rows(able: DataFrame, content: str = "words") -> DataFrame:
                           F.lit(False).alias("tune"))
     foreign = able.where(F.array_max("alike") < 0.5).select(content, "h").dropDuplicates(["h"])
     background = foreign.select(F.lit(0.0).alias("label"), content, (F.pmod("h", F.lit(2)) == 0).alias("tune"))
-    return _featured(varied).select("label", content, "tune").unionByName(background)
+    own = _featured(varied.withColumn("grams", two_grams(F.col("words"))))
+    return own.select("label", content, "tune").unionByName(background)
+
+
+def fewer(rows: DataFrame) -> DataFrame:
+    """The rows of a scan in a ``MERGED``-th as many tasks, but no fewer than there are cores."""
+    return rows.coalesce(max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.rdd.getNumPartitions() // MERGED)))
 
 
 def fit(able: DataFrame) -> tuple[LogisticRegressionModel, float]:
     """The model, and the least probability of a family that counts, of all paragraphs that may be scored."""
     rows = stage(training_rows(able, "features"), "license-training")
+    seen = fewer(rows.where("not tune"))
     model = LogisticRegression(family="multinomial", regParam=0.002, elasticNetParam=0.5, maxIter=60, maxBlockSizeInMB=BLOCK_MB,
-                               probabilityCol="chance").fit(rows.where("not tune"))
+                               probabilityCol="chance").fit(seen)
     best = F.array_max(F.slice(_chances(), 2, len(TEMPLATES)))
     strict = model.transform(rows.where("tune")).agg(F.percentile_approx(best, 1 - FALSE_RATE, 1_000_000)).first()[0]
     return model, max(0.5, strict or 0.0)

@@ -121,3 +121,29 @@ def test_paragraphs_are_hashed_once_and_only_similar_ones_are_scored(spark, monk
     assert len(hashed) == 2 and not any("license-" in f for rows in hashed for f in rows.inputFiles())  # documents, templates: never staged rows
     assert [rows.count() for rows in scored[1:]] == [1] and scored[0].count() > 0
     assert [r["family"] for r in got.collect()] == ["MIT"]
+
+
+def test_the_estimator_meets_small_blocks_in_few_tasks(spark, monkeypatch):
+    seen = []
+    fit = licenses.LogisticRegression.fit
+    monkeypatch.setattr(licenses.LogisticRegression, "fit", lambda self, rows: seen.append((self.getMaxBlockSizeInMB(), rows)) or fit(self, rows))
+    texts = [f"the price number{n} rose to the level of the other day" for n in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    able = licenses.stage(licenses.able_paragraphs(docs).drop("words"), "able")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        licenses.fit(able)
+        (size, rows), = seen
+        wide = spark.read.schema(rows.schema).parquet(*rows.inputFiles()).where("not tune")
+        assert wide.rdd.getNumPartitions() > 16 and rows.rdd.getNumPartitions() <= max(4, wide.rdd.getNumPartitions() // 2)
+        assert rows.count() == wide.count()  # merged, none left out
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert size < 1  # megabyte: what stays in a core's cache
+
+
+@pytest.mark.parametrize("text", ["a-b.c", "a.-b", "1.2.3.", "-x-", "é.ü-ß..z", "a--b", "x.", "", "...", "A1-Б2 v2.0, (3-Clause)"])
+def test_words_are_those_of_the_plain_pattern(spark, text):
+    got = spark.createDataFrame([(text,)], "t string").select(licenses.words_of(licenses.F.col("t"))).first()[0]
+    want = re.findall(r"[^\W_]+(?:[.-][^\W_]+)*", text.lower())
+    assert got == want
