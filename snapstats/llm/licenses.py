@@ -207,7 +207,7 @@ def training_rows(able: DataFrame, content: str = "words") -> DataFrame:
 
 
 def fewer(rows: DataFrame) -> DataFrame:
-    """The rows of a scan in a ``MERGED``-th as many tasks, but no fewer than there are cores."""
+    """The rows of a scan in a ``MERGED``-th as many tasks, but no fewer than the cores (if it has so many)."""
     return rows.coalesce(max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.rdd.getNumPartitions() // MERGED)))
 
 
