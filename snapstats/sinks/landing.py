@@ -8,14 +8,14 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapstats.functions.stamps import landing_path
-from snapstats.operators.joins import even_join, is_small
+from snapstats.operators.joins import BROADCAST_ROWS, even_join
 from snapstats.operators.shape import quoted
+from snapstats.session import shuffles_released
 from snapstats.sinks.versions import file_names, file_system
 from snapstats.sources.landing import endpoint_path
 
@@ -29,6 +29,8 @@ TASK_BYTES = 32 << 20
 #: the keys of a grouping but not from those of a partitioning: by them the records would move twice.
 PLACE = "fetched_at_place"
 RENAMES = 16
+#: Of a landed file, with that of its codec.
+ENDING = r"\.json(\.[a-z0-9]+)?$"
 
 
 def jsonable(value: Column, dtype: T.DataType) -> Column:
@@ -76,16 +78,27 @@ def build_envelopes(
         F.struct(*[jsonable(quoted(f.name), f.dataType).alias(f.name) for f in fields]).alias("_record"),
     )
     # the hash stands for stamp and suffix, nulls included; groups of equal hash only get more shares
-    keyed = rows.withColumns({"_key": F.xxhash64(*group), "_json": F.to_json("_record", {"ignoreNullFields": "false"})})
+    keyed = rows.withColumns({"_key": F.xxhash64(*group), "_json": _json()})
     filled = F.greatest(F.sum(F.octet_length("_json")) / max_bytes, F.count(F.lit(1)) / max_records)
-    sizes = keyed.groupBy("_key").agg(filled.alias("_filled"), F.sum(F.octet_length("_json")).alias("_size")).persist(StorageLevel.DISK_ONLY)
-    width = _width(rows, sizes.agg(F.sum("_size")).first()[0] or 0)
-    oversize = sizes.where(F.col("_filled") > 1).select("_key", F.ceil(F.col("_filled") * SLACK).alias("_shares"))
-    if is_small(oversize, 0):
-        sizes.unpersist()
+    sizes = keyed.groupBy("_key").agg(filled.alias("_filled"), F.sum(F.octet_length("_json")).alias("_size"))
+    # one row per stamp beyond a limit, and one of null for all others; nothing is persisted, for the files of the
+    # shuffles in ``records`` would stay on disk with it
+    large = sizes.groupBy(F.when(F.col("_filled") > 1, F.col("_key")).alias("_key")).agg(
+        F.ceil(F.max("_filled") * SLACK).alias("_shares"), F.sum("_size").alias("_size"))
+    found = large.orderBy(F.col("_key").asc_nulls_first()).limit(BROADCAST_ROWS + 2).collect()
+    few = len(found) < BROADCAST_ROWS + 2
+    width = _width(rows, sum(r["_size"] for r in found) if few else sizes.agg(F.sum("_size")).first()[0])
+    oversize = [(r["_key"], r["_shares"]) for r in found if r["_key"] is not None]
+    if not oversize:
         parts, whole = [], rows.withColumn(PLACE, F.xxhash64(*group)).repartition(width, PLACE)
     else:
-        parts, whole = ["_share", "_by_rows", "_by_bytes"], _split(keyed, oversize, group, max_records, max_bytes, width)
+        hashed = keyed.withColumns(_content()).drop("_json")
+        if few:
+            shares = rows.sparkSession.createDataFrame(oversize, "_key bigint, _shares bigint")
+            known = hashed.join(F.broadcast(shares), "_key", "left")
+        else:
+            known = even_join(hashed, large.where(F.col("_key").isNotNull()).drop("_size"), ["_key"], "left")
+        parts, whole = ["_share", "_by_rows", "_by_bytes"], _split(known, group, max_records, max_bytes, width)
     return (
         whole.groupBy(PLACE, *group, *parts)
         .agg(F.collect_list("_record").alias("data"))
@@ -109,22 +122,30 @@ def _width(frame: DataFrame, size: int) -> int:
     return max(int(width) if width.isdigit() else 0, spark.sparkContext.defaultParallelism, math.ceil(size / TASK_BYTES))
 
 
-def _split(keyed: DataFrame, oversize: DataFrame, group: list[str], max_records: int, max_bytes: int, width: int) -> DataFrame:
-    """The records, moved to their shares, with the numbers that name their envelope there."""
-    hashes = {"_h1": F.xxhash64("_json"), "_h2": F.xxhash64(F.lit(1), "_json")}
-    sized = keyed.withColumns({"_bytes": F.octet_length("_json").cast("bigint"), **hashes}).drop("_json")
-    if is_small(oversize):
-        known = sized.join(F.broadcast(oversize), "_key", "left")
-    else:
-        known = even_join(sized, oversize, ["_key"], "left")
-    content = ["_h1", "_h2"]
+def _json() -> Column:
+    return F.to_json("_record", {"ignoreNullFields": "false"})
+
+
+def _content() -> dict[str, Column]:
+    return {"_h1": F.xxhash64("_json"), "_h2": F.xxhash64(F.lit(1), "_json")}
+
+
+def _split(known: DataFrame, group: list[str], max_records: int, max_bytes: int, width: int) -> DataFrame:
+    """The records, moved to their shares, with the numbers that name their envelope there.
+
+    Hashes and bytes of a record are made on both sides of the move: hashes do not compress, and would take as much of the
+    shuffle files as many a record.
+    """
+    content = list(_content())
     share = F.pmod(F.xxhash64(F.spark_partition_id(), *content), F.coalesce("_shares", F.lit(1)))
-    dealt = known.select(*group, share.alias("_share"), *content, "_bytes", "_record")
+    dealt = known.select(*group, share.alias("_share"), "_record")
     moved = dealt.withColumn(PLACE, F.xxhash64(*group, "_share")).repartition(width, PLACE)
+    again = moved.withColumn("_json", _json())
+    sized = again.withColumns({"_bytes": F.octet_length("_json").cast("bigint"), **_content()}).drop("_json")
     # an order in which only equal records of one stamp can change places
     ahead = Window.partitionBy(PLACE, *group, "_share").orderBy(*content)
     before = F.sum("_bytes").over(ahead.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_bytes")
-    return moved.withColumns(
+    return sized.withColumns(
         {"_by_bytes": F.floor(before / max_bytes), "_by_rows": F.floor((F.row_number().over(ahead) - 1) / max_records)}
     )
 
@@ -136,12 +157,14 @@ def dated_name(stamp: Column, suffix: Column) -> Column:
     return F.when(stamp.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}"), dated).otherwise(other)
 
 
-def write_envelopes(envelopes: DataFrame, root: str, endpoint: str) -> None:
+def write_envelopes(envelopes: DataFrame, root: str, endpoint: str, compression: str = "none") -> None:
     """Land envelopes as ``raw/<endpoint>/YYYY/MM/DD/HHMMSS<suffix>.json``, each in a file of its own.
 
     Further parts of a split stamp are called ``..._part2.json`` and on.  Tasks write to a hidden folder; when all is
     written the driver renames the files, one rename an envelope, so readers see whole envelopes only.  A run with the
     same stamps replaces their files, and those of a landing in the older layout of folders.
+    With ``compression`` (a codec of Spark's JSON writer, such as ``gzip``) its ending follows, as in ``HHMMSS.json.gz``;
+    every reader here takes both, and either replaces the other.
     """
     spark, place = envelopes.sparkSession, endpoint_path(root, endpoint)
     draft = f"_landing-{uuid.uuid4().hex}"
@@ -149,6 +172,7 @@ def write_envelopes(envelopes: DataFrame, root: str, endpoint: str) -> None:
         envelopes.select("fetched_at", "endpoint", "record_count", "data", dated_name(F.col("fetched_at"), F.col("suffix")).alias("_to"))
         .write.option("maxRecordsPerFile", 1)
         .option("ignoreNullFields", "false")
+        .option("compression", compression)
         .partitionBy("_to")
         .json(f"{place}/{draft}")
     )
@@ -170,7 +194,7 @@ def _landed(spark: SparkSession, place: str, folder: str) -> dict[str, list[str]
     fs.mkdirs(path)
     found: dict[str, list[str]] = {}
     for file in file_names(spark, place, folder):
-        base = file.removesuffix(".json")
+        base = re.sub(ENDING, "", file)
         if base != file:
             for name in {base, re.sub(r"_part\d+$", "", base)}:
                 found.setdefault(name, []).append(file)
@@ -187,7 +211,8 @@ def _commit(spark: SparkSession, place: str, draft: str, name: str, landed: dict
         fs.delete(file_system(spark, place, f"fetch_date={folder.replace('/', '-')}", f"file={base}")[1], True)
     there = landed.get(base, [])
     for number, file in enumerate((n for n in file_names(spark, place, draft) if n.startswith("part-")), 1):
-        to = f"{base}.json" if number == 1 else f"{base}_part{number}.json"
+        ending = re.search(ENDING, file)[0]
+        to = f"{base}{ending}" if number == 1 else f"{base}_part{number}{ending}"
         target = file_system(spark, place, folder, to)[1]
         if to in there:
             fs.delete(target, False)
@@ -205,6 +230,8 @@ def land_records(
     suffix: str | None = None,
     max_records: int = MAX_RECORDS,
     max_bytes: int = MAX_BYTES,
+    compression: str = "none",
 ) -> None:
-    """`build_envelopes` and `write_envelopes` in one step; nothing is written for no records."""
-    write_envelopes(build_envelopes(records, endpoint, suffix, max_records, max_bytes), root, endpoint)
+    """`build_envelopes` and `write_envelopes` in one step, without leaving shuffle files; nothing is written for no records."""
+    with shuffles_released(records.sparkSession):
+        write_envelopes(build_envelopes(records, endpoint, suffix, max_records, max_bytes), root, endpoint, compression)

@@ -1,12 +1,14 @@
 import json
 import os
 import re
+import threading
 
 from pyspark.sql import functions as F
 
 from frames import physical_plan, values
 from snapstats.operators import aggregate, shape
 from snapstats.schemas import HISTORY_RECORD, counter_record, envelope_schema
+from snapstats.session import RELEASE_SHUFFLES, shuffles_released
 from snapstats.sinks import landing as sink
 from snapstats.sources import landing
 from snapstats.sources.tuple_csv import read_tuple_csv
@@ -245,3 +247,60 @@ def test_wider_tables_land_in_more_tasks_of_one_size(spark, monkeypatch):
         width, below = re.search(r"Exchange hashpartitioning\(fetched_at[^)]*, (\d+)\)(.*)", plan, re.DOTALL).groups()
         assert int(width) >= 20_000 * 8 // 10_000 and plan.count("Exchange hashpartitioning(fetched_at") == 1
         assert "Sort" not in below  # whole input partitions are not sorted
+
+
+def shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f for d in folders for _, _, names in os.walk(d.getPath()) for f in names if f.startswith("shuffle_")}
+
+
+def test_landing_leaves_no_shuffle_files(spark, tmp_path):
+    counted = spark.range(2_000).groupBy((F.col("id") % 500).alias("v")).count()  # an input with a shuffle of its own
+    for most in (50, 50_000):  # a stamp of many envelopes, and of one
+        before = shuffle_files(spark)
+        sink.land_records(counted.withColumn("fetched_at", F.lit(STAMP)), str(tmp_path), "e", max_records=most)
+        assert not shuffle_files(spark) - before
+        assert shape.shallow(landing.read_endpoint(spark, str(tmp_path), "e")).count() == 500
+
+
+def test_the_session_keeps_its_own_setting_of_shuffle_files(spark):
+    own, seen, inside, leave = spark.conf.get(RELEASE_SHUFFLES), [], threading.Event(), threading.Event()
+
+    def longer():
+        with shuffles_released(spark):
+            inside.set()
+            leave.wait(60)
+
+    other = threading.Thread(target=longer)
+    with shuffles_released(spark):
+        other.start()
+        assert inside.wait(60)
+        seen.append(spark.conf.get(RELEASE_SHUFFLES))
+    seen.append(spark.conf.get(RELEASE_SHUFFLES))  # the other thread is still inside
+    leave.set()
+    other.join()
+    assert seen == ["true", "true"] and spark.conf.get(RELEASE_SHUFFLES) == own
+
+
+def test_records_move_without_hashes_of_their_content(spark):
+    records = spark.range(1000).select(F.lit(STAMP).alias("fetched_at"), F.col("id").alias("v"))
+
+    def moved(plan):
+        names = [plan.output().apply(n).name() for n in range(plan.output().size())]
+        below = [moved(plan.children().apply(n)) for n in range(plan.children().size())]
+        return [names] * (plan.nodeName() == "RepartitionByExpression") + sum(below, [])
+
+    envelopes = sink.build_envelopes(records, "e", max_records=64)
+    (names,) = moved(envelopes._jdf.queryExecution().optimizedPlan())
+    assert "_record" in names and not {"_json", "_bytes", "_h1", "_h2"} & set(names)
+
+
+def test_very_many_large_stamps_are_not_collected(spark, monkeypatch):
+    records = spark.range(900).select((F.col("id") % 4).cast("string").alias("fetched_at"), F.col("id").alias("v"))
+    few = spark.range(3).select(F.lit(None).cast("string").alias("fetched_at"), F.col("id").alias("v"))
+    for most in (sink.BROADCAST_ROWS, 1):
+        monkeypatch.setattr(sink, "BROADCAST_ROWS", most)
+        seen = sink.build_envelopes(records.union(few), "e", max_records=40).collect()
+        assert max(r["record_count"] for r in seen) <= 40
+        found = sorted((r["fetched_at"] or "", x["v"]) for r in seen for x in r["data"])
+        assert found == sorted((f or "", v) for f, v in values(records.union(few)))
