@@ -164,7 +164,7 @@ def write_envelopes(envelopes: DataFrame, root: str, endpoint: str, compression:
     written the driver renames the files, one rename an envelope, so readers see whole envelopes only.  A run with the
     same stamps replaces their files, and those of a landing in the older layout of folders.
     With ``compression`` (a codec of Spark's JSON writer, such as ``gzip``) its ending follows, as in ``HHMMSS.json.gz``;
-    every reader here takes both, and either replaces the other.
+    Spark's readers go by the ending, and either kind replaces the other.
     """
     spark, place = envelopes.sparkSession, endpoint_path(root, endpoint)
     draft = f"_landing-{uuid.uuid4().hex}"

@@ -3,10 +3,12 @@ import os
 import re
 import threading
 
+import pytest
 from pyspark.sql import functions as F
 
 from frames import physical_plan, values
 from snapstats.operators import aggregate, shape
+from snapstats.plans import catalogue
 from snapstats.schemas import HISTORY_RECORD, counter_record, envelope_schema
 from snapstats.session import RELEASE_SHUFFLES, shuffles_released
 from snapstats.sinks import landing as sink
@@ -304,3 +306,36 @@ def test_very_many_large_stamps_are_not_collected(spark, monkeypatch):
         assert max(r["record_count"] for r in seen) <= 40
         found = sorted((r["fetched_at"] or "", x["v"]) for r in seen for x in r["data"])
         assert found == sorted((f or "", v) for f, v in values(records.union(few)))
+
+
+@pytest.mark.parametrize("codec, ending", [("gzip", ".gz"), ("snappy", ".snappy")])
+def test_compressed_envelopes_land_and_replace_plain_ones(spark, tmp_path, codec, ending):
+    def land(n, compression):
+        records = spark.range(n).select(F.lit(STAMP).alias("fetched_at"), F.col("id").alias("v"))
+        sink.land_records(records, str(tmp_path), "e", max_records=10, compression=compression)
+
+    folder = tmp_path / "raw" / "e" / STAMP[:10].replace("-", "/")
+    names = lambda: sorted(p.name for p in folder.iterdir() if not p.name.startswith("."))
+    clock = STAMP[11:19].replace(":", "")
+    land(25, "none")
+    land(35, codec)
+    parts = names()
+    assert len(parts) >= 4 and set(parts) == {f"{clock}.json{ending}", *(f"{clock}_part{n}.json{ending}" for n in range(2, len(parts) + 1))}
+    for back in (landing.read_endpoint(spark, str(tmp_path), "e"), landing.read_endpoint(spark, str(tmp_path), "e", schema=envelope_schema(HISTORY_RECORD))):
+        assert shape.shallow(back).count() == 35
+    land(5, codec)
+    assert names() == [f"{clock}.json{ending}"]
+    land(3, "none")
+    assert names() == [f"{clock}.json"]
+    assert values(shape.shallow(landing.read_endpoint(spark, str(tmp_path), "e")), "v") == [(0,), (1,), (2,)]
+
+
+def test_refreshed_history_takes_less_disk_than_plain_records(spark, sf_dir):
+    root = catalogue._land_all(spark, sf_dir)
+    held = lambda files: sum(os.path.getsize(f) for f in files)
+    for endpoint in ("hero_stats", "item_stats", "badge_distribution", "match_history"):
+        files = [os.path.join(d, f) for d, _, names in os.walk(f"{root}/raw/{endpoint}") for f in names if ".json" in f and not f.startswith(".")]
+        back = landing.read_endpoint(spark, root, endpoint)
+        plain = back.select(F.sum(F.octet_length(F.to_json(F.struct(*back.columns), {"ignoreNullFields": "false"})))).first()[0]
+        assert back.select(F.sum("record_count")).first()[0] == shape.shallow(back).count() > 0
+        assert held(files) < 0.9 * plain
